@@ -87,4 +87,4 @@ def with_clause(*names: str, extra: dict[str, str] | None = None) -> str:
         add(name)
     parts = [f"{name} as ({sql})" for name, sql in TABLES.items() if name in wanted]
     parts += [f"{name} as ({sql})" for name, sql in (extra or {}).items()]
-    return "with " + ",\n".join(parts) + "\n"
+    return "with " + ",\n".join(parts) + "\n" if parts else ""
