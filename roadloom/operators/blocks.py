@@ -33,6 +33,7 @@ INF = 1 << 61
 FAR = 1e15  # metres; stands for "no box"
 ROWS_PER_BLOCK = 16_384
 REQUESTS_PER_SHARD = 64
+TASKS_PER_PARTITION = 4  # groups differ in work, so more tasks than shuffle partitions even it out
 BOUND_SHRINK = 1 - 1e-6  # keeps the straight-line bound below the true cost despite rounding
 
 METRE_SCALE = 1_000  # millimetres
@@ -127,10 +128,14 @@ def block_graph(nodes: DataFrame, edges: DataFrame, costs: dict[str, Cost], rows
 
 
 class _Block:
-    """Arcs of one block as arrays, with the requests that have labels in it."""
+    """Arcs of one block as arrays, with the requests that have labels in it.
+
+    Labels are kept flat, one per (node, request): ``slot = node * requests + request``.
+    """
 
     def __init__(self, rows: pd.DataFrame, requests: pd.DataFrame):
         self.number = int(rows["block"].iat[0])
+        self.reqs, self.width = requests, len(requests)
         self.ids, at = np.unique(rows["u"].to_numpy(), return_index=True)
         self.x, self.y = rows["x"].to_numpy()[at], rows["y"].to_numpy()[at]
         anchor = rows["edge"].to_numpy() < 0
@@ -139,21 +144,30 @@ class _Block:
         inside = (rows["v_lo"].to_numpy() == self.number) & (rows["v_hi"].to_numpy() == self.number)
         self.inner = rows[inside].sort_values(["v", "edge", "u"])
         self.outer = rows[~inside]
+        self.edge, self.u_id = self.inner["edge"].to_numpy(), self.inner["u"].to_numpy()
         self.u, self.v = self.at(self.inner["u"]), self.at(self.inner["v"])
-        self.reqs = requests
-        self.bound = requests["bound"].to_numpy()[None, :] - self._remaining()
-        self.w = self._weights(self.inner)
+        # Arcs by the node they leave and, as they are sorted, by the node they enter.
+        self.leaving = np.argsort(self.u, kind="stable")
+        self.leave_from = np.searchsorted(self.u[self.leaving], np.arange(len(self.ids) + 1))
+        self.enter_from = np.searchsorted(self.v, np.arange(len(self.ids) + 1))
+        self.w = self.weights(self.inner)
+        self.bound = (requests["bound"].to_numpy()[None, :] - self._remaining()).ravel()
 
     def at(self, nodes) -> np.ndarray:
         return np.searchsorted(self.ids, np.asarray(nodes))
 
+    def slots(self, labels: pd.DataFrame) -> np.ndarray:
+        return self.at(labels["node"]) * self.width + labels["req"].to_numpy()
+
     def _remaining(self) -> np.ndarray:
         """Least label still to come from each node to each request's goal (zero unless goal-directed)."""
         r = self.reqs
+        if not r["rate"].any():
+            return np.zeros((len(self.ids), self.width), dtype=np.int64)
         far = np.hypot(self.x[:, None] - r["goal_x"].to_numpy()[None, :], self.y[:, None] - r["goal_y"].to_numpy()[None, :])
         return np.floor(far * r["rate"].to_numpy()[None, :]).astype(np.int64) * HOP
 
-    def _weights(self, arcs: pd.DataFrame) -> np.ndarray:
+    def weights(self, arcs: pd.DataFrame) -> np.ndarray:
         """Weight of each arc for each request; arcs outside a request's box are closed to it."""
         r = self.reqs
         table = np.stack([arcs[c].to_numpy() for c in arcs.columns if c.startswith("w_")], axis=1)
@@ -164,50 +178,50 @@ class _Block:
         return np.where(meets, table[:, r["cost_ix"].to_numpy()], INF)
 
     def blank(self) -> np.ndarray:
-        return np.full((len(self.ids), len(self.reqs)), INF, dtype=np.int64)
-
-    def settle(self, dist: np.ndarray, node: np.ndarray, req: np.ndarray, label: np.ndarray) -> None:
-        """Lower ``dist`` by the given labels and relax inner arcs until nothing improves."""
-        before = dist.copy()
-        np.minimum.at(dist, (node, req), label)
-        dist[dist > self.bound] = INF
-        live = (dist < before).any(axis=1)
-        while live.any():
-            pick = np.flatnonzero(live[self.u])
-            if not len(pick):
-                break
-            v = self.v[pick]
-            starts = np.flatnonzero(np.r_[True, v[1:] != v[:-1]])
-            best = np.minimum.reduceat(dist[self.u[pick]] + self.w[pick], starts, axis=0)
-            to = v[starts]
-            better = (best < dist[to]) & (best <= self.bound[to])
-            dist[to] = np.where(better, best, dist[to])
-            live[:] = False
-            live[to[better.any(axis=1)]] = True
-
-    def parents(self, dist: np.ndarray, entry: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(edge, previous node, block it came from) of every label: of the tied arcs, inner or by message, the smallest edge id.
+        return np.full(len(self.ids) * self.width, INF, dtype=np.int64)
+
+    @staticmethod
+    def _runs(first: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ranges first..past one after another, and which range each element came from."""
+        size = past - first
+        which = np.repeat(np.arange(len(size)), size)
+        return np.arange(len(which)) - np.repeat(np.cumsum(size) - size - first, size), which
+
+    def settle(self, dist: np.ndarray, slot: np.ndarray, label: np.ndarray) -> None:
+        """Lower ``dist`` by the given labels and relax inner arcs from what changed until nothing does."""
+        while True:
+            fits = (label < dist[slot]) & (label <= self.bound[slot])
+            slot, label = slot[fits], label[fits]
+            if not len(slot):
+                return
+            np.minimum.at(dist, slot, label)
+            live = np.unique(slot)
+            node, req = np.divmod(live, self.width)
+            run, which = self._runs(self.leave_from[node], self.leave_from[node + 1])
+            arc, req = self.leaving[run], req[which]
+            label = dist[live][which] + self.w[arc, req]
+            slot = self.v[arc] * self.width + req
+
+    def parents(self, dist: np.ndarray, slot: np.ndarray, entry: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(edge, previous node, block it came from) of settled slots: of the tied arcs, inner or by message, the smallest edge id.
 
         The block is -1 where the previous node lies inside this one.
         """
-        edge = np.full(dist.shape, INF, dtype=np.int64)
-        prev = np.full(dist.shape, -1, dtype=np.int64)
-        came = np.full(dist.shape, -1, dtype=np.int64)
-        if len(self.u):
-            tied = (dist[self.u] + self.w == dist[self.v]) & (dist[self.v] < INF)
-            starts = np.flatnonzero(np.r_[True, self.v[1:] != self.v[:-1]])
-            arc = np.where(tied, np.arange(len(self.u))[:, None], len(self.u))
-            arc = np.minimum.reduceat(arc, starts, axis=0)
-            to, req = np.nonzero(arc < len(self.u))
-            arc, to = arc[to, req], self.v[starts][to]
-            edge[to, req] = self.inner["edge"].to_numpy()[arc]
-            prev[to, req] = self.inner["u"].to_numpy()[arc]
-        node, req = self.at(entry["node"]), entry["req"].to_numpy()
-        e, p = entry["edge"].to_numpy(), entry["prev"].to_numpy()
-        wins = (entry["label"].to_numpy() == dist[node, req]) & ((e < edge[node, req]) | ((e == edge[node, req]) & (p < prev[node, req])))
-        node, req = node[wins], req[wins]
-        edge[node, req], prev[node, req], came[node, req] = e[wins], p[wins], entry["prev_block"].to_numpy()[wins]
-        return edge, prev, came
+        edge = np.full(len(slot), INF, dtype=np.int64)
+        prev, came = np.full(len(slot), -1, dtype=np.int64), np.full(len(slot), -1, dtype=np.int64)
+        node, req = np.divmod(slot, self.width)
+        arc, which = self._runs(self.enter_from[node], self.enter_from[node + 1])
+        tied = dist[self.u[arc] * self.width + req[which]] + self.w[arc, req[which]] == dist[slot][which]
+        arc, which = arc[tied], which[tied]
+        which, first = np.unique(which, return_index=True)  # arcs into a node are in edge order
+        edge[which], prev[which] = self.edge[arc[first]], self.u_id[arc[first]]
+
+        sent = self.slots(entry)
+        order = np.argsort(sent)
+        k = np.minimum(np.searchsorted(sent[order], slot), len(sent) - 1)
+        e, p, c, label = (entry[n].to_numpy()[order][k] for n in ("edge", "prev", "prev_block", "label"))
+        wins = (sent[order][k] == slot) & (label == dist[slot]) & ((e < edge) | ((e == edge) & (p < prev)))
+        return np.where(wins, e, edge), np.where(wins, p, prev), np.where(wins, c, came)
 
 
 _REQUEST = ["req_no", "cost_ix", "bound", "rate", "goal", "goal_x", "goal_y", "lo_x", "lo_y", "hi_x", "hi_y"]
@@ -228,12 +242,11 @@ def _advance(inbox: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
     if inbox.empty or arcs.empty:
         return _empty(_MESSAGE)
     block, inbox = _open(inbox, arcs)
-    node, req = block.at(inbox["node"]), inbox["req"].to_numpy()
-    dist = block.blank()
-    block.settle(dist, node, req, inbox["old"].to_numpy())
+    slot, dist = block.slots(inbox), block.blank()
+    block.settle(dist, slot, inbox["old"].to_numpy())
     old = dist.copy()
-    block.settle(dist, node, req, inbox["label"].to_numpy())
-    improved = dist < old
+    block.settle(dist, slot, inbox["label"].to_numpy())
+    improved, dist = (dist < old).reshape(-1, block.width), dist.reshape(-1, block.width)
     shard, reqs = int(inbox["shard"].iat[0]), block.reqs["req_no"].to_numpy()
     parts = []
 
@@ -242,7 +255,7 @@ def _advance(inbox: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
         u = block.at(outer["u"])
         some = improved[u].any(axis=1)
         outer, u = outer[some], u[some]
-        label = dist[u] + block._weights(outer)
+        label = dist[u] + block.weights(outer)
         a, r = np.nonzero(improved[u] & (label <= block.reqs["bound"].to_numpy()[None, :]))
         out = pd.DataFrame({
             "shard": shard, "req_no": reqs[r], "node": outer["v"].to_numpy()[a], "label": label[a, r],
@@ -271,11 +284,12 @@ def _finish(inbox: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
         return _empty(_TREE)
     block, inbox = _open(inbox, arcs)
     dist = block.blank()
-    block.settle(dist, block.at(inbox["node"]), inbox["req"].to_numpy(), inbox["label"].to_numpy())
-    edge, prev, _ = block.parents(dist, inbox)
-    n, r = np.nonzero((dist < INF) & block.owned[:, None])
+    block.settle(dist, block.slots(inbox), inbox["label"].to_numpy())
+    slot = np.flatnonzero((dist < INF) & np.repeat(block.owned, block.width))
+    edge, prev, _ = block.parents(dist, slot, inbox)
+    node, req = np.divmod(slot, block.width)
     return pd.DataFrame({
-        "req_no": block.reqs["req_no"].to_numpy()[r], "node": block.ids[n], "label": dist[n, r], "edge": edge[n, r], "prev": prev[n, r],
+        "req_no": block.reqs["req_no"].to_numpy()[req], "node": block.ids[node], "label": dist[slot], "edge": edge, "prev": prev,
     })
 
 
@@ -286,20 +300,19 @@ def _walk_back(inbox: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
     block, inbox = _open(inbox, arcs)
     entry, tokens = inbox[~inbox["token"]], inbox[inbox["token"]]
     dist = block.blank()
-    block.settle(dist, block.at(entry["node"]), entry["req"].to_numpy(), entry["label"].to_numpy())
-    edge, prev, came = block.parents(dist, entry)
-    shard, reqs, rows = int(inbox["shard"].iat[0]), block.reqs["req_no"].to_numpy(), []
-    for node, r in zip(block.at(tokens["node"]), tokens["req"]):
-        while True:
-            e, p, c = int(edge[node, r]), int(prev[node, r]), int(came[node, r])
-            rows.append((shard, block.number, reqs[r], block.ids[node], dist[node, r], e, p, False))
-            if p < 0:
-                break
-            if c >= 0:
-                rows.append((shard, c, reqs[r], p, INF, -1, -1, True))
-                break
-            node = np.searchsorted(block.ids, p)
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in _PATH.split(", ")])
+    block.settle(dist, block.slots(entry), entry["label"].to_numpy())
+    reqs, slot, parts = block.reqs["req_no"].to_numpy(), np.unique(block.slots(tokens)), []
+    while len(slot):
+        edge, prev, came = block.parents(dist, slot, entry)
+        node, req = np.divmod(slot, block.width)
+        step = pd.DataFrame({
+            "block": block.number, "req_no": reqs[req], "node": block.ids[node], "label": dist[slot], "edge": edge, "prev": prev, "token": False,
+        })
+        leaves = came >= 0
+        parts += [step, step[leaves].assign(block=came[leaves], node=prev[leaves], token=True)]
+        stays = ~leaves & (prev >= 0)
+        slot = block.at(prev[stays]) * block.width + req[stays]
+    return pd.concat(parts).assign(shard=int(inbox["shard"].iat[0]))[[c.split()[0] for c in _PATH.split(", ")]]
 
 
 # --- steps over all blocks ----------------------------------------------------------------------------------------
@@ -309,10 +322,9 @@ def _walk_back(inbox: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
 class Spread:
     """Settled messages of one batch of requests."""
 
-    graph: BlockGraph
+    arcs: DataFrame  # with the weights of the costs in use only
     requests: DataFrame  # numbered, with their bounds in label units
     folder: str  # messages, one sub-folder per step
-    goal_directed: bool
 
     def messages(self) -> DataFrame:
         spark = self.requests.sparkSession
@@ -333,12 +345,12 @@ class Spread:
 
 def _by_group(spread: Spread, inbox: DataFrame, groups: DataFrame, work, schema: str) -> DataFrame:
     """Run ``work`` on every (shard, block) of ``groups`` with its inbox rows and that block's arcs."""
-    n = shuffle_partitions(inbox.sparkSession)
-    key = ["shard", "block"]
     # An explicit count keeps small inputs spread over all cores: the work here is CPU, not bytes.
+    n = TASKS_PER_PARTITION * shuffle_partitions(inbox.sparkSession)
+    key = ["shard", "block"]
     left = inbox.join(spread.terms(), "req_no").repartition(n, *key)
     # Renamed: the two sides share their lineage, and cogroup needs distinct key columns.
-    here = spread.graph.arcs.join(groups.toDF("arc_shard", "arc_block"), F.col("block") == F.col("arc_block"))
+    here = spread.arcs.join(groups.toDF("arc_shard", "arc_block"), F.col("block") == F.col("arc_block"))
     right = here.repartition(n, "arc_shard", "arc_block")
     return left.groupBy(*key).cogroup(right.groupBy("arc_shard", "arc_block")).applyInPandas(work, schema)
 
@@ -391,7 +403,13 @@ def spread(graph: BlockGraph, requests: DataFrame, goal_directed: bool = False)
     """Settle shortest labels from every request's origin, up to its bound, box and goal."""
     spark = requests.sparkSession
     numbered = number_requests(graph, requests, goal_directed)
-    run = Spread(graph, numbered, new_folder(spark, "messages"), goal_directed)
+    used = sorted(row[0] for row in numbered.select("cost_ix").distinct().collect())  # at most one per cost
+    if not used:
+        used = [0]
+    place = F.create_map(*[F.lit(v) for i, u in enumerate(used) for v in (u, i)])
+    numbered = numbered.withColumn("cost_ix", place[F.col("cost_ix")])
+    unused = [f"w_{i}" for i in range(len(graph.costs)) if i not in used]
+    run = Spread(graph.arcs.drop(*unused), numbered, new_folder(spark, "messages"))
     none = F.lit(-1).cast("long")
     numbered.select(
         "shard", F.explode(F.sequence("from_lo", "from_hi")).alias("block"), "req_no", F.col("source").alias("node"),

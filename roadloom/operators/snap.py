@@ -21,10 +21,6 @@ LEAF_NODES = 64  # deepen the pyramid until no leaf square holds more positions
 MAX_DEPTH = 10
 SMALL_LEVEL = 2  # levels up to here have at most 64^2 squares and may be broadcast
 
-_BOX = [
-    F.min("bx0").alias("bx0"), F.min("by0").alias("by0"), F.max("bx1").alias("bx1"), F.max("by1").alias("by1"),
-]
-
 
 @dataclass
 class NodeIndex:
@@ -39,7 +35,9 @@ class NodeIndex:
         up = FANOUT_BITS * (self.depth - d)
         if up == 0:
             return self.boxes
-        return self.boxes.groupBy(F.shiftright("ix", up).alias("ix"), F.shiftright("iy", up).alias("iy")).agg(*_BOX)
+        return self.boxes.groupBy(F.shiftright("ix", up).alias("ix"), F.shiftright("iy", up).alias("iy")).agg(
+            F.min("bx0").alias("bx0"), F.min("by0").alias("by0"), F.max("bx1").alias("bx1"), F.max("by1").alias("by1")
+        )
 
 
 def node_index(nodes: DataFrame) -> NodeIndex:

@@ -11,6 +11,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadloom import ship
+from roadloom.operators.blocks import ROWS_PER_BLOCK
 from roadloom.plans import vehicle, walk
 from roadloom.plans.area import area_router
 from roadloom.plans.route import Router, vehicle_router, walk_router
@@ -41,8 +43,8 @@ _SELECTS = {
 
 
 class Workload:
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, rows_per_block: int = ROWS_PER_BLOCK):
+        self.spark, self.sf_dir, self.rows_per_block = spark, sf_dir, rows_per_block
 
     def sql(self, query: str, *tables: str) -> DataFrame:
         """Run ``query`` over the named fixture tables."""
@@ -84,15 +86,15 @@ class Workload:
 
     @cached_property
     def vehicles(self) -> Router:
-        return vehicle_router(self.nodes, self.edges)
+        return vehicle_router(self.nodes, self.edges, self.rows_per_block)
 
     @cached_property
     def walkers(self) -> Router:
-        return walk_router(self.walk_nodes, self.walk_edges)
+        return walk_router(self.walk_nodes, self.walk_edges, self.rows_per_block)
 
     @cached_property
     def areas(self) -> Router:
-        return area_router(self.nodes, self.edges)
+        return area_router(self.nodes, self.edges, self.rows_per_block)
 
     @cached_property
     def requests(self) -> DataFrame:
@@ -115,5 +117,6 @@ def workload(spark: SparkSession, sf_dir: str) -> Workload:
     """The workload of this session and folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _OPEN:
+        ship(spark)
         _OPEN[key] = Workload(spark, sf_dir)
     return _OPEN[key]

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadloom.functions import geojson, geometry as G, projection
-from roadloom.operators import blocks as B, clip, hull, snap
+from roadloom.functions import geometry as G, projection
+from roadloom.operators import blocks as B, clip, hull
 from roadloom.operators.ids import dense_id, duplicates
 from roadloom.plans import area, route, vehicle, walk
 from roadloom.sources import requests as R, tables
-from roadloom.sources.schemas import INPUTS, PERIODS
-from roadloom.sources.scratch import materialize, new_folder
+from roadloom.sources.schemas import PERIODS
+from roadloom.sources.scratch import new_folder
 from workload.graph import Workload, workload
 
 CLIP_TEST_METRES = 500.0  # small enough to cut something off at every scale
@@ -20,12 +20,13 @@ _QUERIES: dict = {}
 
 
 def query(f):
-    _QUERIES[f.__name__] = lambda spark, sf_dir: f(workload(spark, sf_dir))
+    _QUERIES[f.__name__] = f
     return f
 
 
 def all_queries() -> dict:
-    return dict(_QUERIES)
+    """Every query by name, as a function of the session and the data folder."""
+    return {name: (lambda spark, sf_dir, f=f: f(workload(spark, sf_dir))) for name, f in _QUERIES.items()}
 
 
 def _mm(c: str) -> Column:
@@ -359,6 +360,3 @@ def service_area(w: Workload) -> DataFrame:
     features = area.service_area(w.areas, w.origins).features
     kind = F.get_json_object("feature", "$.geometry.type").alias("kind")
     return features.select("req_id", kind).groupBy("req_id", "kind").agg(F.count(F.lit(1)).alias("features"))
-
-
-__all__ = ["INPUTS", "all_queries", "geojson", "materialize", "snap"]
