@@ -34,12 +34,14 @@ FAR = 1e15  # metres; stands for "no box"
 ROWS_PER_BLOCK = 16_384
 REQUESTS_PER_SHARD = 64
 TASKS_PER_PARTITION = 4  # groups differ in work, so more tasks than shuffle partitions even it out
+BLOCKS_PER_REGION = 256  # arcs are stored by region, so a step reads only the regions it works in
+SHARDS_PER_COPY = 64  # shards one copy of a block's arcs is handed on to by one task
 BOUND_SHRINK = 1 - 1e-6  # keeps the straight-line bound below the true cost despite rounding
 
 METRE_SCALE = 1_000  # millimetres
 MINUTE_SCALE = 1_000_000
 
-_ARC = "block long, edge long, u long, v long, v_lo long, v_hi long, x double, y double, xmin double, ymin double, xmax double, ymax double"
+_ARC = "region long, block long, edge long, u long, v long, v_lo long, v_hi long, x double, y double, xmin double, ymin double, xmax double, ymax double"
 _MESSAGE = "shard long, block long, req_no long, node long, label long, edge long, prev long, prev_block long, goal boolean"
 _TREE = "req_no long, node long, label long, edge long, prev long"
 _PATH = "shard long, block long, req_no long, node long, label long, edge long, prev long, token boolean"
@@ -65,6 +67,10 @@ class BlockGraph:
         return list(self.costs).index(cost)
 
 
+def _region(block: Column) -> Column:
+    return F.floor(block / BLOCKS_PER_REGION).cast("long")
+
+
 def block_graph(nodes: DataFrame, edges: DataFrame, costs: dict[str, Cost], rows_per_block: int = ROWS_PER_BLOCK) -> BlockGraph:
     """Expand edges to weighted arcs and assign them to blocks.
 
@@ -113,8 +119,10 @@ def block_graph(nodes: DataFrame, edges: DataFrame, costs: dict[str, Cost], rows
     placed = materialize(
         numbered.join(u_home, "u").join(v_home, "v")
         .select(block.alias("block"), "edge", "u", "v", "v_lo", "v_hi", "x", "y", *box, *weights, chord.alias("chord"))
+        .withColumn("region", _region(F.col("block")))
         .repartitionByRange("block"),
         "arcs",
+        ["region"],
     )
     rates = placed.where("chord > 0").agg(
         *[F.min(F.when(F.col(w) < INF, F.shiftright(w, HOP_BITS) / F.col("chord"))).alias(w) for w in weights]
@@ -325,6 +333,7 @@ class Spread:
     arcs: DataFrame  # with the weights of the costs in use only
     requests: DataFrame  # numbered, with their bounds in label units
     folder: str  # messages, one sub-folder per step
+    shards: int
 
     def messages(self) -> DataFrame:
         spark = self.requests.sparkSession
@@ -349,12 +358,34 @@ def _by_group(spread: Spread, inbox: DataFrame, groups: DataFrame, work, schema:
     n = TASKS_PER_PARTITION * shuffle_partitions(inbox.sparkSession)
     key = ["shard", "block"]
     left = inbox.join(spread.terms(), "req_no").repartition(n, *key)
-    # Renamed: the two sides share their lineage, and cogroup needs distinct key columns.
-    here = spread.arcs.join(groups.toDF("arc_shard", "arc_block"), F.col("block") == F.col("arc_block"))
-    right = here.repartition(n, "arc_shard", "arc_block")
+    right = _hand_out(spread, groups).repartition(n, "arc_shard", "arc_block")
     return left.groupBy(*key).cogroup(right.groupBy("arc_shard", "arc_block")).applyInPandas(work, schema)
 
 
+def _hand_out(spread: Spread, groups: DataFrame) -> DataFrame:
+    """A copy of its block's arcs for every group.
+
+    Where very many shards can meet in one block, the copies are made in two
+    rounds, so no task writes out a popular block for all of them.
+    """
+    # Renamed: the two sides share their lineage, and cogroup needs distinct key columns.
+    wanted = groups.toDF("arc_shard", "arc_block").withColumn("arc_region", _region(F.col("arc_block")))
+    here = (F.col("block") == F.col("arc_block")) & (F.col("region") == F.col("arc_region"))
+    if spread.shards <= SHARDS_PER_COPY:
+        return spread.arcs.join(wanted, here).drop("region", "arc_region")
+    copies = wanted.groupBy("arc_block", "arc_region").agg(F.ceil(F.count(F.lit(1)) / SHARDS_PER_COPY).alias("copies"))
+    copied = (
+        spread.arcs.join(copies, here)
+        .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+        .drop("region", "arc_region", "copies", "arc_block")
+        .repartition(TASKS_PER_PARTITION * shuffle_partitions(groups.sparkSession), "block", "copy")
+    )
+    takes = copies.join(wanted.drop("arc_region"), "arc_block").select(
+        F.col("arc_block").alias("block"), F.pmod(F.col("arc_shard"), F.col("copies")).alias("copy"), "arc_shard"
+    )
+    return copied.join(takes, ["block", "copy"]).withColumn("arc_block", F.col("block")).drop("copy")
+
+
 def _inbox(messages: DataFrame, step: int | None = None) -> DataFrame:
     """Best message per (group, request, node); ``old`` is the best label from before ``step``."""
     before = F.min(F.when(F.col("step") < step, F.col("label"))) if step is not None else F.lit(None)
@@ -403,13 +434,12 @@ def spread(graph: BlockGraph, requests: DataFrame, goal_directed: bool = False)
     """Settle shortest labels from every request's origin, up to its bound, box and goal."""
     spark = requests.sparkSession
     numbered = number_requests(graph, requests, goal_directed)
-    used = sorted(row[0] for row in numbered.select("cost_ix").distinct().collect())  # at most one per cost
-    if not used:
-        used = [0]
+    kinds, last = numbered.agg(F.collect_set("cost_ix"), F.max("shard")).first()  # at most one element per cost
+    used = sorted(kinds) or [0]
     place = F.create_map(*[F.lit(v) for i, u in enumerate(used) for v in (u, i)])
     numbered = numbered.withColumn("cost_ix", place[F.col("cost_ix")])
     unused = [f"w_{i}" for i in range(len(graph.costs)) if i not in used]
-    run = Spread(graph.arcs.drop(*unused), numbered, new_folder(spark, "messages"))
+    run = Spread(graph.arcs.drop(*unused), numbered, new_folder(spark, "messages"), 1 + (last or 0))
     none = F.lit(-1).cast("long")
     numbered.select(
         "shard", F.explode(F.sequence("from_lo", "from_hi")).alias("block"), "req_no", F.col("source").alias("node"),
@@ -423,7 +453,7 @@ def spread(graph: BlockGraph, requests: DataFrame, goal_directed: bool = False)
         step += 1
         count = Observation()
         out = _by_group(run, inbox, woken, _advance, _MESSAGE).observe(count, F.count_if(~F.col("goal")).alias("sent"))
-        out.write.parquet(f"{run.folder}/step={step}")
+        out.hint("rebalance", "shard", "block").write.parquet(f"{run.folder}/step={step}")
         sent = count.get["sent"]
     return run
 
@@ -454,7 +484,8 @@ def paths(run: Spread) -> DataFrame:
         inbox = entries.drop("old").withColumn("token", F.lit(False)).unionByName(marks)
         count = Observation()
         out = _by_group(run, inbox, tokens.select("shard", "block").distinct(), _walk_back, _PATH)
-        out.observe(count, F.count_if("token").alias("left")).write.parquet(f"{folder}/step={step}")
+        out = out.observe(count, F.count_if("token").alias("left"))
+        out.hint("rebalance", "shard", "block").write.parquet(f"{folder}/step={step}")
         left = count.get["left"]
         tokens = read().where(f"token and step = {step}").select("shard", "block", "req_no", "node")
         step += 1

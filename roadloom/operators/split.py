@@ -15,13 +15,13 @@ def _square(v: Column) -> Column:
 
 
 def _segments(lines: DataFrame) -> DataFrame:
-    """(fid, i, ax, ay, bx, by) of every segment with some length."""
+    """(fid, last, i, ax, ay, bx, by) of every segment with some length; ``last`` is the place of the line's last vertex."""
     return (
-        lines.select("fid", F.posexplode(F.zip_with(
+        lines.select("fid", (F.size("geom") - 1).alias("last"), F.posexplode(F.zip_with(
             "geom", F.slice("geom", F.lit(2), F.greatest(F.size("geom"), F.lit(1))), lambda a, b: F.struct(a.alias("a"), b.alias("b"))
         )).alias("i", "s"))
         .where("s.b is not null and (s.a.x <> s.b.x or s.a.y <> s.b.y)")
-        .select("fid", "i", F.expr("s.a.x").alias("ax"), F.expr("s.a.y").alias("ay"), F.expr("s.b.x").alias("bx"), F.expr("s.b.y").alias("by"))
+        .select("fid", "last", "i", F.expr("s.a.x").alias("ax"), F.expr("s.a.y").alias("ay"), F.expr("s.b.x").alias("bx"), F.expr("s.b.y").alias("by"))
     )
 
 
@@ -52,13 +52,11 @@ def cut_positions(lines: DataFrame, points: DataFrame) -> DataFrame:
     span = dx * dx + dy * dy
     along, across = px * dx + py * dy, px * dy - py * dx
     placed = points.dropDuplicates(["fid", "x", "y"]).withColumns({"gx": _square(F.col("x")), "gy": _square(F.col("y"))})
-    last = lines.select("fid", (F.size("geom") - 1).alias("last"))
     return (
         _squares_along(_segments(lines))
         .join(placed, ["fid", "gx", "gy"])
         .where((F.abs(across) <= ON_LINE * F.sqrt(span)) & (along >= 0) & (along <= span))
-        .select("fid", (F.col("i") + along / span).alias("pos"), "x", "y")
-        .join(last, "fid")
+        .select("fid", "last", (F.col("i") + along / span).alias("pos"), "x", "y")
         .where("pos > 0 and pos < last")
         .groupBy("fid", "pos")
         .agg(F.min(F.struct("x", "y")).alias("p"))

@@ -30,10 +30,10 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and read it back."""
+def materialize(df: DataFrame, label: str, by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once, in sub-folders of the columns ``by`` if given, and read it back."""
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*(by or [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -147,3 +147,24 @@ def test_requests_are_cut_into_full_shards(spark):
     df = spark.range(200).select(F.col("id").alias("req_id"), (F.col("id") % 144).alias("source"), F.lit("way").alias("cost"))
     sizes = sorted(r["count"] for r in B.number_requests(g, df).groupBy("shard").count().collect())
     assert sizes == [8, 64, 64, 64]
+
+
+def test_popular_blocks_are_copied_in_two_rounds(spark, monkeypatch):
+    nodes, edges = make_graph(31)
+    g = graph(spark, nodes, edges, 60)
+    df = spark.range(300).select(F.col("id").alias("req_id"), (F.col("id") % 7).alias("source"), F.lit("way").alias("cost"))
+    sums = lambda run: sorted((r.req_no, r.s, r.n) for r in B.labels(run).groupBy("req_no").agg(F.sum("label").alias("s"), F.count("label").alias("n")).collect())
+    plain = sums(B.spread(g, df))
+    monkeypatch.setattr(B, "SHARDS_PER_COPY", 2)
+    assert sums(B.spread(g, df)) == plain
+
+
+def test_a_step_reads_only_the_regions_it_works_in(spark, monkeypatch):
+    monkeypatch.setattr(B, "BLOCKS_PER_REGION", 2)
+    nodes, edges = make_graph(31)
+    g = graph(spark, nodes, edges, 60)
+    df = spark.createDataFrame([(1, 0, "way", 150.0)], "req_id long, source long, cost string, max_cost double")
+    run = B.spread(g, df)
+    woken = run.messages().where("not goal and step = 0").select("shard", "block").distinct()
+    plan = B._hand_out(run, woken)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
