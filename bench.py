@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from roadloom.operators.blocks import ROWS_PER_BLOCK  # noqa: E402
 from workload.graph import workload  # noqa: E402
 from workload.queries import all_queries  # noqa: E402
 
@@ -40,7 +41,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1000).selectExpr("id % 10 as k").groupBy("k").count().collect()  # start the executors' threads
-    w = workload(spark, sf_dir)
+    w = workload(spark, sf_dir, ROWS_PER_BLOCK)
     times: dict[str, float] = {}
 
     def timed(name: str, work) -> None:

@@ -31,7 +31,7 @@ HOP_BITS = 20
 HOP = 1 << HOP_BITS
 INF = 1 << 61
 FAR = 1e15  # metres; stands for "no box"
-ROWS_PER_BLOCK = 16_384
+ROWS_PER_BLOCK = 65_536
 REQUESTS_PER_SHARD = 64
 TASKS_PER_PARTITION = 4  # groups differ in work, so more tasks than shuffle partitions even it out
 BLOCKS_PER_REGION = 256  # arcs are stored by region, so a step reads only the regions it works in
@@ -159,7 +159,10 @@ class _Block:
         self.leave_from = np.searchsorted(self.u[self.leaving], np.arange(len(self.ids) + 1))
         self.enter_from = np.searchsorted(self.v, np.arange(len(self.ids) + 1))
         self.w = self.weights(self.inner)
-        self.bound = (requests["bound"].to_numpy()[None, :] - self._remaining()).ravel()
+        self.rest = self._remaining().ravel()
+        goal = np.minimum(self.at(requests["goal"]), len(self.ids) - 1)
+        self.goal_req = np.flatnonzero((self.ids[goal] == requests["goal"].to_numpy()) & self.owned[goal])
+        self.goal_slot = goal[self.goal_req] * self.width + self.goal_req
 
     def at(self, nodes) -> np.ndarray:
         return np.searchsorted(self.ids, np.asarray(nodes))
@@ -196,9 +199,13 @@ class _Block:
         return np.arange(len(which)) - np.repeat(np.cumsum(size) - size - first, size), which
 
     def settle(self, dist: np.ndarray, slot: np.ndarray, label: np.ndarray) -> None:
-        """Lower ``dist`` by the given labels and relax inner arcs from what changed until nothing does."""
+        """Lower ``dist`` by the given labels and relax inner arcs from what changed until nothing does.
+
+        Nothing is kept that cannot beat the request's bound, or its goal's label where the goal lies in this block.
+        """
+        req = slot % self.width
         while True:
-            fits = (label < dist[slot]) & (label <= self.bound[slot])
+            fits = (label < dist[slot]) & (label + self.rest[slot] <= self.bounds(dist)[req])
             slot, label = slot[fits], label[fits]
             if not len(slot):
                 return
@@ -210,6 +217,12 @@ class _Block:
             label = dist[live][which] + self.w[arc, req]
             slot = self.v[arc] * self.width + req
 
+    def bounds(self, dist: np.ndarray) -> np.ndarray:
+        """Largest label of use to each request."""
+        bound = self.reqs["bound"].to_numpy().copy()
+        bound[self.goal_req] = np.minimum(bound[self.goal_req], dist[self.goal_slot])
+        return bound
+
     def parents(self, dist: np.ndarray, slot: np.ndarray, entry: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(edge, previous node, block it came from) of settled slots: of the tied arcs, inner or by message, the smallest edge id.
 
@@ -254,6 +267,7 @@ def _advance(inbox: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
     block.settle(dist, slot, inbox["old"].to_numpy())
     old = dist.copy()
     block.settle(dist, slot, inbox["label"].to_numpy())
+    bound = block.bounds(dist)
     improved, dist = (dist < old).reshape(-1, block.width), dist.reshape(-1, block.width)
     shard, reqs = int(inbox["shard"].iat[0]), block.reqs["req_no"].to_numpy()
     parts = []
@@ -264,7 +278,7 @@ def _advance(inbox: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
         some = improved[u].any(axis=1)
         outer, u = outer[some], u[some]
         label = dist[u] + block.weights(outer)
-        a, r = np.nonzero(improved[u] & (label <= block.reqs["bound"].to_numpy()[None, :]))
+        a, r = np.nonzero(improved[u] & (label <= bound))
         out = pd.DataFrame({
             "shard": shard, "req_no": reqs[r], "node": outer["v"].to_numpy()[a], "label": label[a, r],
             "edge": outer["edge"].to_numpy()[a], "prev": outer["u"].to_numpy()[a], "prev_block": block.number, "goal": False,
@@ -276,12 +290,11 @@ def _advance(inbox: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
         nth = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
         parts.append(out.assign(block=out["lo"].to_numpy() + nth))
 
-    goal = np.clip(block.at(block.reqs["goal"]), 0, len(block.ids) - 1)
-    r = np.arange(len(reqs))
-    hit = (block.ids[goal] == block.reqs["goal"].to_numpy()) & block.owned[goal] & improved[goal, r]
+    better = improved.ravel()[block.goal_slot]
+    hit = block.goal_slot[better]
     parts.append(pd.DataFrame({
-        "shard": shard, "block": block.number, "req_no": reqs[hit], "node": block.ids[goal[hit]], "label": dist[goal[hit], r[hit]],
-        "edge": -1, "prev": -1, "prev_block": -1, "goal": True,
+        "shard": shard, "block": block.number, "req_no": reqs[block.goal_req[better]], "node": block.ids[hit // block.width],
+        "label": dist.ravel()[hit], "edge": -1, "prev": -1, "prev_block": -1, "goal": True,
     }))
     return pd.concat(parts)[[c.split()[0] for c in _MESSAGE.split(", ")]]
 

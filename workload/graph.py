@@ -21,6 +21,8 @@ from roadloom.sources.scratch import materialize
 from roadloom.sources.tables import conform
 from workload.fixtures import with_clause
 
+CHECKED_ROWS_PER_BLOCK = 4096  # small enough that the checked routes cross blocks
+
 RAW = ["part", "supplier", "customer", "lineitem"]
 
 _LINE3 = "array(named_struct('x',x1,'y',y1),named_struct('x',xm,'y',ym),named_struct('x',x2,'y',y2)) as geom"
@@ -113,10 +115,10 @@ class Workload:
 _OPEN: dict[tuple[str, str], Workload] = {}
 
 
-def workload(spark: SparkSession, sf_dir: str) -> Workload:
+def workload(spark: SparkSession, sf_dir: str, rows_per_block: int = CHECKED_ROWS_PER_BLOCK) -> Workload:
     """The workload of this session and folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _OPEN:
         ship(spark)
-        _OPEN[key] = Workload(spark, sf_dir)
+        _OPEN[key] = Workload(spark, sf_dir, rows_per_block)
     return _OPEN[key]
