@@ -16,10 +16,11 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from roadloom.operators.blocks import ROWS_PER_BLOCK  # noqa: E402
+from roadloom.sources.schemas import INPUTS  # noqa: E402
 from workload.graph import workload  # noqa: E402
 from workload.queries import all_queries  # noqa: E402
 
-BUILDS = ["roadlink", "nodes", "edges", "network", "walk_nodes", "walk_edges", "requests", "vehicles", "walkers", "areas"]
+BUILDS = ["nodes", "edges", "network", "walk_nodes", "walk_edges", "requests", "vehicles", "walkers", "areas"]
 QUERIES = [
     "node_table", "edge_table_basic", "split_roadlink", "edge_table_pedestrian", "snap_nearest", "clip_edges", "arcs_by_period",
     "to_lonlat", "to_grid", "route_distance", "route_time", "route_astar", "route_walk", "route_all_periods", "route_edges",
@@ -50,6 +51,7 @@ def main() -> None:
         times[name] = round(time.perf_counter() - start, 3)
         print(name, times[name], file=sys.stderr, flush=True)
 
+    timed("derive_inputs", lambda: [w.table(name) for name in INPUTS])
     for name in BUILDS:
         timed(f"build_{name}", lambda: getattr(w, name))
     queries = all_queries()

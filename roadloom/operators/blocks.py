@@ -62,6 +62,7 @@ class BlockGraph:
     homes: DataFrame  # node, v_lo, v_hi, x, y
     costs: dict[str, Cost]
     rate: dict[str, float]  # least cost units per straight metre of any arc
+    blocks: int
 
     def index(self, cost: str) -> int:
         return list(self.costs).index(cost)
@@ -124,11 +125,13 @@ def block_graph(nodes: DataFrame, edges: DataFrame, costs: dict[str, Cost], rows
         "arcs",
         ["region"],
     )
-    rates = placed.where("chord > 0").agg(
-        *[F.min(F.when(F.col(w) < INF, F.shiftright(w, HOP_BITS) / F.col("chord"))).alias(w) for w in weights]
+    rates = placed.agg(
+        *[F.min(F.when((F.col("chord") > 0) & (F.col(w) < INF), F.shiftright(w, HOP_BITS) / F.col("chord"))).alias(w) for w in weights],
+        F.max("block").alias("last"),
     ).first()
     return BlockGraph(
-        placed.drop("chord"), homes, dict(costs), {n: (rates[w] or 0.0) * BOUND_SHRINK for n, w in zip(names, weights)}
+        placed.drop("chord"), homes, dict(costs), {n: (rates[w] or 0.0) * BOUND_SHRINK for n, w in zip(names, weights)},
+        1 + (rates["last"] or 0),
     )
 
 
@@ -347,6 +350,11 @@ class Spread:
     requests: DataFrame  # numbered, with their bounds in label units
     folder: str  # messages, one sub-folder per step
     shards: int
+    blocks: int
+
+    def tasks(self) -> int:
+        """Tasks for one step: several per shuffle partition, but no more than there can be groups."""
+        return max(1, min(TASKS_PER_PARTITION * shuffle_partitions(self.requests.sparkSession), self.shards * self.blocks))
 
     def messages(self) -> DataFrame:
         spark = self.requests.sparkSession
@@ -368,7 +376,7 @@ class Spread:
 def _by_group(spread: Spread, inbox: DataFrame, groups: DataFrame, work, schema: str) -> DataFrame:
     """Run ``work`` on every (shard, block) of ``groups`` with its inbox rows and that block's arcs."""
     # An explicit count keeps small inputs spread over all cores: the work here is CPU, not bytes.
-    n = TASKS_PER_PARTITION * shuffle_partitions(inbox.sparkSession)
+    n = spread.tasks()
     key = ["shard", "block"]
     left = inbox.join(spread.terms(), "req_no").repartition(n, *key)
     right = _hand_out(spread, groups).repartition(n, "arc_shard", "arc_block")
@@ -391,7 +399,7 @@ def _hand_out(spread: Spread, groups: DataFrame) -> DataFrame:
         spread.arcs.join(copies, here)
         .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
         .drop("region", "arc_region", "copies", "arc_block")
-        .repartition(TASKS_PER_PARTITION * shuffle_partitions(groups.sparkSession), "block", "copy")
+        .repartition(spread.tasks(), "block", "copy")
     )
     takes = copies.join(wanted.drop("arc_region"), "arc_block").select(
         F.col("arc_block").alias("block"), F.pmod(F.col("arc_shard"), F.col("copies")).alias("copy"), "arc_shard"
@@ -452,7 +460,7 @@ def spread(graph: BlockGraph, requests: DataFrame, goal_directed: bool = False)
     place = F.create_map(*[F.lit(v) for i, u in enumerate(used) for v in (u, i)])
     numbered = numbered.withColumn("cost_ix", place[F.col("cost_ix")])
     unused = [f"w_{i}" for i in range(len(graph.costs)) if i not in used]
-    run = Spread(graph.arcs.drop(*unused), numbered, new_folder(spark, "messages"), 1 + (last or 0))
+    run = Spread(graph.arcs.drop(*unused), numbered, new_folder(spark, "messages"), 1 + (last or 0), graph.blocks)
     none = F.lit(-1).cast("long")
     numbered.select(
         "shard", F.explode(F.sequence("from_lo", "from_hi")).alias("block"), "req_no", F.col("source").alias("node"),

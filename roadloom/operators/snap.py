@@ -19,7 +19,7 @@ from roadloom.sources.scratch import materialize
 FANOUT_BITS = 3  # a square has 2^3 by 2^3 children
 LEAF_NODES = 64  # deepen the pyramid until no leaf square holds more positions
 MAX_DEPTH = 10
-SMALL_LEVEL = 2  # levels up to here have at most 64^2 squares and may be broadcast
+SMALL_LEVEL = 2  # has at most 64^2 squares and may be broadcast
 
 
 @dataclass
@@ -29,6 +29,7 @@ class NodeIndex:
     leaves: DataFrame  # ix, iy, x, y, id
     boxes: DataFrame  # ix, iy, bx0, by0, bx1, by1
     depth: int
+    top: list  # occupied squares of level 1 with their boxes, at most 64
 
     def level(self, d: int) -> DataFrame:
         """Occupied squares of level ``d`` (0 is the root) with tight boxes."""
@@ -63,32 +64,50 @@ def node_index(nodes: DataFrame) -> NodeIndex:
     boxes = leaves.groupBy("ix", "iy").agg(
         F.min("x").alias("bx0"), F.min("y").alias("by0"), F.max("x").alias("bx1"), F.max("y").alias("by1")
     )
-    return NodeIndex(leaves, materialize(boxes, "squares"), depth)
+    index = NodeIndex(leaves, materialize(boxes, "squares"), depth, [])
+    index.top = sorted(tuple(r) for r in index.level(1).select("ix", "iy", "bx0", "by0", "bx1", "by1").collect())
+    return index
 
 
-def _gap(low: str, high: str, p: str) -> Column:
-    return F.greatest(F.col(low) - F.col(p), F.lit(0.0), F.col(p) - F.col(high))
+def _least(box, p) -> Column:
+    """Squared distance to the nearest point of a box."""
+    dx = F.greatest(box["bx0"] - p["px"], F.lit(0.0), p["px"] - box["bx1"])
+    dy = F.greatest(box["by0"] - p["py"], F.lit(0.0), p["py"] - box["by1"])
+    return dx * dx + dy * dy
 
 
-def _reach(low: str, high: str, p: str) -> Column:
-    return F.greatest(F.abs(F.col(low) - F.col(p)), F.abs(F.col(p) - F.col(high)))
+def _most(box, p) -> Column:
+    """Squared distance to the farthest point of a box."""
+    dx = F.greatest(F.abs(box["bx0"] - p["px"]), F.abs(p["px"] - box["bx1"]))
+    dy = F.greatest(F.abs(box["by0"] - p["py"]), F.abs(p["py"] - box["by1"]))
+    return dx * dx + dy * dy
 
 
 def snap(points: DataFrame, index: NodeIndex, keys: list[str]) -> DataFrame:
-    """``points(keys..., px, py)`` → keys, node_id, d2: least squared distance, then smallest id."""
-    near = points.select(*keys, "px", "py", F.lit(0).cast("long").alias("ix"), F.lit(0).cast("long").alias("iy"))
+    """``points(keys..., px, py)`` → keys, node_id, d2: least squared distance, then smallest id.
+
+    A square holds some node no farther than its box's far side, so squares
+    nearer than the least such distance are the only ones worth opening.
+    """
+    names = ["ix", "iy", "bx0", "by0", "bx1", "by1"]
+    here = {c: F.col(c) for c in ["px", "py", *names]}
+    top = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in index.top])
+    bound = F.array_min(F.transform(top, lambda b: _most(b, here)))
+    near = (
+        points.select(*keys, "px", "py", bound.alias("bound"))
+        .select(*keys, "px", "py", F.explode(F.filter(top, lambda b: _least(b, here) <= F.col("bound"))).alias("s"))
+        .select(*keys, "px", "py", "s.ix", "s.iy")
+    )
     own = Window.partitionBy(*keys)
-    for d in range(1, index.depth + 1):
+    for d in range(2, index.depth + 1):
         children = index.level(d).withColumns(
             {"pix": F.shiftright("ix", FANOUT_BITS), "piy": F.shiftright("iy", FANOUT_BITS)}
         ).withColumnsRenamed({"ix": "cx", "iy": "cy"})
         if d <= SMALL_LEVEL:
             children = F.broadcast(children)
-        gx, gy = _gap("bx0", "bx1", "px"), _gap("by0", "by1", "py")
-        rx, ry = _reach("bx0", "bx1", "px"), _reach("by0", "by1", "py")
         near = (
             near.join(children, (F.col("ix") == F.col("pix")) & (F.col("iy") == F.col("piy")))
-            .select(*keys, "px", "py", F.col("cx").alias("ix"), F.col("cy").alias("iy"), (gx * gx + gy * gy).alias("least"), (rx * rx + ry * ry).alias("most"))
+            .select(*keys, "px", "py", F.col("cx").alias("ix"), F.col("cy").alias("iy"), _least(here, here).alias("least"), _most(here, here).alias("most"))
             .withColumn("bound", F.min("most").over(own))
             .where("least <= bound")
             .select(*keys, "px", "py", "ix", "iy")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadloom.sources.scratch import materialize
+
 ON_LINE = 1e-6  # metres a point may lie off a segment and still cut it
 SQUARE = 64.0  # metres; segments and cut points meet in squares of this size
 BINS = 1024  # bins per segment in which cuts are counted before the running piece number
@@ -67,7 +69,7 @@ def cut_positions(lines: DataFrame, points: DataFrame) -> DataFrame:
 def split_lines(lines: DataFrame, points: DataFrame, max_pieces: int | None = None) -> DataFrame:
     """(fid, n, geom): the pieces of each line in ``lines``, numbered from its start.
 
-    ``lines`` is (fid, geom), ``points`` is (fid, x, y). Lines without a cut come
+    ``lines`` is (fid, geom) and is read three times, ``points`` is (fid, x, y). Lines without a cut come
     back as one piece. The piece number is a running count of cuts taken in two
     levels: per bin (at most ``BINS`` per segment), then within the bin, so a line
     with very many cuts is not counted by one task alone.
@@ -75,7 +77,7 @@ def split_lines(lines: DataFrame, points: DataFrame, max_pieces: int | None = No
     vertices = lines.select("fid", F.posexplode("geom").alias("pos", "p")).select(
         "fid", F.col("pos").cast("double").alias("pos"), "p.x", "p.y", F.lit(False).alias("cut")
     )
-    cuts = cut_positions(lines, points).withColumn("cut", F.lit(True))
+    cuts = materialize(cut_positions(lines, points), "cuts").withColumn("cut", F.lit(True))  # read twice below
     marks = (
         vertices.unionByName(cuts)
         .groupBy("fid", "pos")

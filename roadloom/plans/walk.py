@@ -9,6 +9,7 @@ from roadloom.functions import geometry as G
 from roadloom.operators.ids import dense_id
 from roadloom.operators.split import split_lines
 from roadloom.sources.schemas import WALK_EDGES, WALK_NODES
+from roadloom.sources.scratch import materialize
 from roadloom.sources.tables import conform
 
 
@@ -31,7 +32,8 @@ def split_road_links(roadlink: DataFrame, connectingnode: DataFrame, max_pieces:
     """(fid, n, type, routehierarchy, formofway, geom): pieces of every link some connecting node names."""
     points = connecting_points(connectingnode)
     named = points.select("fid").dropDuplicates()
-    lines = roadlink.select(F.col("id").alias("fid"), "geom", "routehierarchy", "formofway").join(named, "fid", "left_semi")
+    links = roadlink.select(F.col("id").alias("fid"), "geom", "routehierarchy", "formofway")
+    lines = materialize(links.join(named, "fid", "left_semi"), "named-links")
     pieces = split_lines(lines.select("fid", "geom"), points, max_pieces)
     return pieces.join(lines.select("fid", "routehierarchy", "formofway"), "fid").select(
         "fid", "n", F.lit("RoadLink").alias("type"), "routehierarchy", "formofway", "geom"

@@ -7,6 +7,8 @@ exact in both engines.
 
 from __future__ import annotations
 
+import re
+
 from roadloom.sources.schemas import PERIODS
 
 _MONTHS = dict(zip(PERIODS, [(1, 2), (3, 4), (5, 6), (7, 8), (9, 10), (11, 12)]))
@@ -42,35 +44,40 @@ select 2*p_partkey+1, concat('L',2*p_partkey+1),
   p_type, p_name, p_brand, case when p_partkey%97=0 then 'Under Construction' else 'Open' end,
   a.x, a.y, (a.x+b.x)/2 + p_partkey%11 - 5, (a.y+b.y)/2 + p_partkey%13 - 6, b.x, b.y
 from part join fx_node a on a.k=p_partkey join fx_node b on b.k=p_partkey+40""",
-    "speeds": "select concat('L',2*l_partkey+d) as roadlinkid, "
+    "observed": "select l_partkey, "
     + ", ".join(_speed(p, side) for p in PERIODS for side in "ab")
     + """
-from lineitem cross join (select 0 as d union all select 1 as d) dd group by l_partkey, d having count(*) >= 22""",
-    "elements": """select concat('T',s_suppkey) as id, concat('F',s_suppkey) as identifier, 'FerryNode' as role from supplier
+from lineitem group by l_partkey having count(*) >= 22""",
+    "speeds": " union all ".join(
+        f"select concat('L',2*l_partkey+{d}) as roadlinkid, " + ", ".join(f"{p}{side}" for p in PERIODS for side in "ab") + " from observed" for d in (0, 1)
+    ),
+    "ports": "select s_suppkey as k, s_nationkey as nation, s_acctbal as balance, (s_suppkey*61)%(select n from size) as node from supplier",
+    "elements": """select concat('T',k) as id, concat('F',k) as identifier, 'FerryNode' as role from ports
 union all
-select concat('T',s_suppkey), case when s_nationkey=3 then 'N999999999' else concat('N',(s_suppkey*61)%n) end, 'RoadNode'
-from supplier, size where s_acctbal >= 0""",
-    "ferries": """select s.s_suppkey as ogc_fid, concat('FL',s.s_suppkey) as id, concat('F',s.s_suppkey) as startnode, concat('F',e.s_suppkey) as endnode,
+select concat('T',k), case when nation=3 then 'N999999999' else concat('N',node) end, 'RoadNode' from ports where balance >= 0""",
+    "ferries": """select s.k as ogc_fid, concat('FL',s.k) as id, concat('F',s.k) as startnode, concat('F',e.k) as endnode,
   a.x as x1, a.y as y1, b.x as x2, b.y as y2
-from size cross join supplier s join supplier e on e.s_suppkey=s.s_suppkey+1
-  join fx_node a on a.k=(s.s_suppkey*61)%n join fx_node b on b.k=(e.s_suppkey*61)%n""",
-    "cutpoints": """select c_custkey as id, case c_custkey%3 when 0 then r.id when 1 then '' else null end as roadlink,
-  case c_custkey%7 when 3 then r.xm when 4 then r.x1 when 5 then r.x1 else r.x1+(r.xm-r.x1)*(c_custkey%7%4+1)*0.25 end as x,
-  case c_custkey%7 when 3 then r.ym when 4 then r.y1 when 5 then r.y1+1 else r.y1+(r.ym-r.y1)*(c_custkey%7%4+1)*0.25 end as y
-from size cross join customer join links r on r.ogc_fid=2*((c_custkey*7)%cast(floor(n/5) as bigint))""",
-    "paths": """select concat('P',s_suppkey) as id, 'Path' as formofway, cn.x+30 as x1, cn.y+40 as y1, nd.x as x2, nd.y as y2
-from size cross join supplier join cutpoints cn on cn.id=3*s_suppkey join fx_node nd on nd.k=(s_suppkey*17)%n""",
-    "connectors": """select concat('C',s_suppkey) as id, cn.x as x1, cn.y as y1, cn.x+30 as x2, cn.y+40 as y2
-from supplier join cutpoints cn on cn.id=3*s_suppkey""",
-    "od_request": """select s_suppkey as req_id, s.x+3 as src_x, s.y-2 as src_y, d.x-4 as dst_x, d.y+1 as dst_y,
-  case when s_nationkey%2=0 then 'distance' else 'time' end as opt,
-  case s_nationkey%6 """
+from ports s join ports e on e.k=s.k+1 join fx_node a on a.k=s.node join fx_node b on b.k=e.node""",
+    "cutters": "select c_custkey as id, 2*((c_custkey*7)%(select cast(floor(n/5) as bigint) from size)) as fid from customer",
+    "cutpoints": """select c.id, case c.id%3 when 0 then r.id when 1 then '' else null end as roadlink,
+  case c.id%7 when 3 then r.xm when 4 then r.x1 when 5 then r.x1 else r.x1+(r.xm-r.x1)*(c.id%7%4+1)*0.25 end as x,
+  case c.id%7 when 3 then r.ym when 4 then r.y1 when 5 then r.y1+1 else r.y1+(r.ym-r.y1)*(c.id%7%4+1)*0.25 end as y
+from cutters c join links r on r.ogc_fid=c.fid""",
+    "trips": """select s_suppkey as id, s_nationkey as nation, (s_suppkey*17)%(select n from size) as here,
+  (s_suppkey*17+53*(s_nationkey+1))%(select n from size) as there from supplier""",
+    "paths": """select concat('P',t.id) as id, 'Path' as formofway, cn.x+30 as x1, cn.y+40 as y1, nd.x as x2, nd.y as y2
+from trips t join cutpoints cn on cn.id=3*t.id join fx_node nd on nd.k=t.here""",
+    "connectors": """select concat('C',t.id) as id, cn.x as x1, cn.y as y1, cn.x+30 as x2, cn.y+40 as y2
+from trips t join cutpoints cn on cn.id=3*t.id""",
+    "od_request": """select t.id as req_id, s.x+3 as src_x, s.y-2 as src_y, d.x-4 as dst_x, d.y+1 as dst_y,
+  case when nation%2=0 then 'distance' else 'time' end as opt,
+  case nation%6 """
     + " ".join(f"when {i} then '{p}'" for i, p in enumerate(PERIODS))
-    + """ end as period, cast(5 + 5*(s_nationkey%3) as double) as minutes
-from size cross join supplier join fx_node s on s.k=(s_suppkey*17)%n join fx_node d on d.k=(s_suppkey*17+53*(s_nationkey+1))%n""",
+    + """ end as period, cast(5 + 5*(nation%3) as double) as minutes
+from trips t join fx_node s on s.k=t.here join fx_node d on d.k=t.there""",
 }
 
-_NEEDS = {name: [t for t in TABLES if t != name and f" {t}" in f" {sql}".replace("\n", " ").replace(",", " ")] for name, sql in TABLES.items()}
+_NEEDS = {name: [t for t in TABLES if t != name and re.search(rf"(from|join) {t}\b", sql)] for name, sql in TABLES.items()}
 
 
 def with_clause(*names: str, extra: dict[str, str] | None = None) -> str:

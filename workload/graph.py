@@ -47,6 +47,7 @@ _SELECTS = {
 class Workload:
     def __init__(self, spark: SparkSession, sf_dir: str, rows_per_block: int = ROWS_PER_BLOCK):
         self.spark, self.sf_dir, self.rows_per_block = spark, sf_dir, rows_per_block
+        self._tables: dict[str, DataFrame] = {}
 
     def sql(self, query: str, *tables: str) -> DataFrame:
         """Run ``query`` over the named fixture tables."""
@@ -55,12 +56,15 @@ class Workload:
         return self.spark.sql(with_clause(*tables) + query)
 
     def table(self, name: str) -> DataFrame:
-        fixture, columns = _SELECTS[name]
-        return conform(self.sql(f"select {columns} from {fixture}", fixture), INPUTS[name])
+        """An input table, written on first use."""
+        if name not in self._tables:
+            fixture, columns = _SELECTS[name]
+            self._tables[name] = materialize(conform(self.sql(f"select {columns} from {fixture}", fixture), INPUTS[name]), name)
+        return self._tables[name]
 
-    @cached_property
+    @property
     def roadlink(self) -> DataFrame:
-        return materialize(self.table("roadlink"), "roadlink")
+        return self.table("roadlink")
 
     @cached_property
     def nodes(self) -> DataFrame:

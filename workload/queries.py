@@ -11,7 +11,7 @@ from roadloom.operators.ids import dense_id, duplicates
 from roadloom.plans import area, route, vehicle, walk
 from roadloom.sources import requests as R, tables
 from roadloom.sources.schemas import PERIODS
-from roadloom.sources.scratch import new_folder
+from roadloom.sources.scratch import materialize, new_folder
 from workload.graph import Workload, workload
 
 CLIP_TEST_METRES = 500.0  # small enough to cut something off at every scale
@@ -339,7 +339,7 @@ def drive_time_bands(w: Workload) -> DataFrame:
 
 
 def _hull(w: Workload, outlines) -> DataFrame:
-    shapes = outlines(area.area_points(_area_nodes(w), w.nodes))
+    shapes = outlines(area.area_points(materialize(_area_nodes(w), "area-nodes"), w.nodes))
     return shapes.select(
         "req_id", F.size("ring").cast("long").alias("n_points"), G.to_mm(F.col("area")).alias("area_e3"), G.to_mm(F.col("convex_area")).alias("convex_area_e3")
     )
