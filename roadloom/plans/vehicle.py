@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadloom.functions import costs as C
@@ -78,12 +78,18 @@ def vehicle_edges(roadlink: DataFrame, nodes: DataFrame, speeds: DataFrame | Non
 
 
 def ferry_terminals(elements: DataFrame) -> DataFrame:
-    """One row per terminal that has a road node: element identifiers ordered by role, then identifier."""
+    """One row per terminal that has a road node: its first two element identifiers by role, then identifier.
+
+    Only these two are ever used. The rank limit is applied before the shuffle,
+    so a terminal with very many elements is not gathered in one task.
+    """
     with_road = elements.where(F.col("role") == "RoadNode").select("id")
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("role", "identifier"))
+    first_two = elements.withColumn("rank", rank).where("rank <= 2")
     return (
-        elements.join(with_road, "id", "left_semi")
+        first_two.join(with_road, "id", "left_semi")
         .groupBy("id")
-        .agg(F.array_sort(F.collect_list(F.struct("role", "identifier"))).alias("e"))
+        .agg(F.array_sort(F.collect_list(F.struct("rank", "identifier"))).alias("e"))
         .select("id", F.transform("e", lambda s: s.identifier).alias("element_href"))
     )
 
@@ -129,7 +135,10 @@ def ferry_edges(
 
 
 def add_ferries(edges: DataFrame, ferries: DataFrame) -> DataFrame:
-    """Append ferry edges to an edge table of the same shape."""
+    """Append ferry edges to an edge table of the same shape.
+
+    ``duplicates(result, ["id"])`` is empty as long as the roads have fewer edges than the ferry offset.
+    """
     return edges.unionByName(conform(ferries, edges.schema))
 
 

@@ -47,9 +47,14 @@ def area_cost_name(period: Column) -> Column:
     return F.concat(F.lit("time_"), _checked(F.coalesce(period, F.lit(DEFAULT_AREA_PERIOD)), PERIODS, "period"))
 
 
+def _with_absent(df: DataFrame, *columns: str) -> DataFrame:
+    """Parameters nobody gave, as NULL."""
+    return df.withColumns({c: F.lit(None).cast("string") for c in columns if c not in df.columns})
+
+
 def route_requests(df: DataFrame) -> DataFrame:
-    """(req_id, points, option, period) as text to grid requests. Points after the second are ignored."""
-    ends = df.withColumn("p", parse_points(F.col("points"))).withColumns(
+    """(req_id, points[, option, period]) as text to grid requests. Points after the second are ignored."""
+    ends = _with_absent(df, "option", "period").withColumn("p", parse_points(F.col("points"))).withColumns(
         {"s": to_grid(F.col("p")[0].lon, F.col("p")[0].lat), "d": to_grid(F.col("p")[1].lon, F.col("p")[1].lat)}
     )
     return ends.select(
@@ -59,8 +64,8 @@ def route_requests(df: DataFrame) -> DataFrame:
 
 
 def area_requests(df: DataFrame) -> DataFrame:
-    """(req_id, point, option, cost, period) as text to grid requests, with the defaults filled in."""
-    placed = df.withColumn("p", parse_point(F.col("point"))).withColumn("g", to_grid(F.col("p.lon"), F.col("p.lat")))
+    """(req_id, point[, option, cost, period]) as text to grid requests, with the defaults filled in."""
+    placed = _with_absent(df, "option", "cost", "period").withColumn("p", parse_point(F.col("point"))).withColumn("g", to_grid(F.col("p.lon"), F.col("p.lat")))
     return placed.select(
         "req_id", F.col("g.x").alias("x"), F.col("g.y").alias("y"),
         F.coalesce("option", F.lit(DEFAULT_AREA_OPTION)).alias("option"),

@@ -1,4 +1,4 @@
-"""Load, replace and append tables."""
+"""Load, replace and append tables; write features."""
 
 from __future__ import annotations
 
@@ -30,3 +30,9 @@ def append(df: DataFrame, path: str) -> DataFrame:
     schema = df.sparkSession.read.parquet(path).schema
     conform(df, schema).write.mode("append").parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def write_features(features: DataFrame, path: str) -> None:
+    """Write GeoJSON features as text, one per line; those of a request stand together, in order."""
+    order = [c for c in ("req_id", "seq") if c in features.columns]
+    features.repartition("req_id").sortWithinPartitions(*order).select("feature").write.mode("overwrite").text(path)

@@ -113,3 +113,18 @@ def test_save_replaces_and_append_adds(spark, tmp_path):
     tables.save(spark.createDataFrame([(1, "a")], "k long, v string"), path)
     tables.save(spark.createDataFrame([(2, "b")], "k long, v string"), path)
     assert sorted(tables.append(spark.createDataFrame([("c", 3)], "v string, k int"), path).collect()) == [(2, "b"), (3, "c")]
+
+
+def test_many_connecting_nodes_of_one_link_are_collected_in_parts(spark):
+    cn = spark.range(1000).select(F.lit("hot").alias("roadlink"), F.array(F.struct(F.col("id").cast("double").alias("x"), F.lit(0.0).alias("y"))).alias("geom"))
+    got = walk.collect_connecting_nodes(cn, per_row=100)
+    assert got.count() == 10
+    assert got.select(F.explode("geom").alias("p")).select("p.x").distinct().count() == 1000
+    assert walk.collect_connecting_nodes(cn).count() == 1
+
+
+def test_only_the_first_two_elements_of_a_terminal_are_shuffled(spark):
+    elements = spark.createDataFrame([("T", f"F{i:04}", "FerryNode") for i in range(3)] + [("T", "A", "RoadNode")], FERRYTERMINAL_ELEMENT)
+    terminals = vehicle.ferry_terminals(elements)
+    assert terminals.first().element_href == ["F0000", "F0001"]
+    assert "WindowGroupLimit" in terminals._jdf.queryExecution().executedPlan().toString()

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadloom.functions import costs, geojson, geometry as G, projection
-from roadloom.sources import requests as R
+from roadloom.sources import requests as R, scratch, tables
 
 
 def one(spark, *columns):
@@ -39,7 +39,7 @@ def test_rounding_and_keys(spark):
 
 
 def test_request_text(spark):
-    df = spark.createDataFrame([(1, "-1.471 50.939,-1.475 50.945,0 0", None, None)], "req_id long, points string, option string, period string")
+    df = spark.createDataFrame([(1, "-1.471 50.939,-1.475 50.945,0 0")], "req_id long, points string")
     r = R.route_requests(df).first()
     assert r.option == "distance" and 437000 < r.src_x < 438000 and 115000 < r.dst_y < 117000
     a = spark.createDataFrame([(1, "-3.5299,50.7224", None, None, None)], "req_id long, point string, option string, cost string, period string")
@@ -62,3 +62,25 @@ def test_features_are_valid_geojson(spark):
     assert all(len(str(v).split(".")[1]) <= 7 for p in f["geometry"]["coordinates"] for v in p)
     bare = json.loads(one(spark, geojson.feature_json(geojson.polygon_geometry(line), {})).asDict().popitem()[1])
     assert bare["properties"] == {} and bare["geometry"]["type"] == "Polygon"
+
+
+def test_features_are_written_request_by_request(spark, tmp_path):
+    df = spark.createDataFrame([(r, s, f"{r}-{s}") for s in (2, 1, 3) for r in (1, 2)], "req_id long, seq long, feature string")
+    tables.write_features(df, str(tmp_path / "f"))
+    lines = [r.value for r in spark.read.text(str(tmp_path / "f")).collect()]
+    assert [x for x in lines if x[0] == "1"] == ["1-1", "1-2", "1-3"] and len(lines) == 6
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Context:
+        master = "spark://host:1"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.scratch_root(Session())
+    Session.conf = {"spark.checkpoint.dir": "s3a://shared/tmp/"}
+    assert scratch.new_folder(Session(), "x").startswith("s3a://shared/tmp/x-")

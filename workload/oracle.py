@@ -320,7 +320,7 @@ def all_oracles() -> dict[str, str]:
         "ferry_edges": _sql(("links", "elements", "ferries"), _NODES | _FERRIES, f"""select id, fid, source, target, 'Ferry Route' as routehierarchy, 'Open' as operationalstate,
           'both directions' as directionality, 0 as n_names, {_mm('length')} as length_mm, {e(_ROUND2, 2)} as cost_distance_e2, 1e0 as cost_time_weekend0719, x1, y1, x2, y2 from boats"""),
         "connectingnode_used": _sql(("cutpoints",), {}, "select roadlink as fid, x, y from cutpoints where roadlink <> ''"),
-        "collect_connectingnode": _sql(("cutpoints",), _POINTS, """select fid as roadlink, count(*) as n_points, arg_min(x, (x,y)) as first_x, arg_min(y, (x,y)) as first_y,
+        "collect_connectingnode": _sql(("cutpoints",), _POINTS, """select fid as roadlink, cast(0 as bigint) as part, count(*) as n_points, arg_min(x, (x,y)) as first_x, arg_min(y, (x,y)) as first_y,
           arg_max(x, (x,y)) as last_x, arg_max(y, (x,y)) as last_y from pts group by fid"""),
         "split_roadlink": _sql(("links", "cutpoints"), _SPLIT, f"select fid, n, {piece} from pieces"),
         "non_split_roadlink": _sql(("links", "cutpoints"), {}, """select id as fid, cast(1 as bigint) as n, 'RoadLink' as type, routehierarchy, formofway from links
@@ -331,7 +331,7 @@ def all_oracles() -> dict[str, str]:
           x1, y1, x2, y2 from walk_edges"""),
         "walkable_edges": _sql(_WALKS, _WALK, "select id, routehierarchy from walk_edges where routehierarchy <> 'Motorway'"),
         "duplicate_nodes": _sql(("links",), _NODES, "select x, y, count(*) as copies from nodes group by x, y having count(*) > 1"),
-        "dense_ids": _sql(("speeds",), {}, "select roadlinkid, row_number() over (order by roadlinkid desc) + 1000 as id from speeds"),
+        "dense_id": _sql(("speeds",), {}, "select roadlinkid, row_number() over (order by roadlinkid desc) + 1000 as id from speeds"),
         "edge_endpoints": _sql(("links",), {}, "select id, x1, y1, x2, y2 from links"),
         "line_length": _sql(("links",), {}, f"select id, {_mm(_LINE3_LENGTH)} as length_mm from links"),
         "to_lonlat": _sql(("links",), _NODES | _to_lonlat("select id as k, x, y from nodes"), f"select k as id, {e('degrees(lam)', 7)} as lon_e7, {e('degrees(phi)', 7)} as lat_e7 from lonlat"),

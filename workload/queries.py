@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadloom.functions import geometry as G, projection
-from roadloom.operators import blocks as B, clip, hull
-from roadloom.operators.ids import dense_id, duplicates
+from roadloom.operators import blocks as B, clip, hull, ids
 from roadloom.plans import area, route, vehicle, walk
 from roadloom.sources import requests as R, tables
 from roadloom.sources.schemas import PERIODS
@@ -110,7 +109,7 @@ def connectingnode_used(w: Workload) -> DataFrame:
 def collect_connectingnode(w: Workload) -> DataFrame:
     multi = walk.collect_connecting_nodes(w.table("connectingnode"))
     return multi.select(
-        "roadlink", G.piece_count(F.col("geom")).cast("long").alias("n_points"), G.start_point(F.col("geom")).x.alias("first_x"),
+        "roadlink", "part", G.piece_count(F.col("geom")).cast("long").alias("n_points"), G.start_point(F.col("geom")).x.alias("first_x"),
         G.start_point(F.col("geom")).y.alias("first_y"), G.end_point(F.col("geom")).x.alias("last_x"), G.end_point(F.col("geom")).y.alias("last_y"),
     )
 
@@ -159,13 +158,13 @@ def walkable_edges(w: Workload) -> DataFrame:
 @query
 def duplicate_nodes(w: Workload) -> DataFrame:
     """Positions more than one vehicle node shares (grade-separated crossings)."""
-    return duplicates(w.nodes, ["x", "y"])
+    return ids.duplicates(w.nodes, ["x", "y"])
 
 
 @query
-def dense_ids(w: Workload) -> DataFrame:
+def dense_id(w: Workload) -> DataFrame:
     speeds = w.table("average_speeds").select("roadlinkid")
-    return dense_id(speeds, [F.desc("roadlinkid")], offset=1000)
+    return ids.dense_id(speeds, [F.desc("roadlinkid")], offset=1000)
 
 
 # --- functions ----------------------------------------------------------------------------------------------------
