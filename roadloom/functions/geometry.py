@@ -74,22 +74,32 @@ def point_text(x: Column, y: Column) -> Column:
     )
 
 
-def interleave(x: Column, y: Column) -> Column:
-    """Z-order key of a grid position: bits of x and y in turn (metres, 26 bits each)."""
-
-    def spread(v: Column) -> Column:
-        # The masks of the usual bit-spreading steps.
-        for shift, mask in [
-            (16, 0x0000FFFF0000FFFF),
-            (8, 0x00FF00FF00FF00FF),
-            (4, 0x0F0F0F0F0F0F0F0F),
-            (2, 0x3333333333333333),
-            (1, 0x5555555555555555),
-        ]:
-            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
-        return v
+CURVE_BITS = 20  # grid squares per axis of the curve, as a power of two
+CURVE_METRES = 2.0  # side of such a square; the curve spans 2,000 km
 
-    def index(v: Column) -> Column:
-        return F.floor(v + F.lit(float(1 << 25))).cast("long").bitwiseAND(F.lit((1 << 26) - 1))
 
-    return spread(index(x)).bitwiseOR(F.shiftleft(spread(index(y)), 1))
+def curve_key(x: Column, y: Column) -> Column:
+    """Place of a grid position along a Hilbert curve, so that neighbours get near keys.
+
+    One turn per bit: the quadrant adds to the key, then the frame is turned to
+    the quadrant's own orientation.
+    """
+    top = 1 << CURVE_BITS
+
+    def index(v: Column) -> Column:
+        return F.least(F.greatest(F.floor(v / CURVE_METRES + top / 4), F.lit(0)), F.lit(top - 1)).cast("long")
+
+    def turn(p: Column, side: Column) -> Column:
+        right, upper = p.x >= side, p.y >= side
+        quadrant = F.when(right, F.when(upper, 2).otherwise(3)).otherwise(F.when(upper, 1).otherwise(0))
+        x, y = p.x - F.when(right, side).otherwise(0), p.y - F.when(upper, side).otherwise(0)
+        mirrored = right & ~upper
+        return F.struct(
+            F.when(upper, x).when(mirrored, side - 1 - y).otherwise(y).alias("x"),
+            F.when(upper, y).when(mirrored, side - 1 - x).otherwise(x).alias("y"),
+            (p.key * 4 + quadrant).alias("key"),
+        )
+
+    start = F.struct(index(x).alias("x"), index(y).alias("y"), F.lit(0).cast("long").alias("key"))
+    sides = F.array(*[F.lit(1 << b).cast("long") for b in reversed(range(CURVE_BITS))])
+    return F.aggregate(sides, start, turn, lambda p: p.key)

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from roadloom.functions.geometry import interleave
+from roadloom.functions.geometry import curve_key
 from roadloom.operators.clip import fixed_cost
 from roadloom.operators.ids import dense_id
 from roadloom.sources.scratch import materialize, new_folder, shuffle_partitions
@@ -101,9 +101,9 @@ def block_graph(nodes: DataFrame, edges: DataFrame, costs: dict[str, Cost], rows
         F.lit(-1).cast("long").alias("edge"), *[F.lit(0.0).alias(b) for b in box], F.col("id").alias("u"), F.col("id").alias("v"),
         *[F.lit(INF).alias(w) for w in weights],
     )
-    at = nodes.select(F.col("id").alias("u"), "x", "y")
-    rows = opened.unionByName(anchors).join(at, "u").withColumn("z", interleave(F.col("x"), F.col("y")))
-    numbered = dense_id(rows, ["z", "u", "edge", "v"], "no", offset=-1).drop("z")
+    at = nodes.select(F.col("id").alias("u"), "x", "y", curve_key(F.col("x"), F.col("y")).alias("key"))
+    rows = opened.unionByName(anchors).join(at, "u")
+    numbered = dense_id(rows, ["key", "u", "edge", "v"], "no", offset=-1).drop("key")
 
     first, last = F.floor(F.min("no") / rows_per_block), F.floor(F.max("no") / rows_per_block)
     wide = F.max("no") - F.min("no") >= rows_per_block
@@ -121,7 +121,7 @@ def block_graph(nodes: DataFrame, edges: DataFrame, costs: dict[str, Cost], rows
         numbered.join(u_home, "u").join(v_home, "v")
         .select(block.alias("block"), "edge", "u", "v", "v_lo", "v_hi", "x", "y", *box, *weights, chord.alias("chord"))
         .withColumn("region", _region(F.col("block")))
-        .repartitionByRange("block"),
+        .repartitionByRange("block", "u"),  # more files than blocks, so a few blocks still load in parallel
         "arcs",
         ["region"],
     )
@@ -443,11 +443,11 @@ def number_requests(graph: BlockGraph, requests: DataFrame, goal_directed: bool
             F.coalesce(limit, F.lit(INF - 1)).cast("long").alias("max_label"),
             F.coalesce("lo_x", F.lit(-FAR)).alias("lo_x"), F.coalesce("lo_y", F.lit(-FAR)).alias("lo_y"),
             F.coalesce("hi_x", F.lit(FAR)).alias("hi_x"), F.coalesce("hi_y", F.lit(FAR)).alias("hi_y"),
-            interleave(F.col("sx"), F.col("sy")).alias("z"),
+            curve_key(F.col("sx"), F.col("sy")).alias("key"),
         )
         .drop("rate").withColumnRenamed("goal_rate", "rate")
     )
-    numbered = dense_id(ready, ["z", "source", "req_id", "target", "cost"], "req_no", offset=-1).drop("z")
+    numbered = dense_id(ready, ["key", "source", "req_id", "target", "cost"], "req_no", offset=-1).drop("key")
     return materialize(numbered.withColumn("shard", F.floor(F.col("req_no") / REQUESTS_PER_SHARD).cast("long")), "requests")
 
 

@@ -157,3 +157,11 @@ def test_hull_corners_of_a_square():
 
     p = np.array([(x, y) for x in range(5) for y in range(5)], dtype=np.int64)
     assert hull.hull_corners(p).tolist() == [[0, 0], [4, 0], [4, 4], [0, 4]]
+
+
+def test_curve_visits_neighbours_in_turn(spark):
+    grid = spark.range(1024).select((F.col("id") % 32).alias("i"), F.floor(F.col("id") / 32).alias("j"))
+    step = G.CURVE_METRES
+    rows = grid.select("i", "j", G.curve_key(F.col("i") * step, F.col("j") * step).alias("k")).orderBy("k").collect()
+    assert [b.k - a.k for a, b in zip(rows, rows[1:])] == [1] * 1023
+    assert all(abs(a.i - b.i) + abs(a.j - b.j) == 1 for a, b in zip(rows, rows[1:]))
