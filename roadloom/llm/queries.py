@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadloom.llm import embedding_near_dup
+from roadloom.llm import embedding_near_dup, exact_dedup, ngram_jaccard
 from roadloom.llm.tables import read
 
 _QUERIES: dict = {}
@@ -27,3 +27,20 @@ def llm_oracles() -> dict:
 @query
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_near_dup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.jaccard_join(read(spark, sf_dir, "documents"))
+
+
+@query
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup_files(spark, f"{sf_dir}/documents.parquet").drop("locator")
+
+
+_SQL["op4_exact_dedup"] = r"""
+with t as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as body from documents),
+g as (select body, min(doc_id) as keep_id, count(*) as group_size from t group by body)
+select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(body) as text_sha256 from t join g using (body)
+"""
