@@ -28,24 +28,27 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " ")
 
 
-def sha256(text: Column) -> Column:
-    return F.sha2(text.cast("binary"), 256)
-
-
 def _seen(docs: DataFrame, digest) -> DataFrame:
-    text = normalised(F.col("text"))
+    body = normalised(F.col("text"))
+    sha = F.sha2(body.cast("binary"), 256)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.concat_ws("#", "_metadata.file_path", F.col("_metadata.row_index").cast("string")).alias("locator"),
-        text.alias("body"), digest(text).alias("digest"),
+        body.alias("body"), sha.alias("sha"), digest(sha).alias("digest"),
     )
 
 
+def _place(sha: str = "sha") -> Column:
+    return F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("ord"), F.col("locator"), F.col(sha).alias("sha"))
+
+
 def _state(spark: SparkSession, path: str, schema, digest, state: str, options: dict) -> DataFrame:
-    """Run the stream until it has read all files, and return its state: digest, keeper (ord, locator), n."""
+    """Run the stream until it has read all files, and return its state: digest, keeper (ord, locator, sha), n."""
     settings = {
         "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
         "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each store takes megabytes of disk ahead of need
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
@@ -54,9 +57,9 @@ def _state(spark: SparkSession, path: str, schema, digest, state: str, options:
     try:
         # as a pattern the path may name a folder or one file; a plain path to a file is refused by the stream
         stream = spark.readStream.schema(schema).options(**options).parquet(f"{path[:-1]}[{path[-1]}]")
-        rows = _seen(stream, digest).select("digest", F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("ord"), "locator").alias("at"))
         query = (
-            rows.groupBy("digest").agg(F.min("at").alias("keeper"), F.count("*").alias("n"))
+            _seen(stream, digest).select("digest", _place().alias("at"))
+            .groupBy("digest").agg(F.min("at").alias("keeper"), F.count("*").alias("n"))
             .writeStream.format("noop").outputMode("update").option("checkpointLocation", state).trigger(availableNow=True).start()
         )
         query.awaitTermination()
@@ -68,37 +71,32 @@ def _state(spark: SparkSession, path: str, schema, digest, state: str, options:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def dedup_files(spark: SparkSession, path: str, digest=sha256, state: str | None = None, **options) -> DataFrame:
-    """One row per row of the Parquet files at ``path``: doc_id, keep_id, group_size, kept, text_sha256, locator."""
+def dedup_files(spark: SparkSession, path: str, digest=lambda sha: sha, state: str | None = None, **options) -> DataFrame:
+    """One row per row of the Parquet files at ``path``: doc_id, keep_id, group_size, kept, text_sha256, locator.
+
+    ``digest`` makes the key from the text's SHA-256; a weaker key costs comparisons but changes no result.
+    """
     path = path.rstrip("/")
     docs = spark.read.parquet(path)
     held = _state(spark, path, docs.schema, digest, state or new_folder(spark, "dedup-state"), options)
     shared = held.where("n > 1").select("digest", F.col("keeper.locator").alias("keeper"), F.ceil(F.col("n") / HITS_PER_COPY).cast("int").alias("parts"))
-    rows = _seen(docs, digest)
-    members = rows.join(shared, "digest", "left")
+    members = materialize(_seen(docs, digest).join(shared, "digest"), "members")
     first = members.where("locator = keeper").select("keeper", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("body").alias("kept_body"))
     hits = members.where("locator <> keeper").withColumn("part", F.pmod(F.xxhash64("locator"), F.col("parts")).cast("int"))
     checked = materialize(
-        hits.join(first, ["keeper", "part"]).select(
-            "doc_id", "locator", "digest", "keeper", sha256(F.col("body")).alias("text_sha256"), F.when(F.col("body") != F.col("kept_body"), F.col("body")).alias("other")
-        ),
+        hits.join(first, ["keeper", "part"]).select("doc_id", "locator", "digest", "sha", F.when(F.col("body") != F.col("kept_body"), F.col("body")).alias("other")),
         "hits",
     )
     other = checked.where("other is not null")
-    regrouped = other.groupBy("digest", "other").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("ord"), "locator")).alias("k"), F.count("*").alias("n"))
-    apart = other.join(regrouped, ["digest", "other"]).select("doc_id", "locator", F.col("k.ord").alias("keep"), F.col("k.locator").alias("keeper"), "n", "text_sha256")
-    wrong = other.groupBy("digest").agg(F.count("*").alias("wrong"))
-    sizes = held.where("n > 1").join(wrong, "digest", "left").select("digest", (F.col("n") - F.coalesce("wrong", F.lit(0))).alias("n"), F.col("keeper.ord").alias("keep"))
-    same = checked.where("other is null").join(sizes, "digest").select("doc_id", "locator", "keep", "keeper", "n", "text_sha256")
-    stay = (
-        rows.select("doc_id", "locator", "digest", sha256(F.col("body")).alias("text_sha256"))
-        .join(held.select(F.col("digest").alias("_d"), F.col("keeper.locator").alias("_l")), (F.col("digest") == F.col("_d")) & (F.col("locator") == F.col("_l")))
-        .join(sizes, "digest", "left")
-        .select("doc_id", "locator", F.coalesce("doc_id", F.lit(LAST)).alias("keep"), F.col("locator").alias("keeper"), F.coalesce("n", F.lit(1)).alias("n"), "text_sha256")
-    )
-    return stay.union(same).union(apart).select(
-        "doc_id", F.when(F.col("keep") < LAST, F.col("keep")).alias("keep_id"), F.col("n").cast("long").alias("group_size"),
-        (F.col("locator") == F.col("keeper")).alias("kept"), "text_sha256", "locator",
+    regrouped = other.groupBy("digest", "other").agg(F.min(_place()).alias("keeper"), F.count("*").alias("n"))
+    apart = other.join(regrouped, ["digest", "other"])
+    sizes = held.join(other.groupBy("digest").agg(F.count("*").alias("wrong")), "digest", "left").withColumn("n", F.col("n") - F.coalesce("wrong", F.lit(0)))
+    same = checked.where("other is null").join(sizes, "digest")
+    stay = sizes.select(F.when(F.col("keeper.ord") < LAST, F.col("keeper.ord")).alias("doc_id"), F.col("keeper.locator").alias("locator"), "keeper", "n", F.col("keeper.sha").alias("sha"))
+    columns = ["doc_id", "locator", "keeper", "n", "sha"]
+    return stay.union(same.select(columns)).union(apart.select(columns)).select(
+        "doc_id", F.when(F.col("keeper.ord") < LAST, F.col("keeper.ord")).alias("keep_id"), F.col("n").cast("long").alias("group_size"),
+        (F.col("locator") == F.col("keeper.locator")).alias("kept"), F.col("sha").alias("text_sha256"), "locator",
     )
 
 
