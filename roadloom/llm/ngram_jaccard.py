@@ -167,7 +167,8 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     )
     pairs = materialize(block_pairs(classes.select("id", "keys")).drop("bucket"), "pairs")
     asked = pairs.select("id").distinct()
-    elements = known.join(asked, "id", "left_semi").mapInArrow(_elements, "id long, elements binary").dropDuplicates(["id"])
+    # one plan at every size: a merge join, also where the ids would be few enough to broadcast
+    elements = known.join(asked.hint("merge"), "id", "left_semi").mapInArrow(_elements, "id long, elements binary").dropDuplicates(["id"])
     work = pairs.join(classes.select("id", "copies", "keys").join(elements, "id"), "id")
     found = materialize(
         work.repartition("band", "key", "lo", "hi").sortWithinPartitions("band", "key", "lo", "hi")
