@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadloom.llm import embedding_near_dup, exact_dedup, ngram_jaccard
+from roadloom.llm import best_fit, embedding_near_dup, exact_dedup, ngram_jaccard, secret_scan, source_mix, warc_revisits
 from roadloom.llm.tables import read
 
 _QUERIES: dict = {}
@@ -44,3 +44,23 @@ with t as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 g as (select body, min(doc_id) as keep_id, count(*) as group_size from t group by body)
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(body) as text_sha256 from t join g using (body)
 """
+
+
+@query
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix(read(spark, sf_dir, "documents"))
+
+
+@query
+def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_revisits.archive_pages(read(spark, sf_dir, "pages")).drop("url")
+
+
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.best_fit(read(spark, sf_dir, "documents"))
