@@ -26,6 +26,7 @@ class Words(NamedTuple):
     start: np.ndarray
     end: np.ndarray
     row: np.ndarray
+    sizes: np.ndarray  # bytes of each row
 
     @property
     def count(self) -> np.ndarray:
@@ -73,7 +74,7 @@ def word_chunks(column: pa.Array, chunk: int = CHUNK_BYTES):
         stop[before] = word[before]
         start, end = np.flatnonzero(begin), np.flatnonzero(stop) + 1
         row = np.searchsorted(cuts, start, "right") - 1
-        yield Words(first, last, part, start, end, row)
+        yield Words(first, last, part, start, end, row, np.diff(cuts))
         first = last
 
 
