@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadloom.llm import best_fit, embedding_near_dup, exact_dedup, ngram_jaccard, secret_scan, source_mix, toxicity_crf, warc_revisits
+from roadloom.llm import best_fit, embedding_near_dup, exact_dedup, gated_lm, ngram_jaccard, secret_scan, source_mix, toxicity_crf, warc_revisits
 from roadloom.llm.tables import read
 
 _QUERIES: dict = {}
@@ -69,3 +69,8 @@ def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_crf.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op7_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gated_lm.log_likelihood(read(spark, sf_dir, "documents"))
