@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadloom.llm import best_fit, embedding_near_dup, exact_dedup, gated_lm, ngram_jaccard, secret_scan, source_mix, toxicity_crf, warc_revisits
+from roadloom.llm import (
+    best_fit, embedding_near_dup, exact_dedup, gated_lm, ngram_jaccard, secret_scan, source_mix, substring_dedup, toxicity_crf, warc_revisits,
+)
 from roadloom.llm.tables import read
 
 _QUERIES: dict = {}
@@ -74,3 +76,8 @@ def op9_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gated_lm.log_likelihood(read(spark, sf_dir, "documents"))
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats(read(spark, sf_dir, "documents"))

@@ -113,3 +113,11 @@ def mix(docs: DataFrame, slots: int = SLOTS, share: float = SHARE, epochs: int =
     return rows.join(plan, ["rank", "turn"], "left").select(
         "doc_id", "size", "source_size", "target", "taken", F.when(F.col("taken") > 0, F.col("slot")).alias("first_slot")
     )
+
+
+def take(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (any columns) as often as the mix begins them: up to ``EPOCHS`` times, or not at all."""
+    times = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    taken = mix(docs).where("taken > 0 and doc_id is not null").select(F.col("doc_id").alias("_id"), times.alias("_times")).groupBy("_id").agg(F.max("_times").alias("_times"))
+    joined = docs.join(taken, F.col("doc_id") == F.col("_id"))
+    return joined.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[docs[c] for c in docs.columns])
