@@ -8,15 +8,17 @@ an earlier place (smaller doc_id, or earlier in the document). Overlapping exten
 them go. Within a document, a window's later places are repeats of its first, so a hash has one row per document at most.
 
 Defined cases: a null or empty text has no words; a text shorter than a window is kept whole; rows that repeat a doc_id are one document, judged
-row by row against the others; rows without doc_id come last; empty input gives no rows; other columns are ignored.
+row by row against the others; rows without doc_id are one document too, the last; empty input gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,16 +40,19 @@ def _sliding(x: np.ndarray, width: int, least: bool) -> np.ndarray:
     return f(x[: len(x) - (width - have)], x[width - have :]) if have < width else x
 
 
+def _grams(hashes: np.ndarray, seed: int) -> np.ndarray:
+    return np.maximum(mix(runs_hash(hashes, seed) + np.uint64(seed)), np.uint64(1))
+
+
 def winnowed(hashes: np.ndarray, row: np.ndarray, window: int = WINDOW, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
     """(places, hashes) of the seeds that are the least of some window within one text."""
     if len(hashes) < window:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    grams = mix(runs_hash(hashes, seed) + np.uint64(seed))
+    grams = _grams(hashes, seed)
     width = window - seed + 1
     least = _sliding(grams, width, True)
     whole = row[: len(least)] == row[window - 1 : window - 1 + len(least)]
     least = np.where(whole, least, np.uint64(0))
-    grams = np.maximum(grams, np.uint64(1))
     around = np.zeros(len(least) + 2 * (width - 1), np.uint64)
     around[width - 1 : width - 1 + len(least)] = least
     place = np.flatnonzero(_sliding(around, width, False) == grams)
@@ -93,19 +98,18 @@ def _first_places(hashes: np.ndarray, row: np.ndarray) -> np.ndarray:
     return first
 
 
-def _near_seeds(places: pa.Array, rows: np.ndarray, start: np.ndarray, count: np.ndarray, window: int, seed: int) -> np.ndarray:
-    """Which windows hold a shared seed of their text."""
-    offsets = places.offsets.to_numpy().astype(np.int64)
-    values = places.values.to_numpy()
-    owner = np.repeat(np.arange(len(places)), np.diff(offsets))
-    values = values[offsets[0] : offsets[-1]].astype(np.int64)
-    first = np.concatenate([[0], np.cumsum(count + 1)])
-    ok = values + seed <= count[owner]
-    owner, values = owner[ok], values[ok]
-    change = np.zeros(first[-1] + 1, np.int64)
-    np.add.at(change, first[owner] + np.maximum(values + seed - window, 0), 1)
-    np.add.at(change, first[owner] + values + 1, -1)
-    return np.cumsum(change)[first[rows] + start] > 0
+def _reachable(shared: np.ndarray, lengths: np.ndarray, w, start: np.ndarray, window: int, seed: int) -> np.ndarray:
+    """Which windows (by their first word in the chunk) have a shared seed as the least of their own."""
+    hashes = word_hashes(w)
+    if not len(start):
+        return np.zeros(0, bool)
+    count = w.count
+    first = np.concatenate([[0], np.cumsum(count)])
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    ok = shared + seed <= count[owner]
+    grams = _grams(hashes, seed)
+    least = _sliding(grams, window - seed + 1, True)
+    return np.isin(least[start], grams[first[owner[ok]] + shared[ok]])
 
 
 def _extensions(window: int, seed: int):
@@ -113,9 +117,10 @@ def _extensions(window: int, seed: int):
         for batch in batches:
             for w in word_chunks(batch.column("text")):
                 places = batch.column("places").slice(w.first, w.last - w.first)
-                places = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in places.to_pylist()])]).astype(np.int32)), places.flatten())
                 hashes, row, start = _windows(w, window)
-                some = np.flatnonzero(_near_seeds(places, row, start, w.count, window, seed))
+                lengths = pc.list_value_length(places).to_numpy(zero_copy_only=False)
+                begin = np.concatenate([[0], np.cumsum(w.count)])[row] + start
+                some = np.flatnonzero(_reachable(places.flatten().to_numpy().astype(np.int64), lengths, w, begin, window, seed))
                 hashes, row, start = hashes[some], row[some], start[some]
                 first = _first_places(hashes, row)
                 keys = batch.column("key").to_numpy()[w.first : w.last]
@@ -148,16 +153,17 @@ def _kept(window: int):
                 np.add.at(change, begin, 1)
                 np.add.at(change, begin + window, -1)
                 keep = np.cumsum(change[:-1]) == 0
-                digests, removed = [], []
+                digests, removed, whole = [], [], []
+                ends = np.cumsum(w.sizes)
                 for i in range(n):
-                    a, b = first[i], first[i + 1]
-                    places = a + np.flatnonzero(keep[a:b])
-                    data = w.data
-                    digests.append(hashlib.sha256(b" ".join(data[w.start[p] : w.end[p]].tobytes() for p in places)).hexdigest())
-                    removed.append(int(b - a - len(places)))
+                    words = w.data[ends[i] - w.sizes[i] : ends[i]].tobytes().split()
+                    rest = list(compress(words, keep[first[i] : first[i + 1]].tolist()))
+                    whole.append(hashlib.sha256(b" ".join(words)).digest())
+                    digests.append(hashlib.sha256(b" ".join(rest)).hexdigest())
+                    removed.append(len(words) - len(rest))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).slice(w.first, n) for c in ("key",)] + [pa.array(w.count), pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
-                    names=["key", "n_words", "n_removed", "kept_sha256"],
+                    [batch.column("key").slice(w.first, n), pa.array(whole, pa.binary()), pa.array(w.count), pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
+                    names=["key", "digest", "n_words", "n_removed", "kept_sha256"],
                 )
 
     return run
@@ -181,12 +187,13 @@ def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
     found = materialize(found, "windows")
     earliest = found.groupBy("window").agg(F.min("key").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
     repeated = found.join(earliest, "window").where("key > least").groupBy("key").agg(F.collect_list("start").alias("starts"))
-    cleaned = asked.join(repeated.hint("merge"), "key", "left").select("key", "text", "starts").mapInArrow(_kept(window), "key long, n_words long, n_removed long, kept_sha256 string")
+    cleaned = asked.join(repeated.hint("merge"), "key", "left").select("key", "text", "starts").mapInArrow(_kept(window), "key long, digest binary, n_words long, n_removed long, kept_sha256 string")
     changed = materialize(cleaned.where("n_removed > 0"), "changed")
     empty = F.sha2(F.lit("").cast("binary"), 256)
     whole = judged.where("copy").select("key", "n_words", F.col("n_words").alias("n_removed"), empty.alias("kept_sha256"))
-    partly = changed.join(judged.where("copy").select("key").distinct().hint("merge"), "key", "left_anti")
-    rest = judged.where("not copy").join(changed.select("key").distinct(), "key", "left_anti").select(
+    row = ["key", "digest"]  # rows that agree in both are the same
+    partly = changed.join(judged.where("copy").select(row).distinct().hint("merge"), row, "left_anti").drop("digest")
+    rest = judged.where("not copy").join(changed.select(row).distinct(), row, "left_anti").select(
         "key", "n_words", F.lit(0).cast("long").alias("n_removed"), F.lower(F.hex("digest")).alias("kept_sha256")
     )
     return whole.union(partly).union(rest).select(F.when(F.col("key") < LAST, F.col("key")).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
