@@ -34,7 +34,7 @@ TOP = 1 << 18
 STREAMS, STEPS = 512, 16
 WARM_UP = 3000  # documents
 RATE = 0.01
-SCORE_CHUNK = 1 << 24
+SCORE_CHUNK = 1 << 23
 END = np.uint64(0)
 HELD_OUT = (7, 2)
 BEGIN = FREQUENT + TAIL  # the input before a document's first token
@@ -139,9 +139,9 @@ class Net:
         """Natural log probability of each output (-1: none), and the states' gradients of the summed loss when ``grad`` is given."""
         cls = np.where(y < FREQUENT, y // PER_CLASS, y - FREQUENT + FREQUENT // PER_CLASS)
         logits = h @ self.wc + self.bc
-        logits -= logits.max(1, keepdims=True)
+        np.clip(logits, -60, 60, out=logits)
         e = np.exp(logits)
-        total = e.sum(1)
+        total = e @ np.ones(CLASSES, e.dtype)
         at = np.arange(len(y))
         log_p = logits[at, cls] - np.log(total)
         there = y >= 0
@@ -162,9 +162,9 @@ class Net:
                 continue
             hk, word = h[i], y[i] % PER_CLASS
             logits = hk @ self.ww[k] + self.bw[k]
-            logits -= logits.max(1, keepdims=True)
+            np.clip(logits, -60, 60, out=logits)
             e = np.exp(logits)
-            total = e.sum(1)
+            total = e @ np.ones(PER_CLASS, e.dtype)
             log_p[i] += logits[np.arange(len(i)), word] - np.log(total)
             if grad is not None:
                 d = e / total[:, None]
@@ -286,7 +286,7 @@ def held_out(doc_id):
 
 def _counts(batches):
     for batch in batches:
-        for w in word_chunks(batch.column("text"), SCORE_CHUNK):
+        for w in word_chunks(batch.column("text")):
             h, cls, _, _ = hashed(w)
             values, first, n = np.unique(h, return_index=True, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(cls[first]), pa.array(n)], names=["word", "tail", "n"])
@@ -294,7 +294,16 @@ def _counts(batches):
 
 def vocabulary(counts: DataFrame, top: int = TOP) -> tuple[Vocabulary, np.ndarray]:
     """The broadcast part of the counts, and the counts of the outputs."""
-    best = counts.orderBy(F.col("n").desc(), "word").limit(top).toPandas()
+    level = F.floor(F.log2("n") * 64)
+    levels = sorted(counts.groupBy(level.alias("level")).agg(F.count("*").alias("v")).collect(), reverse=True)  # at most 64 * 64
+    held, least = 0, levels[0]["level"] + 1 if levels else 0
+    for r in levels:
+        held += r["v"]
+        if held > top:
+            break
+        least = r["level"]
+    # the words of whole levels of frequency, as many levels as hold at most ``top`` words
+    best = counts.where(level >= least).toPandas().sort_values(["n", "word"], ascending=[False, True], ignore_index=True)
     totals = {int(r["tail"]): (int(r["n"]), int(r["v"])) for r in counts.groupBy("tail").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
     ids = np.full(len(best), -1)
     ids[:FREQUENT] = np.arange(min(FREQUENT, len(best)))
