@@ -46,7 +46,7 @@ def _state(spark: SparkSession, path: str, schema, digest, state: str, options:
     settings = {
         "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-        "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+        "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "96",
         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each store takes megabytes of disk ahead of need
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",

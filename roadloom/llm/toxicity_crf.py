@@ -41,7 +41,7 @@ STOP[list(b".!?\n")] = True
 
 class Tokens(NamedTuple):
     features: np.ndarray  # (tokens, TEMPLATES)
-    words: np.ndarray  # hashes of the word and of its first five and four bytes
+    words: np.ndarray  # 32-bit hashes of the word and of its first five and four bytes
     row: np.ndarray
     start: np.ndarray  # bytes in the chunk
     end: np.ndarray
@@ -65,12 +65,12 @@ def tokens(w: Words) -> Tokens:
 
     word, five, four, tail = piece(a, b), piece(a, a + np.minimum(size, 5)), piece(a, a + np.minimum(size, 4)), piece(b - np.minimum(size, 4), b)
     salt = [np.uint64(x) * BASE for x in range(1, TEMPLATES + 1)]
-    features = np.stack([(mix(h ^ s) >> np.uint64(64 - BITS)).astype(np.int64) for h, s in zip((word, five, four, tail), salt, strict=True)], axis=1)
+    features = np.stack([(mix(h ^ s) >> np.uint64(64 - BITS)).astype(np.int32) for h, s in zip((word, five, four, tail), salt, strict=True)], axis=1)
     stops = np.concatenate([[0], np.cumsum(STOP[w.data])])
     fresh = np.ones(len(row), bool)
     if len(row) > 1:
         fresh[1:] = (row[1:] != row[:-1]) | (stops[start[1:]] > stops[np.maximum(end[:-1] - 1, start[:-1])])
-    return Tokens(features, np.stack([word, five ^ salt[1], four ^ salt[2]], axis=1), row, start, end, fresh)
+    return Tokens(features, np.stack([(h >> np.uint64(32)).astype(np.uint32) for h in (word, five ^ salt[1], four ^ salt[2])], axis=1), row, start, end, fresh)
 
 
 def forward_backward(s: np.ndarray, fresh: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,14 +131,14 @@ def summaries(p: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.ones(n), most, np.log1p(total), total / np.maximum(np.bincount(row, minlength=n), 1)], axis=1)
 
 
-def label_tokens(x: Tokens, toxic: np.ndarray, weight: np.ndarray) -> np.ndarray:
+def label_tokens(words: np.ndarray, row: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Which tokens of toxic documents are toxic: those with a form that half of its documents' weight speaks for,
     and that is in more toxic documents of the sample than chance explains (one form in all by Chernoff's bound)."""
     share = toxic.mean()
-    marked = np.zeros(len(x.row), bool)
-    for k in range(x.words.shape[1]):
-        values, place = np.unique(x.words[:, k], return_inverse=True)
-        pairs = np.unique(place.astype(np.int64) * len(toxic) + x.row)
+    marked = np.zeros(len(row), bool)
+    for k in range(words.shape[1]):
+        values, place = np.unique(words[:, k], return_inverse=True)
+        pairs = np.unique(place.astype(np.int64) * len(toxic) + row)
         form, doc = pairs // len(toxic), pairs % len(toxic)
         yes = np.bincount(form, toxic[doc], len(values))
         every = np.bincount(form, weight[doc], len(values))
@@ -147,11 +147,7 @@ def label_tokens(x: Tokens, toxic: np.ndarray, weight: np.ndarray) -> np.ndarray
         other = np.clip(1 - rate, 1e-12, 1)
         surprise = n * (rate * np.log(np.maximum(rate, 1e-12) / share) + (1 - rate) * np.log(other / (1 - share)))
         marked |= ((rate > share) & (surprise >= np.log(len(values) + 1)) & (yes >= 0.5 * every))[place]
-    return marked & (toxic[x.row] > 0)
-
-
-def _joined(parts: list[tuple[int, Tokens]]) -> Tokens:
-    return Tokens(*[np.concatenate([getattr(p, f) + (first if f == "row" else 0) for first, p in parts]) for f in Tokens._fields])
+    return marked & (toxic[row] > 0)
 
 
 def _field(parts: list[Tokens], marked: list[np.ndarray], epochs: int, rate: float = 0.3) -> Model:
@@ -200,8 +196,10 @@ def train(texts: list[str], toxic: np.ndarray, prior: float, epochs: int = EPOCH
     def fitted(which: np.ndarray) -> Model:
         column = pa.array([texts[i] for i in which], pa.large_string())
         parts = [(w.first, tokens(w)) for w in word_chunks(column, 1 << 18)]
-        whole = _joined(parts)
-        marked = label_tokens(whole, toxic[which], weight[which])
+        words, row = np.concatenate([p.words for _, p in parts]), np.concatenate([p.row + first for first, p in parts])
+        marked = label_tokens(words, row, toxic[which], weight[which])
+        parts = [(first, p._replace(words=None)) for first, p in parts]
+        del words, row
         cuts = np.cumsum([0] + [len(p.row) for _, p in parts])
         return _field([p for _, p in parts], [marked[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], epochs)
 

@@ -1,7 +1,7 @@
 """Words and their hashes, many texts at a time, straight from Arrow's buffers.
 
 A word is ``[^\\x20\\x09-\\x0D]+``. Hashes are 64 bits wide, depend on the bytes of the word alone and are the same in every
-process. Texts are taken in chunks of some megabytes, so the memory held does not grow with the table; one text is never cut.
+process. Texts are taken in chunks of about a megabyte, so the memory held does not grow with the table; one text is never cut.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
