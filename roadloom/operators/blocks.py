@@ -34,6 +34,7 @@ FAR = 1e15  # metres; stands for "no box"
 ROWS_PER_BLOCK = 65_536
 REQUESTS_PER_SHARD = 64
 TASKS_PER_PARTITION = 4  # groups differ in work, so more tasks than shuffle partitions even it out
+GROUPS_PER_TASK = 256
 BLOCKS_PER_REGION = 256  # arcs are stored by region, so a step reads only the regions it works in
 SHARDS_PER_COPY = 64  # shards one copy of a block's arcs is handed on to by one task
 BOUND_SHRINK = 1 - 1e-6  # keeps the straight-line bound below the true cost despite rounding
@@ -353,8 +354,9 @@ class Spread:
     blocks: int
 
     def tasks(self) -> int:
-        """Tasks for one step: several per shuffle partition, but no more than there can be groups."""
-        return max(1, min(TASKS_PER_PARTITION * shuffle_partitions(self.requests.sparkSession), self.shards * self.blocks))
+        """Tasks for one step: several per shuffle partition, more where there can be very many groups, but no more than groups."""
+        groups = self.shards * self.blocks
+        return max(1, min(groups, max(TASKS_PER_PARTITION * shuffle_partitions(self.requests.sparkSession), groups // GROUPS_PER_TASK)))
 
     def messages(self) -> DataFrame:
         spark = self.requests.sparkSession

@@ -18,7 +18,6 @@ from roadloom.sources.scratch import materialize
 
 FANOUT_BITS = 3  # a square has 2^3 by 2^3 children
 LEAF_NODES = 64  # deepen the pyramid until no leaf square holds more positions
-MAX_DEPTH = 10
 SMALL_LEVEL = 2  # has at most 64^2 squares and may be broadcast
 
 
@@ -55,11 +54,10 @@ def node_index(nodes: DataFrame) -> NodeIndex:
         at = lambda v, low: F.least(F.floor((F.col(v) - low) / side * n), F.lit(n - 1)).cast("long")
         return positions.select(at("x", x0).alias("ix"), at("y", y0).alias("iy"), "x", "y", "id")
 
-    while depth < MAX_DEPTH:
-        fullest = squares(depth).groupBy("ix", "iy").count().agg(F.max("count")).first()[0]
-        if fullest <= LEAF_NODES:
-            break
+    while squares(depth).groupBy("ix", "iy").count().agg(F.max("count")).first()[0] > LEAF_NODES:
         depth += 1
+        if FANOUT_BITS * depth > 60:
+            raise ValueError("positions are too close together for squares numbered in 64 bits")
     leaves = squares(depth)
     boxes = leaves.groupBy("ix", "iy").agg(
         F.min("x").alias("bx0"), F.min("y").alias("by0"), F.max("x").alias("bx1"), F.max("y").alias("by1")

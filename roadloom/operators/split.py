@@ -66,7 +66,7 @@ def cut_positions(lines: DataFrame, points: DataFrame) -> DataFrame:
     )
 
 
-def split_lines(lines: DataFrame, points: DataFrame, max_pieces: int | None = None) -> DataFrame:
+def split_lines(lines: DataFrame, points: DataFrame) -> DataFrame:
     """(fid, n, geom): the pieces of each line in ``lines``, numbered from its start.
 
     ``lines`` is (fid, geom) and is read three times, ``points`` is (fid, x, y). Lines without a cut come
@@ -96,8 +96,6 @@ def split_lines(lines: DataFrame, points: DataFrame, max_pieces: int | None = No
     counted = marks.join(before, ["fid", "bin"]).withColumn("n", n)
     # A cut ends one piece and starts the next.
     members = counted.withColumn("n", F.explode(F.when(F.col("cut"), F.array(F.col("n"), F.col("n") + 1)).otherwise(F.array("n"))))
-    if max_pieces is not None:
-        members = members.where(F.col("n") <= max_pieces)
     return (
         members.groupBy("fid", "n")
         .agg(F.array_sort(F.collect_list(F.struct("pos", "x", "y"))).alias("m"))

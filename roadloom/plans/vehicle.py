@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadloom.functions import costs as C
 from roadloom.functions import geometry as G
 from roadloom.operators.ids import dense_id
 from roadloom.sources.schemas import DISTANCE_COSTS, PERIODS, SPEED_EDGES, TIME_COSTS, VEHICLE_EDGES, VEHICLE_NODES
+from roadloom.sources.scratch import materialize
 from roadloom.sources.tables import conform
 
 FERRY_ID_OFFSET = 6_000_000  # fixed value: ferry edges are numbered from here on
@@ -32,9 +33,9 @@ def vehicle_nodes(roadlink: DataFrame) -> DataFrame:
 
 
 def _numbered_ends(roadlink: DataFrame, nodes: DataFrame, speeds: DataFrame | None) -> DataFrame:
-    """(edge_id, ogc_fid, source, target, speeds): narrow, so the joins and the numbering move few bytes."""
+    """(edge_id, row, source, target, speeds): narrow, so the joins and the numbering move few bytes."""
     ends = roadlink.select(
-        "ogc_fid",
+        "row", "ogc_fid",
         F.col("id").alias("roadlinkid"),
         C.node_key(F.col("startnode"), F.col("startgradeseparation")).alias("start_key"),
         C.node_key(F.col("endnode"), F.col("endgradeseparation")).alias("end_key"),
@@ -44,17 +45,18 @@ def _numbered_ends(roadlink: DataFrame, nodes: DataFrame, speeds: DataFrame | No
     joined = ends.join(source, "start_key").join(target, "end_key").drop("start_key", "end_key")
     if speeds is not None:
         joined = joined.join(speeds, "roadlinkid", "left")
-    return dense_id(joined.drop("roadlinkid"), ["ogc_fid", "source", "target"], "edge_id")
+    return dense_id(joined, ["ogc_fid", "source", "target", "roadlinkid", "row"], "edge_id").drop("roadlinkid", "ogc_fid")
 
 
 def vehicle_edges(roadlink: DataFrame, nodes: DataFrame, speeds: DataFrame | None = None) -> DataFrame:
     """Edge table; with ``speeds`` it gains a forward and a reverse time per period.
 
-    The links with their geometry are shuffled once, to meet their numbered ends.
-    ``ogc_fid`` must be unique in ``roadlink`` (see ``duplicates``).
+    The links with their geometry are written once, with a row number of their own, and shuffled once, to meet
+    their numbered ends; so ``ogc_fid`` only orders, and may be repeated or NULL.
     """
+    roadlink = materialize(roadlink.withColumn("row", F.monotonically_increasing_id()), "links")
     links = roadlink.select(
-        "ogc_fid",
+        "row",
         F.col("id").alias("fid"),
         F.col("roadname").alias("name"),
         F.col("alternatename").alias("alt_name"),
@@ -66,7 +68,7 @@ def vehicle_edges(roadlink: DataFrame, nodes: DataFrame, speeds: DataFrame | Non
         G.end_point(F.col("geom")).x.alias("x2"), G.end_point(F.col("geom")).y.alias("y2"),
         "geom",
     )
-    edges = links.join(_numbered_ends(roadlink, nodes, speeds), "ogc_fid")
+    edges = links.join(_numbered_ends(roadlink, nodes, speeds), "row")
     if speeds is not None:
         direction, length = F.col("directionality"), F.col("length")
         edges = edges.withColumns(
@@ -78,32 +80,29 @@ def vehicle_edges(roadlink: DataFrame, nodes: DataFrame, speeds: DataFrame | Non
 
 
 def ferry_terminals(elements: DataFrame) -> DataFrame:
-    """One row per terminal that has a road node: its first two element identifiers by role, then identifier.
-
-    Only these two are ever used. The rank limit is applied before the shuffle,
-    so a terminal with very many elements is not gathered in one task.
-    """
-    with_road = elements.where(F.col("role") == "RoadNode").select("id")
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("role", "identifier"))
-    first_two = elements.withColumn("rank", rank).where("rank <= 2")
+    """One row per terminal that has a road node: all its element identifiers by role, then identifier."""
     return (
-        first_two.join(with_road, "id", "left_semi")
-        .groupBy("id")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "identifier"))).alias("e"))
+        elements.groupBy("id")
+        .agg(F.array_sort(F.collect_list(F.struct("role", "identifier"))).alias("e"), F.max(F.col("role") == "RoadNode").alias("road"))
+        .where("road")
         .select("id", F.transform("e", lambda s: s.identifier).alias("element_href"))
     )
 
 
+def terminal_ends(elements: DataFrame) -> DataFrame:
+    """(ferry_node, road_node) of every terminal that has a road node: the first identifier of either role."""
+    first = lambda role: F.min(F.when(F.col("role") == role, F.col("identifier")))
+    return elements.groupBy("id").agg(first("FerryNode").alias("ferry_node"), first("RoadNode").alias("road_node")).where("road_node is not null").drop("id")
+
+
 def ferry_edges(
     ferrylink: DataFrame, elements: DataFrame, nodes: DataFrame, timed: bool = False, offset: int = FERRY_ID_OFFSET
 ) -> DataFrame:
-    """Ferry links as edges. A terminal whose road node is unknown gives a NULL end."""
-    terminals = ferry_terminals(elements).select(
-        G.piece(F.col("element_href"), 1).alias("ferry_node"),
-        C.node_key(G.piece(F.col("element_href"), 2), F.lit(0)).alias("road_key"),
-    )
-    ids = nodes.select(F.col("node").alias("road_key"), F.col("id").alias("road_id"))
-    terminals = terminals.join(ids, "road_key", "left").select("ferry_node", "road_id")
+    """Ferry links as edges. A terminal whose road node is unknown gives a NULL end; one whose road node is at two places raises."""
+    terminals = terminal_ends(elements).select("ferry_node", C.node_key(F.col("road_node"), F.lit(0)).alias("road_key"))
+    ids = nodes.groupBy(F.col("node").alias("road_key")).agg(F.min("id").alias("road_id"), F.count("id").alias("places"))
+    twice = F.raise_error(F.concat(F.lit("the road node of terminal element "), F.coalesce("ferry_node", F.lit("NULL")), F.lit(" is at more than one place")))
+    terminals = terminals.join(ids, "road_key", "left").select("ferry_node", F.when(F.col("places") > 1, twice.cast("long")).otherwise(F.col("road_id")).alias("road_id"))
     start = terminals.select(F.col("ferry_node").alias("startnode"), F.col("road_id").alias("source"))
     end = terminals.select(F.col("ferry_node").alias("endnode"), F.col("road_id").alias("target"))
     crossings = ferrylink.join(start, "startnode").join(end, "endnode")
@@ -135,11 +134,10 @@ def ferry_edges(
 
 
 def add_ferries(edges: DataFrame, ferries: DataFrame) -> DataFrame:
-    """Append ferry edges to an edge table of the same shape.
-
-    ``duplicates(result, ["id"])`` is empty as long as the roads have fewer edges than the ferry offset.
-    """
-    return edges.unionByName(conform(ferries, edges.schema))
+    """Append ferry edges to an edge table of the same shape. A road edge numbered past the ferry offset raises."""
+    clash = F.raise_error(F.lit(f"more than {FERRY_ID_OFFSET} road edges: their ids would meet those of ferries"))
+    roads = edges.withColumn("id", F.when(F.col("id") <= FERRY_ID_OFFSET, F.col("id")).otherwise(clash.cast("long")))
+    return conform(roads, edges.schema).unionByName(conform(ferries, edges.schema))
 
 
 def speeds_long(edges: DataFrame) -> DataFrame:

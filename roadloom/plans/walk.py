@@ -37,13 +37,13 @@ def collect_connecting_nodes(connectingnode: DataFrame, per_row: int = POINTS_PE
     )
 
 
-def split_road_links(roadlink: DataFrame, connectingnode: DataFrame, max_pieces: int | None = None) -> DataFrame:
+def split_road_links(roadlink: DataFrame, connectingnode: DataFrame) -> DataFrame:
     """(fid, n, type, routehierarchy, formofway, geom): pieces of every link some connecting node names."""
     points = connecting_points(connectingnode)
     named = points.select("fid").dropDuplicates()
     links = roadlink.select(F.col("id").alias("fid"), "geom", "routehierarchy", "formofway")
     lines = materialize(links.join(named, "fid", "left_semi"), "named-links")
-    pieces = split_lines(lines.select("fid", "geom"), points, max_pieces)
+    pieces = split_lines(lines.select("fid", "geom"), points)
     return pieces.join(lines.select("fid", "routehierarchy", "formofway"), "fid").select(
         "fid", "n", F.lit("RoadLink").alias("type"), "routehierarchy", "formofway", "geom"
     )
@@ -86,19 +86,21 @@ def walk_nodes(network: DataFrame) -> DataFrame:
 def walk_edges(network: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edge table with the planar length as the cost of both directions.
 
-    ``network`` is read twice (ends, then geometry), so pass a written table.
+    The network is written once with a row number of its own, since it is read twice (ends, then geometry); so
+    (fid, type, n) only orders, and may be repeated.
     """
+    network = materialize(network.withColumn("row", F.monotonically_increasing_id()), "network")
     key = ["fid", "type", "n"]
     keyed = nodes.select("id", G.to_mm(F.col("x")).alias("x_mm"), G.to_mm(F.col("y")).alias("y_mm"))
     start, end = G.start_point(F.col("geom")), G.end_point(F.col("geom"))
     ends = network.select(
-        *key,
+        "row", *key,
         G.to_mm(start.x).alias("sx"), G.to_mm(start.y).alias("sy"), G.to_mm(end.x).alias("tx"), G.to_mm(end.y).alias("ty"),
     )
     ends = ends.join(keyed.toDF("source", "sx", "sy"), ["sx", "sy"]).join(keyed.toDF("target", "tx", "ty"), ["tx", "ty"])
-    numbered = dense_id(ends.select(*key, "source", "target"), key)
+    numbered = dense_id(ends.select("row", *key, "source", "target"), [*key, "source", "target", "row"]).drop(*key)
     length = G.line_length(F.col("geom"))
-    edges = network.join(numbered, key).withColumns(
+    edges = network.join(numbered, "row").withColumns(
         {
             "cost": length, "reverse_cost": length,
             "x1": start.x, "y1": start.y, "x2": end.x, "y2": end.y,

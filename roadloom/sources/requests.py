@@ -20,7 +20,7 @@ def parse_points(text: Column) -> Column:
     return F.transform(
         F.split(text, ","),
         lambda p: F.struct(
-            F.split(F.trim(p), " +")[0].cast("double").alias("lon"), F.split(F.trim(p), " +")[1].cast("double").alias("lat")
+            F.get(F.split(F.trim(p), " +"), F.lit(0)).try_cast("double").alias("lon"), F.get(F.split(F.trim(p), " +"), F.lit(1)).try_cast("double").alias("lat")
         ),
     )
 
@@ -28,7 +28,7 @@ def parse_points(text: Column) -> Column:
 def parse_point(text: Column) -> Column:
     """``"lon,lat"`` to ``struct<lon,lat>``."""
     parts = F.split(text, ",")
-    return F.struct(F.trim(parts[0]).cast("double").alias("lon"), F.trim(parts[1]).cast("double").alias("lat"))
+    return F.struct(F.trim(F.get(parts, F.lit(0))).try_cast("double").alias("lon"), F.trim(F.get(parts, F.lit(1))).try_cast("double").alias("lat"))
 
 
 def _checked(value: Column, allowed: list[str], what: str) -> Column:
@@ -53,9 +53,12 @@ def _with_absent(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def route_requests(df: DataFrame) -> DataFrame:
-    """(req_id, points[, option, period]) as text to grid requests. Points after the second are ignored."""
-    ends = _with_absent(df, "option", "period").withColumn("p", parse_points(F.col("points"))).withColumns(
-        {"s": to_grid(F.col("p")[0].lon, F.col("p")[0].lat), "d": to_grid(F.col("p")[1].lon, F.col("p")[1].lat)}
+    """(req_id, points[, option, period]) as text to grid requests. Points after the second are ignored.
+
+    Requests that cannot be answered are left out; :func:`rejected_requests` lists them.
+    """
+    ends = _with_reason(df).where("reason is null").withColumns(
+        {"s": to_grid(F.col("a.lon"), F.col("a.lat")), "d": to_grid(F.col("b.lon"), F.col("b.lat"))}
     )
     return ends.select(
         "req_id", F.col("s.x").alias("src_x"), F.col("s.y").alias("src_y"), F.col("d.x").alias("dst_x"), F.col("d.y").alias("dst_y"),
@@ -63,6 +66,27 @@ def route_requests(df: DataFrame) -> DataFrame:
     )
 
 
+def _with_reason(df: DataFrame) -> DataFrame:
+    """Route requests with their two points ``a`` and ``b``, and why they cannot be answered, or NULL."""
+    p = parse_points(F.col("points"))
+    ends = _with_absent(df, "option", "period").withColumns({"a": F.get(p, F.lit(0)), "b": F.get(p, F.lit(1))})
+    option = F.coalesce("option", F.lit(DEFAULT_OPTION))
+    known = F.coalesce(F.col("period").isin(PERIODS), F.lit(False))
+    bad = lambda e: F.col(f"{e}.lon").isNull() | F.col(f"{e}.lat").isNull()
+    return ends.withColumn(
+        "reason",
+        F.when(bad("a"), "the first point is not a longitude and a latitude")
+        .when(bad("b"), "the second point is not a longitude and a latitude")
+        .when(~option.isin("distance", "time"), "unknown option")
+        .when((option == "time") & ~known, "unknown period"),
+    )
+
+
+def rejected_requests(df: DataFrame) -> DataFrame:
+    """(req_id, reason) of the route requests that cannot be answered; the others go on without them."""
+    return _with_reason(df).where("reason is not null").select("req_id", "reason")
+
+
 def area_requests(df: DataFrame) -> DataFrame:
     """(req_id, point[, option, cost, period]) as text to grid requests, with the defaults filled in."""
     placed = _with_absent(df, "option", "cost", "period").withColumn("p", parse_point(F.col("point"))).withColumn("g", to_grid(F.col("p.lon"), F.col("p.lat")))

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SMALL
 from roadloom.operators.ids import dense_id, duplicates
 from roadloom.plans import vehicle, walk
 from roadloom.sources import tables
@@ -123,8 +124,28 @@ def test_many_connecting_nodes_of_one_link_are_collected_in_parts(spark):
     assert walk.collect_connecting_nodes(cn).count() == 1
 
 
-def test_only_the_first_two_elements_of_a_terminal_are_shuffled(spark):
-    elements = spark.createDataFrame([("T", f"F{i:04}", "FerryNode") for i in range(3)] + [("T", "A", "RoadNode")], FERRYTERMINAL_ELEMENT)
-    terminals = vehicle.ferry_terminals(elements)
-    assert terminals.first().element_href == ["F0000", "F0001"]
-    assert "WindowGroupLimit" in terminals._jdf.queryExecution().executedPlan().toString()
+def test_repeated_and_missing_ogc_fid(spark):
+    from workload.graph import Workload
+
+    w = Workload(spark, SMALL, rows_per_block=200)
+    links = w.roadlink.where("ogc_fid <= 40")
+    odd = links.withColumn("ogc_fid", F.when(F.col("ogc_fid") > 5, F.lit(7).cast(links.schema["ogc_fid"].dataType)))
+    nodes = vehicle.vehicle_nodes(links)
+    plain, got = vehicle.vehicle_edges(links, nodes).collect(), vehicle.vehicle_edges(odd, nodes).collect()
+    assert sorted((r.fid, r.source, r.target, r.length) for r in got) == sorted((r.fid, r.source, r.target, r.length) for r in plain)
+    assert sorted(r.id for r in got) == list(range(1, len(plain) + 1))
+
+
+def test_terminals_keep_all_elements_and_ends_go_by_role(spark):
+    rows = [("t0", "FerryNode", "Fz"), ("t2", "FerryNode", "F1"), ("t2", "RoadNode", "N1"), ("t5", "FerryNode", "Fa"), ("t5", "FerryNode", "Fb"), ("t5", "RoadNode", "N2"), ("t5", "RoadNode", "N3"), ("t1", "RoadNode", "N4")]
+    elements = spark.createDataFrame(rows, "id string, role string, identifier string")
+    assert {r.id: r.element_href for r in vehicle.ferry_terminals(elements).collect()} == {"t2": ["F1", "N1"], "t5": ["Fa", "Fb", "N2", "N3"], "t1": ["N4"]}
+    assert {(r.ferry_node, r.road_node) for r in vehicle.terminal_ends(elements).collect()} == {("F1", "N1"), ("Fa", "N2"), (None, "N4")}
+
+
+def test_road_ids_past_the_ferry_offset_raise(spark):
+    from pyspark.errors import PySparkException
+
+    edges = spark.createDataFrame([(vehicle.FERRY_ID_OFFSET + 1,)], "id long")
+    with pytest.raises(PySparkException, match="road edges"):
+        vehicle.add_ferries(edges, edges).collect()

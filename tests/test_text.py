@@ -84,3 +84,11 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
         scratch.scratch_root(Session())
     Session.conf = {"spark.checkpoint.dir": "s3a://shared/tmp/"}
     assert scratch.new_folder(Session(), "x").startswith("s3a://shared/tmp/x-")
+
+
+def test_bad_requests_are_listed_and_the_others_answered(spark):
+    rows = [(1, "-1.4 50.9,-1.3 50.8", None, None), (2, "-1.4 50.9", None, None), (3, "-1.4 x,-1.3 50.8", None, None), (4, None, None, None),
+            (5, "-1.4 50.9,-1.3 50.8", "fastest", None), (6, "-1.4 50.9,-1.3 50.8", "time", "never"), (7, "-1.4 50.9,-1.3 50.8", "time", "weekend0719")]
+    asked = spark.createDataFrame(rows, "req_id long, points string, option string, period string")
+    assert sorted(r.req_id for r in R.route_requests(asked).collect()) == [1, 7]
+    assert {r.req_id: r.reason.split()[-1] for r in R.rejected_requests(asked).collect()} == {2: "latitude", 3: "latitude", 4: "latitude", 5: "option", 6: "period"}

@@ -72,7 +72,7 @@ def edge_table_basic(w: Workload) -> DataFrame:
 @query
 def edge_table_speeds(w: Workload) -> DataFrame:
     costs = [f"{way}cost_time_{p}" for p in PERIODS for way in ("", "reverse_")]
-    return w.edges.where("id < 6000000").select(
+    return vehicle.vehicle_edges(w.roadlink, w.nodes, w.table("average_speeds")).select(
         "id", "fid", "source", "target", *[_e(F.col(c), 9).alias(f"{c}_e9") for c in costs]
     )
 
