@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from roadloom.llm import best_fit, exact_dedup, ngram_jaccard, source_mix, toxicity_crf
-from roadloom.llm.tables import materialize, read
+from roadloom.llm.tables import materialize, read, small_batches
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return toxicity_crf.keep_clean(docs, read(spark, sf_dir, "labels"))
 
 

@@ -49,6 +49,7 @@ def _state(spark: SparkSession, path: str, schema, digest, state: str, options:
         "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "96",
         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each store takes megabytes of disk ahead of need
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.streaming.stateStore.unloadOnCommit": "true",  # a store's memory is given back as soon as its task is done
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     }
     before = {k: spark.conf.get(k, None) for k in settings}

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadloom.llm.pairs import block_pairs, components, first_shared, spanning_edges
-from roadloom.llm.tables import grouped, materialize
+from roadloom.llm.tables import grouped, materialize, tidy
 from roadloom.llm.words import shingles, word_chunks, word_hashes
 
 WORDS = 5
@@ -161,18 +161,18 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     threshold or above, copies included), component_id (least doc_id reachable by links), kept (doc_id is component_id)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     known = rows.where("id is not null")
-    sets = materialize(known.mapInArrow(_sets, "id long, digest binary, keys array<long>"), "sets")
+    sets = materialize(known.mapInArrow(tidy(_sets), "id long, digest binary, keys array<long>"), "sets")
     classes = materialize(
         sets.where("digest is not null").groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.any_value("keys").alias("keys")), "classes"
     )
     pairs = materialize(block_pairs(classes.select("id", "keys")).drop("bucket"), "pairs")
     asked = pairs.select("id").distinct()
     # one plan at every size: a merge join, also where the ids would be few enough to broadcast
-    elements = known.join(asked.hint("merge"), "id", "left_semi").mapInArrow(_elements, "id long, elements binary").dropDuplicates(["id"])
+    elements = known.join(asked.hint("merge"), "id", "left_semi").mapInArrow(tidy(_elements), "id long, elements binary").dropDuplicates(["id"])
     work = pairs.join(classes.select("id", "copies", "keys").join(elements, "id"), "id")
     found = materialize(
         work.repartition("band", "key", "lo", "hi").sortWithinPartitions("band", "key", "lo", "hi")
-        .mapInArrow(_verify(threshold, tolerance), "id long, links long, to long"),
+        .mapInArrow(tidy(_verify(threshold, tolerance)), "id long, links long, to long"),
         "links",
     )
     links = found.groupBy("id").agg(F.sum("links").alias("links"))

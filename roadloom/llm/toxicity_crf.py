@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadloom.llm.tables import tidy
 from roadloom.llm.words import BASE, Words, _powers, mix, word_chunks
 
 SAMPLE = 3000
@@ -260,7 +261,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         small = np.concatenate([[model.bias], model.moves.ravel(), model.calibration])
         yield pa.RecordBatch.from_arrays([pa.array([model.weights.astype(np.float32).tobytes()], pa.binary()), pa.array([small.tobytes()], pa.binary())], names=["weights", "small"])
 
-    found = rows.dropDuplicates(["doc_id", "text"]).repartition(1).mapInArrow(run, "weights binary, small binary").collect()
+    found = rows.dropDuplicates(["doc_id", "text"]).repartition(1).mapInArrow(tidy(run), "weights binary, small binary").collect()
     if not found:
         return Model(np.zeros((TEMPLATES, 1 << BITS), np.float32), -4.0, np.zeros((2, 2)), np.array([np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)), 0, 0, 0]))
     small = np.frombuffer(bytes(found[0]["small"]))
@@ -292,7 +293,7 @@ def score(docs: DataFrame, model: Model, cut: float = 0.5) -> DataFrame:
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double, spans array<struct<start:long,end:long,marginal:double>>")
+    return rows.mapInArrow(tidy(run), "doc_id long, score double, spans array<struct<start:long,end:long,marginal:double>>")
 
 
 def report(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
@@ -317,4 +318,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFram
                 keep[w.first : w.last] = m.scores(summaries(m.marginals(x), x.row, w.last - w.first)) < cut
             yield batch.filter(pa.array(keep))
 
-    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(run, docs.withColumn("text", F.col("text").cast("string")).schema)
+    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(tidy(run), docs.withColumn("text", F.col("text").cast("string")).schema)
