@@ -13,28 +13,14 @@ from roadloom.sources.scratch import materialize
 from roadloom.sources.tables import conform
 
 
-POINTS_PER_ROW = 4096
-
-
 def connecting_points(connectingnode: DataFrame) -> DataFrame:
     """(fid, x, y): members of the connecting nodes that name a road link."""
     return connectingnode.where("roadlink <> ''").select(F.col("roadlink").alias("fid"), F.explode("geom").alias("p")).select("fid", "p.x", "p.y")
 
 
-def collect_connecting_nodes(connectingnode: DataFrame, per_row: int = POINTS_PER_ROW) -> DataFrame:
-    """(roadlink, part, geom): distinct points of each named link, as sorted multipoints.
-
-    A link has one part unless it has more than ``per_row`` points, so no row
-    or task has to hold all points of a link. Splitting does not need this table.
-    """
-    points = connecting_points(connectingnode).dropDuplicates()
-    parts = points.groupBy("fid").agg(F.ceil(F.count(F.lit(1)) / per_row).alias("parts"))
-    return (
-        points.join(parts, "fid")
-        .withColumn("part", F.pmod(F.xxhash64("x", "y"), F.col("parts")))
-        .groupBy(F.col("fid").alias("roadlink"), "part")
-        .agg(F.array_sort(F.collect_list(F.struct("x", "y"))).alias("geom"))
-    )
+def collect_connecting_nodes(connectingnode: DataFrame) -> DataFrame:
+    """(roadlink, x, y): distinct points of each named link, one row per point, so no row holds all points of a link."""
+    return connecting_points(connectingnode).dropDuplicates().withColumnRenamed("fid", "roadlink")
 
 
 def split_road_links(roadlink: DataFrame, connectingnode: DataFrame) -> DataFrame:

@@ -158,6 +158,33 @@ def test_hull_corners_of_a_square():
     assert hull.hull_corners(p).tolist() == [[0, 0], [4, 0], [4, 4], [0, 4]]
 
 
+def test_outline_time_is_linear():
+    """A hundred thousand reached nodes of one request take seconds, and four times the nodes not much more than four times as long."""
+    import time
+
+    import numpy as np
+
+    def run(n):
+        p = np.array([(x, y) for x in range(-n, n) for y in range(-n, n) if abs(x) + abs(y) < n], dtype=np.int64) * 150_000
+        squares = [hull.hull_corners(g) for g in hull._groups(p, p[:, 0] >> hull.SQUARE_BITS, p[:, 1] >> hull.SQUARE_BITS)]
+        start = time.perf_counter()
+        ring = hull.dig(squares, 0.85)
+        full = hull._double_area(hull.hull_corners(p))
+        assert 0.85 * full <= hull._double_area(ring) < full
+        return len(p), time.perf_counter() - start
+
+    (few, short), (many, long) = run(112), run(225)
+    assert few < 26_000 and many > 100_000 and long < 40 and long < 12 * short
+
+
+def test_outline_in_larger_squares_than_one(spark):
+    """Corners of the convex form survive both widths of squares, and points of one square alone suffice."""
+    rows = [("far", x * 1e4, y * 1e4) for x in range(-7, 8) for y in range(-7, 8)] + [("near", x * 1.0, y * 1.0) for x in range(9) for y in range(9)]
+    got = {r.req_id: r for r in hull.convex_hull(spark.createDataFrame(rows, "req_id string, x double, y double")).collect()}
+    assert {(p.x, p.y) for p in got["far"].ring} == {(x, y) for x in (-7e4, 7e4) for y in (-7e4, 7e4)} and got["far"].area == 1.4e5**2
+    assert {(p.x, p.y) for p in got["near"].ring} == {(0, 0), (8, 0), (8, 8), (0, 8)} and got["near"].area == 64
+
+
 def test_curve_visits_neighbours_in_turn(spark):
     grid = spark.range(1024).select((F.col("id") % 32).alias("i"), F.floor(F.col("id") / 32).alias("j"))
     step = G.CURVE_METRES

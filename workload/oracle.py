@@ -46,9 +46,9 @@ _ROUND2 = "cast(round(cast(length as decimal(24,9)), 2) as double)"
 _COST_COLUMNS = ["cost_distance", "reverse_cost_distance", *[c for f, r, _ in _TIMES for c in (f, r)]]
 _EDGES = _SPEEDS | _FERRIES | {
     "edges": f"""select id, source, target, length, routehierarchy, {', '.join(_COST_COLUMNS)}, x1, y1, 3 as n_vertices,
-      least(x1,xm,x2) as xmin, least(y1,ym,y2) as ymin, greatest(x1,xm,x2) as xmax, greatest(y1,ym,y2) as ymax from timed
+      least(x1,xm,x2) as xmin, least(y1,ym,y2) as ymin, greatest(x1,xm,x2) as xmax, greatest(y1,ym,y2) as ymax, xm, ym, x2, y2 from timed
     union all select id, source, target, length, 'Ferry Route', {_ROUND2}, {_ROUND2}, {', '.join('1e0' for _ in _COST_COLUMNS[2:])}, x1, y1, 2,
-      least(x1,x2), least(y1,y2), greatest(x1,x2), greatest(y1,y2) from boats"""
+      least(x1,x2), least(y1,y2), greatest(x1,x2), greatest(y1,y2), null, null, x2, y2 from boats"""
 }
 _ALL = ("links", "speeds", "elements", "ferries")
 
@@ -187,7 +187,23 @@ def _route_labels(columns: str = "") -> str:
       from lab l join req q on q.req_id=l.req_id and q.kind=l.kind and l.node=q.target"""
 
 
-def _area(select: str, bands: bool = False, paths: bool = False) -> str:
+_AREA_E3 = "cast(floor(area2/2000000e0*1000+0.5) as bigint)"
+_HULLS = {
+    "reached": f"select distinct req_id, {_mm('x')} as x, {_mm('y')} as y from lab join nodes on nodes.id=lab.node",
+    "columns": "select req_id, x, min(y) as low, max(y) as high from reached group by req_id, x",
+    # a column's lowest point is a corner when the outline turns left there, its highest when it turns right
+    "turns": """select c.req_id, c.x, c.low, c.high,
+      max(case when o.x<c.x then (c.low-o.low)/(c.x-o.x) end) as low_before, min(case when o.x>c.x then (o.low-c.low)/(o.x-c.x) end) as low_after,
+      min(case when o.x<c.x then (c.high-o.high)/(c.x-o.x) end) as high_before, max(case when o.x>c.x then (o.high-c.high)/(o.x-c.x) end) as high_after
+      from columns c join columns o on o.req_id=c.req_id group by c.req_id, c.x, c.low, c.high""",
+    "corners": """select req_id, x, low as y, -1 as side from turns where coalesce(low_before < low_after, true)
+      union all select req_id, x, high, 1 from turns where coalesce(high_before > high_after, true)""",
+    "trapezoids": """select req_id, x, y, side*(lead(x) over w - x)*(lead(y) over w + y) as part from corners window w as (partition by req_id, side order by x)""",
+    "convex": "select req_id, count(distinct (x, y)) as n, cast(sum(part) as double) as area2 from trapezoids group by req_id having sum(part) > 0",
+}
+
+
+def _area(select: str, bands: bool = False, paths: bool = False, hulls: bool = False) -> str:
     minutes = "unnest([5e0, 10e0, 15e0])" if bands else "minutes"
     kind = "concat('time_', period)"
     key = "cast(req_id*100+minutes as bigint)" if bands else "req_id"
@@ -199,7 +215,7 @@ def _area(select: str, bands: bool = False, paths: bool = False) -> str:
     }
     label = {k: v.replace(" having ", " , q.minutes having ") + f" and min(r.label+a.w)//{_HOP} <= cast(floor(q.minutes*1000000e0+0.5) as bigint)" for k, v in _LABELS.items()}
     tree = {"tree": _PREDS["tree"]} if paths else {}
-    return _sql((*_ALL, "od_request"), _AREA_ARCS | _snapped("nodes") | req | label | tree, select)
+    return _sql((*_ALL, "od_request"), _AREA_ARCS | _snapped("nodes") | req | label | tree | (_HULLS if hulls else {}), select)
 
 
 def _hms(seconds: str) -> str:
@@ -304,10 +320,12 @@ def all_oracles() -> dict[str, str]:
       {e('round(cast(coalesce(t.total,0) as decimal(24,9)),2)', 2)} as distance_e2
       from ends e left join (select req_id, agg_cost as total from rows where edge=-1) t on t.req_id=e.req_id"""
     features = _route("@", paths=True)
-    lonlat = ", ".join(f"{n} as ({s})" for n, s in _to_lonlat("select distinct id as k, x1 as x, y1 as y from edges").items())
-    features = features[: features.rindex("@")].rstrip() + ",\n" + lonlat + f""" select req_id, cast(seq as bigint) as seq, 'LineString' as kind, cast(n_vertices as bigint) as n_vertices,
-      {e('cost', 5)} as cost_e5, {e('round(degrees(lam),7)', 7)} as lon1_e7, {e('round(degrees(phi),7)', 7)} as lat1_e7
-      from rows join edges on edges.id=rows.edge join lonlat on lonlat.k=rows.edge"""
+    lonlat = ", ".join(f"{n} as ({s})" for n, s in _to_lonlat(
+        "select id*3 as k, x1 as x, y1 as y from edges union all select id*3+1, xm, ym from edges where n_vertices=3 union all select id*3+n_vertices-1, x2, y2 from edges"
+    ).items())
+    features = features[: features.rindex("@")].rstrip() + ",\n" + lonlat + f""" select req_id, cast(seq as bigint) as seq, 'LineString' as kind, cast(k%3 as bigint) as place,
+      {e('cost', 5)} as cost_e5, {e('round(degrees(lam),7)', 7)} as lon_e7, {e('round(degrees(phi),7)', 7)} as lat_e7
+      from rows join lonlat on lonlat.k//3=rows.edge"""
     return {
         "scan_roadlink": _sql(("links",), {}, "select ogc_fid, id, startnode, endnode, directionality, length, 3 as n_vertices from links"),
         "table_roundtrip": _sql(("elements",), {}, "select * from elements"),
@@ -316,12 +334,11 @@ def all_oracles() -> dict[str, str]:
           cost_distance, reverse_cost_distance, x1, y1, x2, y2 from basic"""),
         "edge_table_speeds": _sql(("links", "speeds"), _SPEEDS, f"select id, fid, source, target, {', '.join(f'{e(c, 9)} as {c}_e9' for c in times)} from timed"),
         "speeds_by_period": _sql(_ALL, _EDGES, long_times),
-        "ferryterminal": _sql(("elements",), _TERMINALS, "select id, e[1] as ferry_ref, e[2] as road_ref from terminals"),
+        "ferryterminal": _sql(("elements",), _TERMINALS, "select id, unnest(range(len(e))) as place, unnest(e) as element from terminals"),
         "ferry_edges": _sql(("links", "elements", "ferries"), _NODES | _FERRIES, f"""select id, fid, source, target, 'Ferry Route' as routehierarchy, 'Open' as operationalstate,
           'both directions' as directionality, 0 as n_names, {_mm('length')} as length_mm, {e(_ROUND2, 2)} as cost_distance_e2, 1e0 as cost_time_weekend0719, x1, y1, x2, y2 from boats"""),
         "connectingnode_used": _sql(("cutpoints",), {}, "select roadlink as fid, x, y from cutpoints where roadlink <> ''"),
-        "collect_connectingnode": _sql(("cutpoints",), _POINTS, """select fid as roadlink, cast(0 as bigint) as part, count(*) as n_points, arg_min(x, (x,y)) as first_x, arg_min(y, (x,y)) as first_y,
-          arg_max(x, (x,y)) as last_x, arg_max(y, (x,y)) as last_y from pts group by fid"""),
+        "collect_connectingnode": _sql(("cutpoints",), _POINTS, "select fid as roadlink, x, y from pts"),
         "split_roadlink": _sql(("links", "cutpoints"), _SPLIT, f"select fid, n, {piece} from pieces"),
         "non_split_roadlink": _sql(("links", "cutpoints"), {}, """select id as fid, cast(1 as bigint) as n, 'RoadLink' as type, routehierarchy, formofway from links
           where not exists (select 1 from cutpoints c where c.roadlink=links.id)"""),
@@ -358,4 +375,9 @@ def all_oracles() -> dict[str, str]:
         "service_area_edges": _area(f"select req_id, node, edge, label//{_HOP} as cost_fixed from tree", paths=True),
         "drive_time_bands": _area(f"""select own_id as req_id, node, min(minutes) as band, arg_min(label//{_HOP}, minutes) as cost_fixed
           from lab join req on req.req_id=lab.req_id group by 1, 2""", bands=True),
+        "hull_convex": _area(f"select req_id, cast(n+1 as bigint) as n_points, {_AREA_E3} as area_e3, {_AREA_E3} as convex_area_e3 from convex", hulls=True),
+        "hull_concave": _area(f"""select req_id, {_AREA_E3} as convex_area_e3, true as closed, true as share_kept, cast(0 as bigint) as n_foreign
+          from convex""", hulls=True),
+        "service_area": _area("""select req_id, 'LineString' as kind, count(*) as features from tree join od_request using (req_id) where opt<>'distance' group by req_id
+          union all select req_id, 'Polygon', 1 from convex join od_request using (req_id) where opt='distance'""", paths=True, hulls=True),
     }

@@ -86,9 +86,9 @@ def speeds_by_period(w: Workload) -> DataFrame:
 
 @query
 def ferryterminal(w: Workload) -> DataFrame:
-    return vehicle.ferry_terminals(w.table("ferryterminal_element")).select(
-        "id", G.piece(F.col("element_href"), 1).alias("ferry_ref"), G.piece(F.col("element_href"), 2).alias("road_ref")
-    )
+    """Every element of every terminal, by its place in the list."""
+    terminals = vehicle.ferry_terminals(w.table("ferryterminal_element"))
+    return terminals.select("id", F.posexplode("element_href").alias("place", "element")).withColumn("place", F.col("place").cast("long"))
 
 
 @query
@@ -107,11 +107,7 @@ def connectingnode_used(w: Workload) -> DataFrame:
 
 @query
 def collect_connectingnode(w: Workload) -> DataFrame:
-    multi = walk.collect_connecting_nodes(w.table("connectingnode"))
-    return multi.select(
-        "roadlink", "part", G.piece_count(F.col("geom")).cast("long").alias("n_points"), G.start_point(F.col("geom")).x.alias("first_x"),
-        G.start_point(F.col("geom")).y.alias("first_y"), G.end_point(F.col("geom")).x.alias("last_x"), G.end_point(F.col("geom")).y.alias("last_y"),
-    )
+    return walk.collect_connecting_nodes(w.table("connectingnode"))
 
 
 def _pieces(df: DataFrame, *columns: str) -> DataFrame:
@@ -307,14 +303,15 @@ def walk_summary(w: Workload) -> DataFrame:
 
 @query
 def geojson_features(w: Workload) -> DataFrame:
+    """Every coordinate of every feature."""
     rows = route.route_rows(w.vehicles, _solve(w.vehicles, w.requests), ["length", "geom"])
     features = route.route_features(rows)
     shape = "struct<type:string,properties:struct<cost:double,length:double>,geometry:struct<type:string,coordinates:array<array<double>>>>"
     f = features.select("req_id", F.col("seq").cast("long").alias("seq"), F.from_json("feature", shape).alias("f"))
-    first = F.col("f.geometry.coordinates")[0]
-    return f.select(
-        "req_id", "seq", F.col("f.geometry.type").alias("kind"), F.size("f.geometry.coordinates").cast("long").alias("n_vertices"),
-        _e(F.col("f.properties.cost"), 5).alias("cost_e5"), _e(first[0], 7).alias("lon1_e7"), _e(first[1], 7).alias("lat1_e7"),
+    each = f.select("*", F.posexplode("f.geometry.coordinates").alias("place", "at"))
+    return each.select(
+        "req_id", "seq", F.col("f.geometry.type").alias("kind"), F.col("place").cast("long").alias("place"), _e(F.col("f.properties.cost"), 5).alias("cost_e5"),
+        _e(F.col("at")[0], 7).alias("lon_e7"), _e(F.col("at")[1], 7).alias("lat_e7"),
     )
 
 
@@ -337,21 +334,26 @@ def drive_time_bands(w: Workload) -> DataFrame:
     return area.drive_time_bands(w.areas, w.origins)
 
 
-def _hull(w: Workload, outlines) -> DataFrame:
-    shapes = outlines(area.area_points(materialize(_area_nodes(w), "area-nodes"), w.nodes))
+@query
+def hull_convex(w: Workload) -> DataFrame:
+    shapes = hull.convex_hull(area.area_points(_area_nodes(w), w.nodes))
     return shapes.select(
         "req_id", F.size("ring").cast("long").alias("n_points"), G.to_mm(F.col("area")).alias("area_e3"), G.to_mm(F.col("convex_area")).alias("convex_area_e3")
     )
 
 
-@query
-def hull_convex(w: Workload) -> DataFrame:
-    return _hull(w, hull.convex_hull)
-
-
 @query
 def hull_concave(w: Workload) -> DataFrame:
-    return _hull(w, hull.concave_hull)
+    """Exact convex area, whether the ring closes and keeps its share of that area, and ring corners that are no reached node."""
+    points = materialize(area.area_points(_area_nodes(w), w.nodes), "area-points")
+    shapes = materialize(hull.concave_hull(points), "outlines")
+    at = [G.to_mm(F.col(c)).alias(f"{c}_mm") for c in ("x", "y")]
+    corners = shapes.select("req_id", F.explode("ring").alias("p")).select("req_id", "p.x", "p.y").select("req_id", *at)
+    foreign = corners.join(points.select("req_id", *at).dropDuplicates(), ["req_id", "x_mm", "y_mm"], "left_anti").groupBy("req_id").agg(F.count(F.lit(1)).alias("n"))
+    return shapes.join(foreign, "req_id", "left").select(
+        "req_id", G.to_mm(F.col("convex_area")).alias("convex_area_e3"), (F.col("ring")[0] == F.element_at("ring", -1)).alias("closed"),
+        (F.col("area") / F.col("convex_area")).between(hull.TARGET_SHARE, 1).alias("share_kept"), F.coalesce("n", F.lit(0)).cast("long").alias("n_foreign"),
+    )
 
 
 @query
