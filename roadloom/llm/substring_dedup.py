@@ -180,7 +180,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
         seeded.join(copies, "digest", "left").withColumn("copy", F.coalesce(F.col("key") > F.col("least"), F.lit(False))).drop("least"), "judged"
     )
     grams = judged.where("not copy").select("key", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select(F.col("s.seeds").alias("seed"), "key", F.col("s.places").alias("place"))
-    shared = grams.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
+    # written, so that the join below has a plain shuffle on either side and a seed with very many places is split
+    shared = materialize(grams.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed"), "shared")
     seeds = grams.join(shared, "seed").groupBy("key").agg(F.collect_list("place").alias("places"))
     asked = materialize(rows.join(seeds.hint("merge"), "key"), "asked")
     found = asked.mapInArrow(_extensions(window, seed), "window long, key long, start int")
