@@ -174,13 +174,13 @@ def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     seeded = materialize(rows.mapInArrow(_seeds(window, seed), "key long, n_words long, digest binary, seeds array<long>, places array<int>"), "seeds")
     long = seeded.where(F.col("n_words") >= window)
-    copies = long.groupBy("digest").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most").drop("most")
+    # written, so that the joins below have a plain shuffle on either side and a digest or seed with very many rows is split
+    copies = materialize(long.groupBy("digest").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most").drop("most"), "copies")
     # (key, whether the row's text came earlier in another document)
     judged = materialize(
         seeded.join(copies, "digest", "left").withColumn("copy", F.coalesce(F.col("key") > F.col("least"), F.lit(False))).drop("least"), "judged"
     )
     grams = judged.where("not copy").select("key", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select(F.col("s.seeds").alias("seed"), "key", F.col("s.places").alias("place"))
-    # written, so that the join below has a plain shuffle on either side and a seed with very many places is split
     shared = materialize(grams.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed"), "shared")
     seeds = grams.join(shared, "seed").groupBy("key").agg(F.collect_list("place").alias("places"))
     asked = materialize(rows.join(seeds.hint("merge"), "key"), "asked")
