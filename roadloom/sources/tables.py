@@ -32,6 +32,21 @@ def append(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+def responses(summary: DataFrame, features: DataFrame) -> DataFrame:
+    """Each request's ``summary`` row with ``features``, its GeoJSON features in order; a request without any has an empty list."""
+    seq = F.col("seq") if "seq" in features.columns else F.lit(0)
+    listed = features.groupBy("req_id").agg(F.array_sort(F.collect_list(F.struct(seq.alias("seq"), "feature"))).alias("f"))
+    texts = F.coalesce(F.transform("f", lambda s: s["feature"]), F.array().cast("array<string>"))
+    return summary.join(listed, "req_id", "left").withColumn("features", texts).drop("f")
+
+
+def write_responses(responses: DataFrame, path: str) -> None:
+    """Write one JSON object per request and line: what its row of the summary says, then its features."""
+    head = F.to_json(F.struct(*[c for c in responses.columns if c != "features"]), {"ignoreNullFields": "false"})
+    text = F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"type":"FeatureCollection","features":['), F.concat_ws(",", "features"), F.lit("]}"))
+    responses.select(text.alias("value")).write.mode("overwrite").text(path)
+
+
 def write_features(features: DataFrame, path: str) -> None:
     """Write GeoJSON features as text, one per line; routes come in order of request and step."""
     ordered = features.orderBy("req_id", "seq") if "seq" in features.columns else features

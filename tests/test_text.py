@@ -92,3 +92,16 @@ def test_bad_requests_are_listed_and_the_others_answered(spark):
     asked = spark.createDataFrame(rows, "req_id long, points string, option string, period string")
     assert sorted(r.req_id for r in R.route_requests(asked).collect()) == [1, 7]
     assert {r.req_id: r.reason.split()[-1] for r in R.rejected_requests(asked).collect()} == {2: "latitude", 3: "latitude", 4: "latitude", 5: "option", 6: "period"}
+
+
+def test_responses_keep_their_request(spark, tmp_path):
+    import json
+
+    summary = spark.createDataFrame([(1, "0:1", None), (2, None, 3.5)], "req_id long, time string, distance double")
+    features = spark.createDataFrame([(1, 2, '{"k":"b"}'), (1, 1, '{"k":"a}"}')], "req_id long, seq int, feature string")
+    answered = tables.responses(summary, features)
+    assert {r.req_id: r.features for r in answered.collect()} == {1: ['{"k":"a}"}', '{"k":"b"}'], 2: []}
+    tables.write_responses(answered, str(tmp_path / "r"))
+    got = {r["req_id"]: r for r in map(json.loads, (x.value for x in spark.read.text(str(tmp_path / "r")).collect()))}
+    assert got[1]["features"] == [{"k": "a}"}, {"k": "b"}] and got[1]["time"] == "0:1" and got[1]["distance"] is None
+    assert got[2]["features"] == [] and got[2]["distance"] == 3.5

@@ -309,12 +309,13 @@ def all_oracles() -> dict[str, str]:
         for k, f, r, s in kinds for u, v, c in (("source", "target", f), ("target", "source", r))
     )
     piece = f"n_vertices, {_mm('x1')} as x1_mm, {_mm('y1')} as y1_mm, {_mm('x2')} as x2_mm, {_mm('y2')} as y2_mm, {_mm('length')} as length_mm"
-    totals = """totals as (select req_id, sum(cast(floor(cost*100000+0.5) as bigint)) as c, sum(cast(floor(length*1000000+0.5) as bigint)) as l
+    totals = """totals as (select req_id, sum(cast(floor(cost*100000+0.5) as bigint)) as c, sum(cast(floor(length*1000000+0.5) as bigint)) as l, count(*) as n
       from rows join edges on edges.id=rows.edge group by req_id) """
     summary = _route("@", paths=True)
     summary = summary[: summary.rindex("@")].rstrip() + ",\n" + totals + f"""select e.req_id, e.source, e.target,
       case when opt='distance' then 'N/A' else {_hms('coalesce(c,0)*60//100000')} end as time, cast((coalesce(l,0)+5000)//10000 as bigint) as distance_e2
       from ends e left join totals t on t.req_id=e.req_id"""
+    response = summary.replace("as distance_e2", "as distance_e2, coalesce(n, 0) as n_features")
     walked = _route("@", kind="'walk'", paths=True, walk=True)
     walked = walked[: walked.rindex("@")] + f"""select e.req_id, e.source, e.target, {_hms('floor(coalesce(t.total,0)/1.4)')} as time,
       {e('round(cast(coalesce(t.total,0) as decimal(24,9)),2)', 2)} as distance_e2
@@ -369,12 +370,18 @@ def all_oracles() -> dict[str, str]:
         "route_all_periods": _route(_route_labels("q.kind as cost_name,"), kind=_EVERY),
         "route_edges": _route(f"select req_id, cast(seq as bigint) as seq, node, edge, {e('cost', 6)} as cost_e6, {e('agg_cost', 5)} as agg_cost_e5 from rows", paths=True),
         "route_summary": summary,
+        "route_response": response,
         "walk_summary": walked,
         "geojson_features": features,
         "service_area_nodes": _area(f"select req_id, node, label//{_HOP} as cost_fixed from lab"),
         "service_area_edges": _area(f"select req_id, node, edge, label//{_HOP} as cost_fixed from tree", paths=True),
         "drive_time_bands": _area(f"""select own_id as req_id, node, min(minutes) as band, arg_min(label//{_HOP}, minutes) as cost_fixed
           from lab join req on req.req_id=lab.req_id group by 1, 2""", bands=True),
+        "area_summary": _area("""select req_id, source, case opt when 'distance' then 'alphashape' else 'drivingdistance' end as option, req.minutes as cost
+          from req join od_request using (req_id)"""),
+        "rejected_requests": """select * from (select s_suppkey as req_id, case when s_suppkey%5 in (0, 1) then 'the second point is not a longitude and a latitude'
+          when s_suppkey%3=2 and s_suppkey%2=0 then 'unknown option' when s_suppkey%3=1 and s_suppkey%4=0 then 'unknown period' end as reason from supplier) r
+          where reason is not null""",
         "hull_convex": _area(f"select req_id, cast(n+1 as bigint) as n_points, {_AREA_E3} as area_e3, {_AREA_E3} as convex_area_e3 from convex", hulls=True),
         "hull_concave": _area(f"""select req_id, {_AREA_E3} as convex_area_e3, true as closed, true as share_kept, cast(0 as bigint) as n_foreign
           from convex""", hulls=True),

@@ -206,6 +206,17 @@ def parse_requests(w: Workload) -> DataFrame:
     )
 
 
+@query
+def rejected_requests(w: Workload) -> DataFrame:
+    """Request text per supplier, some of it faulty in one way or another."""
+    text = w.sql(
+        """select s_suppkey as req_id, concat('-1.', s_suppkey, ' 50.9', case s_suppkey%5 when 0 then '' when 1 then ',-1.2 north' else ',-1.2 51.1' end) as points,
+        case s_suppkey%3 when 0 then 'distance' when 1 then 'time' else if(s_suppkey%2=0, 'fastest', null) end as option,
+        if(s_suppkey%4=0, 'never', 'weekend0719') as period from supplier"""
+    )
+    return R.rejected_requests(text)
+
+
 # --- graph operators ----------------------------------------------------------------------------------------------
 
 
@@ -295,6 +306,13 @@ def route_summary(w: Workload) -> DataFrame:
     return s.select("req_id", "source", "target", "time", _e(F.col("distance"), 2).alias("distance_e2"))
 
 
+@query
+def route_response(w: Workload) -> DataFrame:
+    result = route.route(w.vehicles, w.requests)
+    answered = tables.responses(result.summary, result.features)
+    return answered.select("req_id", "source", "target", "time", _e(F.col("distance"), 2).alias("distance_e2"), F.size("features").cast("long").alias("n_features"))
+
+
 @query
 def walk_summary(w: Workload) -> DataFrame:
     s = route.route(w.walkers, w.requests).summary
@@ -329,6 +347,11 @@ def service_area_edges(w: Workload) -> DataFrame:
     return area.area_edges(_area_nodes(w), w.areas.edges).select("req_id", "node", "edge", "cost_fixed")
 
 
+@query
+def area_summary(w: Workload) -> DataFrame:
+    return area.service_area(w.areas, w.origins).summary
+
+
 @query
 def drive_time_bands(w: Workload) -> DataFrame:
     return area.drive_time_bands(w.areas, w.origins)
