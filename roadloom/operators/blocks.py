@@ -4,10 +4,14 @@ The arcs are numbered along a space-filling curve and cut into blocks of a
 fixed number of rows, so no block grows with the data however dense a place
 is. A node with more arcs than a block holds spans several blocks and is only
 ever reached by messages. Requests are numbered the same way and cut into
-shards of a fixed size. One step works on the (shard, block) groups that got
-new messages: labels settle inside the block, and labels that cross to another
-block are written as messages. Only messages are kept between steps; labels
-inside a block are always recomputed from them, so a lost task costs one block.
+shards of a fixed size. A block's arcs are kept packed, one row per block. One
+step works on the (shard, block) groups that got new messages: labels settle
+inside the block, and labels that cross to another block are written as
+messages. Neighbouring shards form a chunk and share one copy of a block's arcs,
+so a step moves packed rows of woken blocks, never single arcs. Only messages are
+kept between steps; labels inside a block are always recomputed from them, so a
+lost task costs one block. Messages are stored by region and apart from the goals
+reached, so a step reads those of the regions it works in.
 
 A label is ``cost * 2^20 + hops`` with the cost in whole units, so sums are exact
 and ties go to fewer hops. Among equal labels the smallest edge id wins.
@@ -19,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -33,18 +38,19 @@ INF = 1 << 61
 FAR = 1e15  # metres; stands for "no box"
 ROWS_PER_BLOCK = 65_536
 REQUESTS_PER_SHARD = 64
+SHARDS_PER_CHUNK = 2  # shards that settle one after another on one copy of a block's arcs
 TASKS_PER_PARTITION = 4  # groups differ in work, so more tasks than shuffle partitions even it out
 GROUPS_PER_TASK = 256
-BLOCKS_PER_REGION = 256  # arcs are stored by region, so a step reads only the regions it works in
-SHARDS_PER_COPY = 64  # shards one copy of a block's arcs is handed on to by one task
+BLOCKS_PER_REGION = 256  # arcs and messages are stored by region, so a step reads only the regions it works in
+CHUNKS_PER_COPY = 64  # chunks one copy of a block's arcs is handed on to by one task
 BOUND_SHRINK = 1 - 1e-6  # keeps the straight-line bound below the true cost despite rounding
 
 METRE_SCALE = 1_000  # millimetres
 MINUTE_SCALE = 1_000_000
 
-_ARC = "region long, block long, edge long, u long, v long, v_lo long, v_hi long, x double, y double, xmin double, ymin double, xmax double, ymax double"
+_ARC = "block long, edge long, u long, v long, v_lo long, v_hi long, x double, y double, xmin double, ymin double, xmax double, ymax double"
 _MESSAGE = "shard long, block long, req_no long, node long, label long, edge long, prev long, prev_block long, goal boolean"
-_TREE = "req_no long, node long, label long, edge long, prev long"
+_TREE = "req_no long, node long, label long, edge long, prev long, x double, y double"
 _PATH = "shard long, block long, req_no long, node long, label long, edge long, prev long, token boolean"
 
 
@@ -60,6 +66,7 @@ class Cost:
 @dataclass
 class BlockGraph:
     arcs: DataFrame  # _ARC plus one weight column w_<i> per cost
+    packed: DataFrame  # region, block, the block's arcs in ``rows`` and their weights in one w_<i> per cost
     homes: DataFrame  # node, v_lo, v_hi, x, y
     costs: dict[str, Cost]
     rate: dict[str, float]  # least cost units per straight metre of any arc
@@ -73,6 +80,29 @@ def _region(block: Column) -> Column:
     return F.floor(block / BLOCKS_PER_REGION).cast("long")
 
 
+def _chunk(shard: Column) -> Column:
+    return F.floor(shard / SHARDS_PER_CHUNK).cast("long")
+
+
+def _bytes(rows: pd.DataFrame) -> bytes:
+    sink, table = pa.BufferOutputStream(), pa.Table.from_pandas(rows, preserve_index=False)
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _rows(packed: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(packed).read_all().to_pandas()
+
+
+def _pack(arcs: pd.DataFrame) -> pd.DataFrame:
+    """One row for all arcs of a block, sorted by the node they enter; weights apart, so that a search reads only those it uses."""
+    arcs = arcs.sort_values(["v", "edge", "u"])
+    weights = [c for c in arcs.columns if c.startswith("w_")]
+    parts = {"block": [arcs["block"].iat[0]], "rows": [_bytes(arcs.drop(columns=["block", *weights]))]}
+    return pd.DataFrame(parts | {w: [_bytes(arcs[[w]])] for w in weights})
+
+
 def block_graph(nodes: DataFrame, edges: DataFrame, costs: dict[str, Cost], rows_per_block: int = ROWS_PER_BLOCK) -> BlockGraph:
     """Expand edges to weighted arcs and assign them to blocks.
 
@@ -121,17 +151,17 @@ def block_graph(nodes: DataFrame, edges: DataFrame, costs: dict[str, Cost], rows
     placed = materialize(
         numbered.join(u_home, "u").join(v_home, "v")
         .select(block.alias("block"), "edge", "u", "v", "v_lo", "v_hi", "x", "y", *box, *weights, chord.alias("chord"))
-        .withColumn("region", _region(F.col("block")))
-        .repartitionByRange("block", "u"),  # more files than blocks, so a few blocks still load in parallel
+        .repartition("block"),
         "arcs",
-        ["region"],
     )
     rates = placed.agg(
         *[F.min(F.when((F.col("chord") > 0) & (F.col(w) < INF), F.shiftright(w, HOP_BITS) / F.col("chord"))).alias(w) for w in weights],
         F.max("block").alias("last"),
     ).first()
+    schema = ", ".join(["block long", "rows binary", *[f"{w} binary" for w in weights]])
+    packed = placed.drop("chord").groupBy("block").applyInPandas(_pack, schema).withColumn("region", _region(F.col("block")))
     return BlockGraph(
-        placed.drop("chord"), homes, dict(costs), {n: (rates[w] or 0.0) * BOUND_SHRINK for n, w in zip(names, weights)},
+        placed.drop("chord"), materialize(packed, "packed", ["region"]), homes, dict(costs), {n: (rates[w] or 0.0) * BOUND_SHRINK for n, w in zip(names, weights)},
         1 + (rates["last"] or 0),
     )
 
@@ -139,22 +169,21 @@ def block_graph(nodes: DataFrame, edges: DataFrame, costs: dict[str, Cost], rows
 # --- inside one block ---------------------------------------------------------------------------------------------
 
 
-class _Block:
-    """Arcs of one block as arrays, with the requests that have labels in it.
+class _Arcs:
+    """Arcs of one block as arrays, the same for all requests."""
 
-    Labels are kept flat, one per (node, request): ``slot = node * requests + request``.
-    """
-
-    def __init__(self, rows: pd.DataFrame, requests: pd.DataFrame):
-        self.number = int(rows["block"].iat[0])
-        self.reqs, self.width = requests, len(requests)
+    def __init__(self, packed: pd.DataFrame):
+        self.number = int(packed["arc_block"].iat[0])
+        rows = _rows(packed["rows"].iat[0])
+        for w in (c for c in packed.columns if c.startswith("w_")):
+            rows[w] = _rows(packed[w].iat[0])[w]
         self.ids, at = np.unique(rows["u"].to_numpy(), return_index=True)
         self.x, self.y = rows["x"].to_numpy()[at], rows["y"].to_numpy()[at]
         anchor = rows["edge"].to_numpy() < 0
         self.owned = np.isin(self.ids, rows["u"].to_numpy()[anchor])
         rows = rows[~anchor]
         inside = (rows["v_lo"].to_numpy() == self.number) & (rows["v_hi"].to_numpy() == self.number)
-        self.inner = rows[inside].sort_values(["v", "edge", "u"])
+        self.inner = rows[inside]
         self.outer = rows[~inside]
         self.edge, self.u_id = self.inner["edge"].to_numpy(), self.inner["u"].to_numpy()
         self.u, self.v = self.at(self.inner["u"]), self.at(self.inner["v"])
@@ -162,15 +191,28 @@ class _Block:
         self.leaving = np.argsort(self.u, kind="stable")
         self.leave_from = np.searchsorted(self.u[self.leaving], np.arange(len(self.ids) + 1))
         self.enter_from = np.searchsorted(self.v, np.arange(len(self.ids) + 1))
+
+    def at(self, nodes) -> np.ndarray:
+        return np.searchsorted(self.ids, np.asarray(nodes))
+
+
+class _Block:
+    """One block with the requests that have labels in it.
+
+    Labels are kept flat, one per (node, request): ``slot = node * requests + request``.
+    """
+
+    def __init__(self, arcs: _Arcs, requests: pd.DataFrame):
+        for name, value in vars(arcs).items():
+            setattr(self, name, value)
+        self.at = arcs.at
+        self.reqs, self.width = requests, len(requests)
         self.w = self.weights(self.inner)
         self.rest = self._remaining().ravel()
         goal = np.minimum(self.at(requests["goal"]), len(self.ids) - 1)
         self.goal_req = np.flatnonzero((self.ids[goal] == requests["goal"].to_numpy()) & self.owned[goal])
         self.goal_slot = goal[self.goal_req] * self.width + self.goal_req
 
-    def at(self, nodes) -> np.ndarray:
-        return np.searchsorted(self.ids, np.asarray(nodes))
-
     def slots(self, labels: pd.DataFrame) -> np.ndarray:
         return self.at(labels["node"]) * self.width + labels["req"].to_numpy()
 
@@ -252,7 +294,9 @@ class _Block:
 _REQUEST = ["req_no", "cost_ix", "bound", "rate", "goal", "goal_x", "goal_y", "lo_x", "lo_y", "hi_x", "hi_y"]
 
 
-def _open(inbox: pd.DataFrame, arcs: pd.DataFrame) -> tuple[_Block, pd.DataFrame]:
+def _open(inbox: pd.DataFrame, arcs: _Arcs) -> tuple[_Block, pd.DataFrame]:
+    if int((inbox["label"].to_numpy() & (HOP - 1)).max()) + len(arcs.ids) >= HOP:
+        raise ValueError(f"a path may have {HOP} edges or more, which labels cannot count")
     requests = inbox.drop_duplicates("req_no")[_REQUEST].sort_values("req_no")
     inbox = inbox.assign(req=np.searchsorted(requests["req_no"].to_numpy(), inbox["req_no"].to_numpy()))
     return _Block(arcs, requests), inbox
@@ -262,10 +306,8 @@ def _empty(schema: str) -> pd.DataFrame:
     return pd.DataFrame({part.split()[0]: [] for part in schema.split(", ")})
 
 
-def _advance(inbox: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
+def _advance(inbox: pd.DataFrame, arcs: _Arcs) -> pd.DataFrame:
     """One group of one step: settle all messages, report what the new ones improved."""
-    if inbox.empty or arcs.empty:
-        return _empty(_MESSAGE)
     block, inbox = _open(inbox, arcs)
     slot, dist = block.slots(inbox), block.blank()
     block.settle(dist, slot, inbox["old"].to_numpy())
@@ -303,10 +345,8 @@ def _advance(inbox: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(parts)[[c.split()[0] for c in _MESSAGE.split(", ")]]
 
 
-def _finish(inbox: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
+def _finish(inbox: pd.DataFrame, arcs: _Arcs) -> pd.DataFrame:
     """All labels of the nodes this block owns, with the arc each was reached by."""
-    if inbox.empty or arcs.empty:
-        return _empty(_TREE)
     block, inbox = _open(inbox, arcs)
     dist = block.blank()
     block.settle(dist, block.slots(inbox), inbox["label"].to_numpy())
@@ -315,13 +355,12 @@ def _finish(inbox: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
     node, req = np.divmod(slot, block.width)
     return pd.DataFrame({
         "req_no": block.reqs["req_no"].to_numpy()[req], "node": block.ids[node], "label": dist[slot], "edge": edge, "prev": prev,
+        "x": block.x[node], "y": block.y[node],
     })
 
 
-def _walk_back(inbox: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
+def _walk_back(inbox: pd.DataFrame, arcs: _Arcs) -> pd.DataFrame:
     """From each token back to where its path entered the block: path rows, and a token for the block before."""
-    if inbox.empty or arcs.empty:
-        return _empty(_PATH)
     block, inbox = _open(inbox, arcs)
     entry, tokens = inbox[~inbox["token"]], inbox[inbox["token"]]
     dist = block.blank()
@@ -347,24 +386,35 @@ def _walk_back(inbox: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
 class Spread:
     """Settled messages of one batch of requests."""
 
-    arcs: DataFrame  # with the weights of the costs in use only
+    packed: DataFrame  # blocks with the weights of the costs in use only
     requests: DataFrame  # numbered, with their bounds in label units
-    folder: str  # messages, one sub-folder per step
-    shards: int
-    blocks: int
-
-    def tasks(self) -> int:
-        """Tasks for one step: several per shuffle partition, more where there can be very many groups, but no more than groups."""
-        groups = self.shards * self.blocks
-        return max(1, min(groups, max(TASKS_PER_PARTITION * shuffle_partitions(self.requests.sparkSession), groups // GROUPS_PER_TASK)))
+    folder: str  # messages by step, goals apart, by region
+    steps: int = 0
+    sent: int = 0  # messages
+    groups: int = 0  # groups worked on over all steps, about
 
     def messages(self) -> DataFrame:
+        return self._read().where("not goal")
+
+    def _read(self) -> DataFrame:
         spark = self.requests.sparkSession
-        return spark.read.schema(f"{_MESSAGE}, step int").option("basePath", self.folder).parquet(self.folder)
+        return spark.read.schema(f"{_MESSAGE}, region long, step int").option("basePath", self.folder).parquet(self.folder)
+
+    def write(self, messages: DataFrame) -> tuple[int, int]:
+        """Store the messages of the next step; how many they are and about how many groups they wake."""
+        count = Observation()
+        stored = messages.withColumn("region", _region(F.col("block"))).hint("rebalance", "region", "shard", "block").observe(
+            count, F.count_if(~F.col("goal")).alias("sent"),
+            F.approx_count_distinct(F.when(~F.col("goal"), F.struct("block", _chunk(F.col("shard"))))).alias("groups"),
+        )  # observed last: an empty plan below would be dropped together with its figures
+        stored.write.partitionBy("goal", "region").parquet(f"{self.folder}/step={self.steps}")
+        sent, groups = count.get["sent"], count.get["groups"]
+        self.steps, self.sent, self.groups = self.steps + 1, self.sent + sent, self.groups + groups
+        return sent, groups
 
     def reached(self) -> DataFrame:
         """(req_no, label): best label at each request's goal."""
-        return self.messages().where("goal").groupBy("req_no").agg(F.min("label").alias("label"))
+        return self._read().where("goal").groupBy("req_no").agg(F.min("label").alias("label"))
 
     def terms(self) -> DataFrame:
         """What a block must know of each request; the bound tightens once the goal has been reached."""
@@ -375,38 +425,38 @@ class Spread:
         )
 
 
-def _by_group(spread: Spread, inbox: DataFrame, groups: DataFrame, work, schema: str) -> DataFrame:
-    """Run ``work`` on every (shard, block) of ``groups`` with its inbox rows and that block's arcs."""
+def _by_group(spread: Spread, inbox: DataFrame, groups: DataFrame, about: int, work, schema: str) -> DataFrame:
+    """Run ``work`` on every (shard, block) of ``groups`` (about so many chunks of them) with its inbox rows and that block's arcs."""
+
+    def run(inbox: pd.DataFrame, packed: pd.DataFrame) -> pd.DataFrame:
+        if inbox.empty or packed.empty:
+            return _empty(schema)
+        arcs = _Arcs(packed)
+        return pd.concat([work(part, arcs) for _, part in inbox.groupby("shard")])
+
     # An explicit count keeps small inputs spread over all cores: the work here is CPU, not bytes.
-    n = spread.tasks()
-    key = ["shard", "block"]
-    left = inbox.join(spread.terms(), "req_no").repartition(n, *key)
-    right = _hand_out(spread, groups).repartition(n, "arc_shard", "arc_block")
-    return left.groupBy(*key).cogroup(right.groupBy("arc_shard", "arc_block")).applyInPandas(work, schema)
+    n = max(TASKS_PER_PARTITION * shuffle_partitions(inbox.sparkSession), about // GROUPS_PER_TASK)
+    left = inbox.join(spread.terms(), "req_no").withColumn("chunk", _chunk(F.col("shard"))).repartition(n, "chunk", "block")
+    right = _hand_out(spread, groups).repartition(n, "arc_chunk", "arc_block")
+    return left.groupBy("chunk", "block").cogroup(right.groupBy("arc_chunk", "arc_block")).applyInPandas(run, schema)
 
 
 def _hand_out(spread: Spread, groups: DataFrame) -> DataFrame:
-    """A copy of its block's arcs for every group.
+    """A copy of its block's packed arcs for every chunk of shards.
 
-    Where very many shards can meet in one block, the copies are made in two
-    rounds, so no task writes out a popular block for all of them.
+    The copies are made in two rounds, so no task writes out a popular block for all that want it.
     """
     # Renamed: the two sides share their lineage, and cogroup needs distinct key columns.
-    wanted = groups.toDF("arc_shard", "arc_block").withColumn("arc_region", _region(F.col("arc_block")))
-    here = (F.col("block") == F.col("arc_block")) & (F.col("region") == F.col("arc_region"))
-    if spread.shards <= SHARDS_PER_COPY:
-        return spread.arcs.join(wanted, here).drop("region", "arc_region")
-    copies = wanted.groupBy("arc_block", "arc_region").agg(F.ceil(F.count(F.lit(1)) / SHARDS_PER_COPY).alias("copies"))
+    wanted = groups.select(F.col("block").alias("arc_block"), _chunk(F.col("shard")).alias("arc_chunk")).distinct()
+    copies = wanted.groupBy("arc_block").agg(F.ceil(F.count(F.lit(1)) / CHUNKS_PER_COPY).alias("copies"))
+    copies = copies.withColumn("arc_region", _region(F.col("arc_block")))
     copied = (
-        spread.arcs.join(copies, here)
+        spread.packed.join(copies, (F.col("block") == F.col("arc_block")) & (F.col("region") == F.col("arc_region")))
         .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-        .drop("region", "arc_region", "copies", "arc_block")
-        .repartition(spread.tasks(), "block", "copy")
-    )
-    takes = copies.join(wanted.drop("arc_region"), "arc_block").select(
-        F.col("arc_block").alias("block"), F.pmod(F.col("arc_shard"), F.col("copies")).alias("copy"), "arc_shard"
+        .drop("region", "arc_region", "copies", "block")
     )
-    return copied.join(takes, ["block", "copy"]).withColumn("arc_block", F.col("block")).drop("copy")
+    takes = copies.join(wanted, "arc_block").select("arc_block", F.pmod(F.xxhash64("arc_chunk"), F.col("copies")).alias("copy"), "arc_chunk")
+    return copied.join(takes, ["arc_block", "copy"]).drop("copy")
 
 
 def _inbox(messages: DataFrame, step: int | None = None) -> DataFrame:
@@ -457,34 +507,29 @@ def spread(graph: BlockGraph, requests: DataFrame, goal_directed: bool = False)
     """Settle shortest labels from every request's origin, up to its bound, box and goal."""
     spark = requests.sparkSession
     numbered = number_requests(graph, requests, goal_directed)
-    kinds, last = numbered.agg(F.collect_set("cost_ix"), F.max("shard")).first()  # at most one element per cost
+    kinds = numbered.agg(F.collect_set("cost_ix")).first()[0]  # at most one element per cost
     used = sorted(kinds) or [0]
     place = F.create_map(*[F.lit(v) for i, u in enumerate(used) for v in (u, i)])
     numbered = numbered.withColumn("cost_ix", place[F.col("cost_ix")])
     unused = [f"w_{i}" for i in range(len(graph.costs)) if i not in used]
-    run = Spread(graph.arcs.drop(*unused), numbered, new_folder(spark, "messages"), 1 + (last or 0), graph.blocks)
+    run = Spread(graph.packed.drop(*unused), numbered, new_folder(spark, "messages"))
     none = F.lit(-1).cast("long")
-    numbered.select(
+    sent, groups = run.write(numbered.select(
         "shard", F.explode(F.sequence("from_lo", "from_hi")).alias("block"), "req_no", F.col("source").alias("node"),
         F.lit(0).cast("long").alias("label"), none.alias("edge"), none.alias("prev"), none.alias("prev_block"), F.lit(False).alias("goal"),
-    ).write.parquet(f"{run.folder}/step=0")
-    step, sent = 0, 1
+    ))
     while sent:
-        messages = run.messages().where("not goal")
-        woken = messages.where(F.col("step") == step).select("shard", "block").distinct()
-        inbox = _inbox(messages.join(woken, ["shard", "block"], "left_semi"), step)
-        step += 1
-        count = Observation()
-        out = _by_group(run, inbox, woken, _advance, _MESSAGE).observe(count, F.count_if(~F.col("goal")).alias("sent"))
-        out.hint("rebalance", "shard", "block").write.parquet(f"{run.folder}/step={step}")
-        sent = count.get["sent"]
+        messages, step = run.messages(), run.steps - 1
+        woken = messages.where(F.col("step") == step).select("region", "shard", "block").distinct()
+        inbox = _inbox(messages.join(woken, ["region", "shard", "block"], "left_semi"), step)
+        sent, groups = run.write(_by_group(run, inbox, woken, groups, _advance, _MESSAGE))
     return run
 
 
 def labels(run: Spread) -> DataFrame:
-    """(req_no, node, label, edge, prev) of every reached node; the origin has edge and prev -1."""
-    messages = run.messages().where("not goal")
-    return _by_group(run, _inbox(messages), messages.select("shard", "block").distinct(), _finish, _TREE)
+    """(req_no, node, label, edge, prev, x, y) of every reached node; the origin has edge and prev -1."""
+    messages = run.messages()
+    return _by_group(run, _inbox(messages), messages.select("shard", "block").distinct(), run.groups, _finish, _TREE)
 
 
 def paths(run: Spread) -> DataFrame:
@@ -496,17 +541,17 @@ def paths(run: Spread) -> DataFrame:
     spark = run.requests.sparkSession
     folder = new_folder(spark, "paths")
     read = lambda: spark.read.schema(f"{_PATH}, step int").option("basePath", folder).parquet(folder)
-    sent = run.messages().where("not goal")
+    sent = run.messages()
     goal = run.requests.join(run.reached(), "req_no")
     tokens = goal.select("shard", F.col("goal_block").alias("block"), "req_no", F.col("goal").alias("node"))
-    step, left = 0, 1
+    step, left, groups = 0, 1, run.groups
     while left:
         entries = _inbox(sent.join(tokens.select("shard", "block", "req_no").distinct(), ["shard", "block", "req_no"], "left_semi"))
         inf, none = F.lit(INF).alias("label"), F.lit(-1).cast("long")
         marks = tokens.select("shard", "block", "req_no", "node", inf, none.alias("edge"), none.alias("prev"), none.alias("prev_block"), F.lit(True).alias("token"))
         inbox = entries.drop("old").withColumn("token", F.lit(False)).unionByName(marks)
         count = Observation()
-        out = _by_group(run, inbox, tokens.select("shard", "block").distinct(), _walk_back, _PATH)
+        out = _by_group(run, inbox, tokens.select("shard", "block").distinct(), groups, _walk_back, _PATH)
         out = out.observe(count, F.count_if("token").alias("left"))
         out.hint("rebalance", "shard", "block").write.parquet(f"{folder}/step={step}")
         left = count.get["left"]

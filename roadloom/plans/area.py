@@ -43,11 +43,11 @@ def spread_area(router: Router, origins: DataFrame) -> B.Spread:
 
 
 def area_nodes(run: B.Spread) -> DataFrame:
-    """(req_id, node, edge, prev, cost_fixed, agg_cost): reached nodes; the origin has edge -1."""
+    """(req_id, node, edge, prev, cost_fixed, agg_cost, x, y): reached nodes and where they are; the origin has edge -1."""
     who = run.requests.select("req_no", "req_id", "scale")
     fixed = F.shiftright("label", B.HOP_BITS)
     return B.labels(run).join(who, "req_no").select(
-        "req_id", "node", "edge", "prev", fixed.alias("cost_fixed"), (fixed / F.col("scale")).alias("agg_cost")
+        "req_id", "node", "edge", "prev", fixed.alias("cost_fixed"), (fixed / F.col("scale")).alias("agg_cost"), "x", "y"
     )
 
 
@@ -57,10 +57,9 @@ def area_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.join(shapes, "edge", "left").where("geom is not null").select("req_id", "node", "edge", "cost_fixed", "geom")
 
 
-def area_points(nodes: DataFrame, graph_nodes: DataFrame) -> DataFrame:
+def area_points(nodes: DataFrame) -> DataFrame:
     """(req_id, x, y): positions of the reached nodes."""
-    at = graph_nodes.select(F.col("id").alias("node"), "x", "y")
-    return nodes.join(at, "node").select("req_id", "x", "y")
+    return nodes.select("req_id", "x", "y")
 
 
 def drive_time_bands(router: Router, requests: DataFrame, bands: list[float] | None = None) -> DataFrame:
@@ -101,7 +100,7 @@ def service_area(router: Router, requests: DataFrame, share: float = TARGET_SHAR
     wanted = origins.select("req_id", "option")
     outlined = nodes.join(wanted.where("option = 'alphashape'"), "req_id", "left_semi")
     driven = nodes.join(wanted.where("option = 'drivingdistance'"), "req_id", "left_semi")
-    outline = concave_hull(area_points(outlined, router.nodes), share).select(
+    outline = concave_hull(area_points(outlined), share).select(
         "req_id", geojson.feature_json(geojson.polygon_geometry(F.col("ring")), {}).alias("feature")
     )
     lines = area_edges(driven, router.edges).select(

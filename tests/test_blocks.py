@@ -2,7 +2,10 @@
 
 import heapq
 import random
+from types import SimpleNamespace
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,7 +158,8 @@ def test_popular_blocks_are_copied_in_two_rounds(spark, monkeypatch):
     df = spark.range(300).select(F.col("id").alias("req_id"), (F.col("id") % 7).alias("source"), F.lit("way").alias("cost"))
     sums = lambda run: sorted((r.req_no, r.s, r.n) for r in B.labels(run).groupBy("req_no").agg(F.sum("label").alias("s"), F.count("label").alias("n")).collect())
     plain = sums(B.spread(g, df))
-    monkeypatch.setattr(B, "SHARDS_PER_COPY", 2)
+    monkeypatch.setattr(B, "SHARDS_PER_CHUNK", 1)
+    monkeypatch.setattr(B, "CHUNKS_PER_COPY", 2)
     assert sums(B.spread(g, df)) == plain
 
 
@@ -165,6 +169,31 @@ def test_a_step_reads_only_the_regions_it_works_in(spark, monkeypatch):
     g = graph(spark, nodes, edges, 60)
     df = spark.createDataFrame([(1, 0, "way", 150.0)], "req_id long, source long, cost string, max_cost double")
     run = B.spread(g, df)
-    woken = run.messages().where("not goal and step = 0").select("shard", "block").distinct()
-    plan = B._hand_out(run, woken)._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan
+    woken = run.messages().where("step = 0").select("region", "shard", "block").distinct()
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan(B._hand_out(run, woken))
+    assert "dynamicpruning" in plan(run.messages().join(woken, ["region", "shard", "block"], "left_semi"))
+
+
+def test_a_step_moves_packed_blocks_and_no_arcs(spark):
+    nodes, edges = make_graph(31)
+    g = graph(spark, nodes, edges, 60)
+    assert g.packed.groupBy("block").count().where("count > 1").isEmpty()
+    assert g.packed.count() == g.arcs.select("block").distinct().count()
+    run = B.spread(g, spark.createDataFrame([(1, 0, "way")], "req_id long, source long, cost string"))
+    assert set(run.packed.columns) == {"region", "block", "rows", "w_0"}
+    assert run.steps > 1 and run.sent == run.messages().count()
+
+
+def test_too_many_hops_raise():
+    label = pd.DataFrame({"req_no": [0], "label": [5 * B.HOP + B.HOP - 3]})
+    with pytest.raises(ValueError, match="edges or more"):
+        B._open(label, SimpleNamespace(ids=np.arange(3)))
+
+
+def test_no_requests_and_unknown_origins(spark):
+    nodes, edges = make_graph(31)
+    g = graph(spark, nodes, edges, 60)
+    for rows in ([], [(1, 999, "way", 3)]):
+        run = B.spread(g, spark.createDataFrame(rows, "req_id long, source long, cost string, target long"))
+        assert run.reached().count() == B.labels(run).count() == B.paths(run).count() == 0

@@ -359,7 +359,7 @@ def drive_time_bands(w: Workload) -> DataFrame:
 
 @query
 def hull_convex(w: Workload) -> DataFrame:
-    shapes = hull.convex_hull(area.area_points(_area_nodes(w), w.nodes))
+    shapes = hull.convex_hull(area.area_points(_area_nodes(w)))
     return shapes.select(
         "req_id", F.size("ring").cast("long").alias("n_points"), G.to_mm(F.col("area")).alias("area_e3"), G.to_mm(F.col("convex_area")).alias("convex_area_e3")
     )
@@ -368,7 +368,7 @@ def hull_convex(w: Workload) -> DataFrame:
 @query
 def hull_concave(w: Workload) -> DataFrame:
     """Exact convex area, whether the ring closes and keeps its share of that area, and ring corners that are no reached node."""
-    points = materialize(area.area_points(_area_nodes(w), w.nodes), "area-points")
+    points = materialize(area.area_points(_area_nodes(w)), "area-points")
     shapes = materialize(hull.concave_hull(points), "outlines")
     at = [G.to_mm(F.col(c)).alias(f"{c}_mm") for c in ("x", "y")]
     corners = shapes.select("req_id", F.explode("ring").alias("p")).select("req_id", "p.x", "p.y").select("req_id", *at)
