@@ -6,8 +6,10 @@ base64) and put to three tests: chi-squared uniformity over cells of the encodin
 a runs test about the alphabet's middle, and the lag-one serial correlation; Fisher's sum makes one score of them.
 
 A score says how random a string looks; what counts is how rarely plain text of that length looks so. The null is drawn from all texts:
-letters from hash-chosen word places onwards, cut to a hash-chosen length. Scores are counted in fixed bins per length class, which
-gives each candidate an empirical p-value, and Benjamini-Hochberg over all candidates keeps the discoveries at rate ``rate``.
+letters from hash-chosen word places onwards, cut to a hash-chosen length of a hash-chosen length class, or of a class that the rest of the
+text still fills. Scores are counted in fixed bins per length class, which gives each candidate an empirical p-value, and
+Benjamini-Hochberg over all candidates keeps the discoveries at rate ``rate``. A class that no text fills takes the null of the next
+shorter one: the shorter plain text is, the more random it looks.
 
 Defined cases: a null text is empty; offsets are code points, end exclusive; rows that repeat a doc_id are reported one by one; empty input gives
 no rows; other columns are ignored.
@@ -35,7 +37,8 @@ LONG = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 LEAST = 20
 CLASSES = (20, 24, 32, 40, 48, 64, 96, 128)  # least lengths
 BINS = 48
-NULL_EVERY = 512  # one in so many word places starts a string of the null
+LONGEST = 256  # letters of a null string are fewer
+NULL_EVERY = 64  # one in so many word places starts a string of the null, of one of the classes
 RATE = 0.05
 _ALPHABETS = tuple(
     (set(a), {c: i for i, c in enumerate(a)}, len(a))
@@ -104,8 +107,46 @@ def length_class(n: int) -> int:
     return sum(n >= c for c in CLASSES) - 1
 
 
-def _null_strings(column: pa.Array, texts: list[str]):
-    """(row, class, bin) of the null's strings."""
+def letter_bins(codes: np.ndarray) -> np.ndarray:
+    """``score_bin(battery(...))`` of each row of ASCII letters; all rows are of one length."""
+    bins = np.empty(len(codes), np.int64)
+    lower, upper = (codes >= 97).all(1), (codes < 97).all(1)
+    hexes = ((codes | 32) <= 102).all(1)
+    kind = np.select([lower & hexes, upper & hexes, upper, lower], [0, 1, 2, 3], 5)
+    for k in np.unique(kind):
+        _, index, size = _ALPHABETS[k]
+        symbol = np.zeros(128, np.uint8)
+        for c, i in index.items():
+            symbol[ord(c)] = i
+        at = np.flatnonzero(kind == k)
+        x = symbol[codes[at]]
+        n, rows = x.shape[1], len(x)
+        cells = max(2, min(size, n // 4))
+        cell = (np.arange(size) * cells / size).astype(np.int64)
+        seen = np.bincount((cell[x] + np.arange(rows)[:, None] * cells).ravel(), minlength=rows * cells).reshape(rows, cells)
+        width = np.bincount(cell, minlength=cells) / size
+        chi = ((seen - n * width) ** 2 / (n * width)).sum(1)
+        d = cells - 1
+        high = x >= size / 2
+        a = high.sum(1)
+        b = n - a
+        runs = 1 + (high[:, 1:] != high[:, :-1]).sum(1)
+        mean = 1 + 2 * a * b / n
+        spread = np.sqrt(np.maximum((mean - 1) * (mean - 2) / (n - 1), 1e-9))
+        y = x - x.mean(1, keepdims=True)
+        serial = np.abs(np.einsum("ij,ij->i", y[:, 1:], y[:, :-1]) / np.maximum(np.einsum("ij,ij->i", y, y), 1e-9)) * math.sqrt(n)
+        z = [((chi / d) ** (1 / 3) - (1 - 2 / (9 * d))) / math.sqrt(2 / (9 * d)), np.abs(runs - mean) / spread, serial]
+        p = [np.fromiter(map(math.erfc, (v / math.sqrt(2)).tolist()), np.float64, rows) for v in z]
+        half = -sum(np.log(np.maximum(v, 1e-300)) for v in (p[0] / 2, p[1], p[2]))
+        score = np.where((a == 0) | (b == 0), 0.0, np.exp(-half) * (1 + half + half * half / 2))
+        bins[at] = np.minimum(BINS - 1, -np.log10(np.maximum(score, 1e-300)) * 6).astype(np.int64)
+    return bins
+
+
+def _null_cells(column: pa.Array) -> np.ndarray:
+    """How many of the null's strings are in each cell (length class, score bin)."""
+    found = np.zeros(len(CLASSES) * BINS, np.int64)
+    least = np.array([*CLASSES, LONGEST], np.int64)
     for w in word_chunks(column):
         if not len(w.start):
             continue
@@ -113,22 +154,31 @@ def _null_strings(column: pa.Array, texts: list[str]):
         head = w.data[w.start].astype(np.uint64)
         length = np.add.reduceat(w.data.astype(np.uint64), w.start)
         chance = mix(place.astype(np.uint64) * np.uint64(1000003) + head * np.uint64(257) + length)
-        for i in np.flatnonzero(chance % np.uint64(NULL_EVERY) == 0):
-            size = LEAST + int(chance[i] >> np.uint64(32)) % 45
-            stop = int(np.searchsorted(w.row, w.row[i], "right"))
-            piece = w.data[w.start[i] : w.end[min(stop - 1, i + 3 * size)]].tobytes().decode("utf-8", "replace")
-            letters = "".join(c for c in piece if c.isascii() and c.isalpha())[:size]
-            if len(letters) == size:
-                yield w.first + int(w.row[i]), length_class(size), score_bin(battery(letters))
+        letter = ((w.data | 32) >= 97) & ((w.data | 32) <= 122)
+        before = np.concatenate([[0], np.cumsum(letter)])
+        letters = w.data[letter]
+        first = before[w.start]
+        left = before[np.cumsum(w.sizes)[w.row]] - first
+        chosen = np.flatnonzero((chance % np.uint64(NULL_EVERY) == 0) & (left >= LEAST))
+        first, left, chance = first[chosen], left[chosen], chance[chosen]
+        fit = np.searchsorted(least[:-1], left, "right")
+        kind = ((chance >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.int64) % fit
+        room = np.minimum(least[kind + 1], left + 1) - least[kind]
+        size = least[kind] + (chance >> np.uint64(32)).astype(np.int64) % room
+        order = np.argsort(size, kind="stable")
+        sizes, begin = np.unique(size[order], return_index=True)
+        for n, these in zip(sizes.tolist(), np.split(first[order], begin[1:]), strict=True):
+            every = np.lib.stride_tricks.sliding_window_view(letters, n)
+            for k in range(0, len(these), 4096):
+                found[length_class(n) * BINS : (length_class(n) + 1) * BINS] += np.bincount(letter_bins(every[these[k : k + 4096]]), minlength=BINS)
+    return found
 
 
 def _scan(batches):
     for batch in batches:
         column = batch.column("text").fill_null("")
         texts = column.to_pylist()
-        null: dict[int, list] = {}
-        for row, c, b in _null_strings(column, texts):
-            null.setdefault(row, []).append(c * BINS + b)
+        null = _null_cells(column)
         base, more = [], []
         for text in texts:
             spans = base_spans(text)
@@ -138,17 +188,20 @@ def _scan(batches):
             more.append([{"start": s, "end": e, "cell": length_class(e - s) * BINS + score_bin(battery(text[s:e]))} for s, e in free])
         span = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64())]))
         cand = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("cell", pa.int32())]))
+        # the counts of a batch are in its first row
+        counts = [[{"cell": c, "n": int(null[c])} for c in np.flatnonzero(null)] if not i else [] for i in range(len(texts))]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(base, span), pa.array(more, cand), pa.array([null.get(i, []) for i in range(len(texts))], pa.list_(pa.int32()))],
+            [batch.column("doc_id"), pa.array(base, span), pa.array(more, cand), pa.array(counts, pa.list_(pa.struct([("cell", pa.int32()), ("n", pa.int64())])))],
             names=["doc_id", "base", "more", "null_cells"],
         )
 
 
 def discoveries(candidates: dict[int, int], null: dict[int, int], rate: float = RATE) -> list[int]:
     """Benjamini-Hochberg over cells (length class, score bin), given the counts of candidates and null strings in each."""
-    p = {}
+    p, filled = {}, {x // BINS for x in null}
     for cell in candidates:
         c, b = divmod(cell, BINS)
+        c = max((x for x in filled if x <= c), default=c)
         every = sum(n for x, n in null.items() if x // BINS == c)
         above = sum(n for x, n in null.items() if x // BINS == c and x % BINS <= b)
         p[cell] = (1 + above) / (1 + every)
@@ -165,13 +218,14 @@ def scan(docs: DataFrame, rate: float = RATE) -> DataFrame:
     found = materialize(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
             _scan,
-            "doc_id long, base array<struct<start:long,kind:string,end:long>>, more array<struct<start:long,end:long,cell:int>>, null_cells array<int>",
+            "doc_id long, base array<struct<start:long,kind:string,end:long>>, more array<struct<start:long,end:long,cell:int>>, null_cells array<struct<cell:int,n:long>>",
         ),
         "scan",
     )
     # at most len(CLASSES) * BINS rows either way
-    count = lambda cells: {r[0]: r[1] for r in found.select(F.explode(cells).alias("cell")).groupBy("cell").count().collect()}
-    cells = discoveries(count("more.cell"), count("null_cells"), rate)
+    candidates = {r[0]: r[1] for r in found.select(F.explode("more.cell").alias("cell")).groupBy("cell").count().collect()}
+    null = {r[0]: r[1] for r in found.select(F.inline("null_cells")).groupBy("cell").agg(F.sum("n")).collect()}
+    cells = discoveries(candidates, null, rate)
     kept = F.filter("more", lambda c: F.array_contains(F.array(*[F.lit(c) for c in cells]).cast("array<int>"), c["cell"]))
     added = F.transform(kept, lambda c: F.struct(c["start"].alias("start"), F.lit("random").alias("kind"), c["end"].alias("end")))
     return found.select("doc_id", "base", F.array_sort(F.concat("base", added), lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(0)).alias("spans"))

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,6 +143,28 @@ def test_secret_battery_and_discoveries(spark):
     assert right >= 30 and len(found) - right <= 4
 
 
+def test_secret_null_fills_every_length_class(spark):
+    rng = np.random.default_rng(6)
+    signs = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
+    words = " ".join(rng.choice(["then", "another", "station", "here", "you", "are", "Under"], 4000))
+    size = [(64, 100, 500)[i % 3] for i in range(60)]
+    rows = spark.createDataFrame([(i, f"{words} {''.join(rng.choice(signs, n))} here") for i, n in enumerate(size)], "doc_id long, text string")
+    found = collections.Counter(size[r.doc_id] for r in secret_scan.scan(rows).collect() for s in r.spans if s.kind == "random" and s.start == len(words) + 1 and s.end == s.start + size[r.doc_id])
+    assert all(found[n] >= 15 for n in (64, 100, 500))
+    null = secret_scan._null_cells(pa.array([words] * 20)).reshape(-1, secret_scan.BINS).sum(1)
+    assert null.min() > 0.5 * null.mean()
+    assert secret_scan.discoveries({7 * secret_scan.BINS: 1}, {5 * secret_scan.BINS + 40: 99}) == [7 * secret_scan.BINS]
+
+
+def test_secret_letter_bins_equal_the_battery():
+    rng = np.random.default_rng(7)
+    for letters in ("abcdef", "ABCDEF", "etaoinshrdlu", "ABCDXYZ", "abcdefghijklmnopqrstuvwxyz", "etaoinETAOINzQ", "z", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        for n in (20, 33, 64, 130, 255):
+            strings = ["".join(rng.choice(list(letters), n)) for _ in range(20)]
+            codes = np.array([list(x.encode()) for x in strings], np.uint8)
+            assert secret_scan.letter_bins(codes).tolist() == [secret_scan.score_bin(secret_scan.battery(x)) for x in strings]
+
+
 def test_substring_dedup_equals_brute_force(docs, nothing):
     seen, want = set(), {}
     for i, t in enumerate(TEXTS):
