@@ -6,8 +6,8 @@ base64) and put to three tests: chi-squared uniformity over cells of the encodin
 a runs test about the alphabet's middle, and the lag-one serial correlation; Fisher's sum makes one score of them.
 
 A score says how random a string looks; what counts is how rarely plain text of that length looks so. The null is drawn from all texts:
-letters from hash-chosen word places onwards, cut to a hash-chosen length of a hash-chosen length class, or of a class that the rest of the
-text still fills. Scores are counted in fixed bins per length class, which gives each candidate an empirical p-value, and
+letters from every word place onwards, cut to a hash-chosen length of a hash-chosen length class, of those that the rest of the text
+still fills. Scores are counted in fixed bins per length class, which gives each candidate an empirical p-value, and
 Benjamini-Hochberg over all candidates keeps the discoveries at rate ``rate``. A class that no text fills takes the null of the next
 shorter one: the shorter plain text is, the more random it looks.
 
@@ -38,7 +38,6 @@ LEAST = 20
 CLASSES = (20, 24, 32, 40, 48, 64, 96, 128)  # least lengths
 BINS = 48
 LONGEST = 256  # letters of a null string are fewer
-NULL_EVERY = 64  # one in so many word places starts a string of the null, of one of the classes
 RATE = 0.05
 _ALPHABETS = tuple(
     (set(a), {c: i for i, c in enumerate(a)}, len(a))
@@ -159,7 +158,7 @@ def _null_cells(column: pa.Array) -> np.ndarray:
         letters = w.data[letter]
         first = before[w.start]
         left = before[np.cumsum(w.sizes)[w.row]] - first
-        chosen = np.flatnonzero((chance % np.uint64(NULL_EVERY) == 0) & (left >= LEAST))
+        chosen = np.flatnonzero(left >= LEAST)
         first, left, chance = first[chosen], left[chosen], chance[chosen]
         fit = np.searchsorted(least[:-1], left, "right")
         kind = ((chance >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.int64) % fit

@@ -156,6 +156,18 @@ def test_secret_null_fills_every_length_class(spark):
     assert secret_scan.discoveries({7 * secret_scan.BINS: 1}, {5 * secret_scan.BINS + 40: 99}) == [7 * secret_scan.BINS]
 
 
+def test_secret_null_starts_at_every_word_place(spark):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(["then", "another", "station", "here", "you", "are"], n)) for n in (900, 3, 4, 60)]
+    left = [sum(map(len, t.split()[k:])) for t in texts for k in range(len(t.split()))]
+    assert secret_scan._null_cells(pa.array([*texts, None, "", "ü ß 漢字"])).sum() == sum(n >= 20 for n in left)
+    key = "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"), 64))
+    plain = ["".join(rng.choice(["then", "another", "station", "here"], 6)) for _ in range(36)]
+    words = " ".join(rng.choice(["then", "another", "station", "here", "you", "are"], 1000))
+    rows = spark.createDataFrame([(i, f"{words} {c}") for i, c in enumerate([key, *plain])], "doc_id long, text string")
+    assert [r.doc_id for r in secret_scan.scan(rows).collect() if any(s.kind == "random" for s in r.spans)] == [0]
+
+
 def test_secret_letter_bins_equal_the_battery():
     rng = np.random.default_rng(7)
     for letters in ("abcdef", "ABCDEF", "etaoinshrdlu", "ABCDXYZ", "abcdefghijklmnopqrstuvwxyz", "etaoinETAOINzQ", "z", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"):
