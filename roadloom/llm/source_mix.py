@@ -3,8 +3,10 @@
 Targets: sources in code point order, null last, weigh 5, 2, 1, repeating, and share 150 % of all words; a target stops at twice its
 source's size and the excess goes to the others by weight. The schedule has a fixed number of slots of equal size in words. Slot i
 belongs to the source whose part of the cumulated targets holds the golden-ratio point frac((i + 1/2) * phi), so any stretch of the schedule
-is close to the targets. A source's slots are ranked, and the slot of rank j takes the j-th block of the source's documents in a
-hashed order, laid end to end twice. A document is taken as far as taken blocks cover it, at most twice.
+is close to the targets. Whole slots are off by a block or two, which is more than a small source has: every source is taken up to its
+target, in whole words, and one with fewer slots than its target has blocks shares further slots with their owners. A source's slots are
+ranked, and the slot of rank j takes the j-th block of the source's documents in a hashed order, laid end to end twice, the last
+one in part. A document is taken as far as taken blocks cover it, at most twice.
 
 Offsets of documents are two-level running sums over ranges of the hash order, so a source with most of the rows is many groups.
 
@@ -59,9 +61,9 @@ def targets(sizes: DataFrame, share: float = SHARE, epochs: int = EPOCHS) -> Dat
 
 
 def schedule(wanted: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """Rows (slot, rank, turn): slot number, the source's rank, and which of the source's slots it is.
+    """Rows (slot, rank, turn) from (rank, target, blocks): slot number, the source's rank, and which of the source's slots it is.
 
-    Points and parts meet in cells of the unit interval, so it is an equi-join of ``slots`` points with a few rows per source.
+    A source has ``blocks`` slots at least. Points and parts meet in cells of the unit interval, so it is an equi-join of ``slots`` points with a few rows per source.
     """
     spark = wanted.sparkSession
     cells = 1024
@@ -76,7 +78,11 @@ def schedule(wanted: DataFrame, slots: int = SLOTS) -> DataFrame:
     )
     at = (F.col("id") + 0.5) * PHI
     points = spark.range(slots).select(F.col("id").alias("slot"), (at - F.floor(at)).alias("x")).withColumn("cell", F.floor(F.col("x") * cells))
-    placed = points.join(parts, "cell").where("low <= x and x < high").select("slot", "rank")
+    own = points.join(parts, "cell").where("low <= x and x < high").select("slot", "rank")
+    short = wanted.join(own.groupBy("rank").agg(F.count("*").alias("turns")), "rank", "left").withColumn("turns", F.coalesce("turns", F.lit(0))).where("turns < blocks")
+    spread = (F.col("rank") + F.col("more") + 0.5) * PHI
+    shared = short.withColumn("more", F.explode(F.sequence("turns", F.col("blocks") - 1))).select(F.floor((spread - F.floor(spread)) * slots).alias("slot"), "rank")
+    placed = own.union(shared)
     return placed.withColumn("turn", F.row_number().over(Window.partitionBy("rank").orderBy("slot")) - 1)
 
 
@@ -89,14 +95,15 @@ def mix(docs: DataFrame, slots: int = SLOTS, share: float = SHARE, epochs: int =
         "sizes",
     )
     per_range = sized.groupBy("source", "range").agg(F.sum("size").alias("words"))
-    wanted = materialize(targets(per_range.groupBy("source").agg(F.sum("words").alias("source_size")), share, epochs), "targets")
-    plan = materialize(schedule(wanted, slots), "schedule")
     total = F.sum("target").over(Window.partitionBy())
     block = F.when(total > 0, total / slots).otherwise(F.lit(1.0))
-    sources = (
-        wanted.withColumn("block", block).join(plan.groupBy("rank").agg(F.count("*").alias("turns")), "rank", "left")
-        .withColumn("end", F.least(F.round(F.coalesce("turns", F.lit(0)) * F.col("block")).cast("long"), F.col("source_size") * epochs))
+    sources = materialize(
+        targets(per_range.groupBy("source").agg(F.sum("words").alias("source_size")), share, epochs).withColumn("block", block)
+        .withColumn("end", F.least(F.round("target").cast("long"), F.col("source_size") * epochs))
+        .withColumn("blocks", F.when(F.col("end") > 0, F.floor((F.col("end") - 1) / F.col("block")) + 1).otherwise(F.lit(0)).cast("long")),
+        "targets",
     )
+    plan = materialize(schedule(sources, slots), "schedule")
     starts = per_range.withColumn("start", F.sum("words").over(Window.partitionBy("source").orderBy("range")) - F.col("words")).drop("words")
     inside = Window.partitionBy("source", "range").orderBy("hash", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     here = sized.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))

@@ -233,6 +233,19 @@ def test_source_mix(docs, nothing):
     assert rows.columns == docs.columns and collections.Counter(r.doc_id for r in rows.collect()) == {i: -(-r.taken // r.size) for i, r in got.items() if r.taken}
 
 
+def test_source_mix_reaches_the_target_of_every_source(spark):
+    rows = [(i, "w " * 50_000, "big") for i in range(200)] + [(1000 + i, "a b c d " * 5, f"small{i % 5}") for i in range(25)]
+    got = source_mix.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    taken, target = collections.Counter(), {}
+    for r in got:
+        source = rows[r.doc_id][2] if r.doc_id < 1000 else f"small{r.doc_id % 5}"
+        taken[source] += r.taken
+        target[source] = r.target
+        assert (r.taken > 0) == (r.first_slot is not None) and (r.first_slot is None or 0 <= r.first_slot < source_mix.SLOTS)
+    assert len(target) == 6 and all(target.values()) and all(abs(taken[s] - target[s]) <= 1 for s in target)
+    assert len({r.first_slot for r in got if r.doc_id >= 1000}) == 5
+
+
 def test_best_fit(docs, nothing):
     rows = best_fit.best_fit(docs.union(docs.where("doc_id = 7")), lengths=(32, 64, 128), shard=40).collect()
     n = collections.Counter()
