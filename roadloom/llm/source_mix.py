@@ -11,7 +11,7 @@ one in part. A document is taken as far as taken blocks cover it, at most twice.
 Offsets of documents are two-level running sums over ranges of the hash order, so a source with most of the rows is many groups.
 
 Defined cases: null and empty texts have size 0 and are taken 0 times; a null source is a source of its own, last; rows that repeat
-a doc_id are documents of their own; empty input gives no rows; other columns are ignored. No words at all: targets of 0.
+a doc_id or have none are documents of their own; empty input gives no rows; other columns are ignored. No words at all: targets of 0.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadloom.llm.tables import materialize
+from roadloom.llm.tables import materialize, new_folder
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -86,11 +86,12 @@ def schedule(wanted: DataFrame, slots: int = SLOTS) -> DataFrame:
     return placed.withColumn("turn", F.row_number().over(Window.partitionBy("rank").orderBy("slot")) - 1)
 
 
-def mix(docs: DataFrame, slots: int = SLOTS, share: float = SHARE, epochs: int = EPOCHS) -> DataFrame:
-    """One row per document of (doc_id, text, source): doc_id, size, source_size, target, taken, first_slot (null when not taken)."""
+def mix(docs: DataFrame, slots: int = SLOTS, share: float = SHARE, epochs: int = EPOCHS, key: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document of (doc_id, text, source): doc_id, size, source_size, target, taken, first_slot (null when not taken),
+    and before them the columns ``key``, which tell rows apart that agree in doc_id and text."""
     sized = materialize(
-        docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
-        .withColumn("hash", F.xxhash64("doc_id", "size", F.lit(5)))
+        docs.select(*key, "doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("body"))
+        .withColumn("hash", F.when(F.col("doc_id").isNull(), F.xxhash64("body", "size", F.lit(5))).otherwise(F.xxhash64("doc_id", "size", F.lit(5))))
         .withColumn("range", F.shiftrightunsigned("hash", 64 - RANGES.bit_length() + 1).cast("int")),
         "sizes",
     )
@@ -105,7 +106,7 @@ def mix(docs: DataFrame, slots: int = SLOTS, share: float = SHARE, epochs: int =
     )
     plan = materialize(schedule(sources, slots), "schedule")
     starts = per_range.withColumn("start", F.sum("words").over(Window.partitionBy("source").orderBy("range")) - F.col("words")).drop("words")
-    inside = Window.partitionBy("source", "range").orderBy("hash", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "range").orderBy("hash", "doc_id", "body", *key).rowsBetween(Window.unboundedPreceding, -1)
     here = sized.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     same = lambda a, b, *more: [a[c].eqNullSafe(b[c]) for c in ("source", *more)]
     placed = here.join(starts, (here["source"].eqNullSafe(starts["source"])) & (here["range"] == starts["range"])).select(here["*"], (F.col("start") + F.col("before")).alias("at"))
@@ -115,16 +116,22 @@ def mix(docs: DataFrame, slots: int = SLOTS, share: float = SHARE, epochs: int =
         begin = F.col("at") + F.col("source_size") * epoch
         taken = taken + F.greatest(F.least(begin + F.col("size"), F.col("end")) - begin, F.lit(0))
     rows = joined.select(
-        "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "rank", F.floor(F.col("at") / F.col("block")).alias("turn")
+        *key, "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "rank", F.floor(F.col("at") / F.col("block")).alias("turn")
     )
     return rows.join(plan, ["rank", "turn"], "left").select(
-        "doc_id", "size", "source_size", "target", "taken", F.when(F.col("taken") > 0, F.col("slot")).alias("first_slot")
+        *key, "doc_id", "size", "source_size", "target", "taken", F.when(F.col("taken") > 0, F.col("slot")).alias("first_slot")
     )
 
 
 def take(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (any columns) as often as the mix begins them: up to ``EPOCHS`` times, or not at all."""
+    """The rows of ``docs`` (any columns) as often as the mix begins them: up to ``EPOCHS`` times, or not at all. They are written once,
+    so that rows have locators; those without doc_id or with a repeated one are taken each on its own."""
+    spark = docs.sparkSession
+    path = new_folder(spark, "mix-input")
+    docs.write.parquet(path)
+    there = spark.read.schema(docs.schema).parquet(path)
+    located = there.withColumn("_at", F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")))
     times = F.ceil(F.col("taken") / F.col("size")).cast("int")
-    taken = mix(docs).where("taken > 0 and doc_id is not null").select(F.col("doc_id").alias("_id"), times.alias("_times")).groupBy("_id").agg(F.max("_times").alias("_times"))
-    joined = docs.join(taken, F.col("doc_id") == F.col("_id"))
-    return joined.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[docs[c] for c in docs.columns])
+    taken = mix(located, key=("_at",)).where("taken > 0").select(F.col("_at").alias("_id"), times.alias("_times"))
+    joined = located.join(taken, F.col("_at") == F.col("_id"))
+    return joined.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)

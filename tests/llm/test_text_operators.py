@@ -246,6 +246,17 @@ def test_source_mix_reaches_the_target_of_every_source(spark):
     assert len({r.first_slot for r in got if r.doc_id >= 1000}) == 5
 
 
+def test_source_mix_takes_rows_without_or_with_repeated_ids(spark, nothing):
+    rows = [(None, f"none{i} " * (3 + i % 4), "s") for i in range(20)] + [(7, f"same{i} " * (5 if i < 6 else 40), "s") for i in range(12)] + [(100 + i, f"own{i} " * 9, "t") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    mixed = source_mix.mix(docs).collect()
+    begun = lambda rows: collections.Counter((r.doc_id, r.size) for r in rows for _ in range(-(-r.taken // r.size)))
+    got = source_mix.take(docs).collect()
+    assert collections.Counter((r.doc_id, len(r.text.split())) for r in got) == begun(mixed)
+    assert any(r.doc_id is None for r in got) and max(collections.Counter(r.text for r in got).values()) <= 2
+    assert source_mix.take(nothing).count() == 0
+
+
 def test_best_fit(docs, nothing):
     rows = best_fit.best_fit(docs.union(docs.where("doc_id = 7")), lengths=(32, 64, 128), shard=40).collect()
     n = collections.Counter()
