@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from roadloom.llm import (
-    best_fit, embedding_near_dup, exact_dedup, gated_lm, ngram_jaccard, secret_scan, source_mix, substring_dedup, toxicity_crf, warc_revisits,
+    best_fit, embedding_near_dup, exact_dedup, gated_lm, ngram_jaccard, secret_scan, source_mix, substring_dedup, token_counts, toxicity_crf, warc_revisits,
 )
 from roadloom.llm.tables import read
 
@@ -81,3 +82,8 @@ def op7_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeats(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
