@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from roadloom.llm import (
-    best_fit, embedding_near_dup, exact_dedup, gated_lm, ngram_jaccard, secret_scan, source_mix, substring_dedup, token_counts, toxicity_crf, warc_revisits,
+    best_fit, collocations, embedding_near_dup, exact_dedup, gated_lm, ngram_jaccard, secret_scan, source_mix, substring_dedup, token_counts, toxicity_crf, warc_revisits,
 )
 from roadloom.llm.tables import read
 
@@ -87,3 +87,40 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+_SQL["op12_collocations"] = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from pieces),
+sized as (select lang, words, unnest(range(1, 5)) as size from w),
+grams as (select lang, size, unnest(list_transform(range(1, len(words) - size + 2), lambda i: list_slice(words, i, i + size - 1))) as g from sized where len(words) >= size),
+f as (select lang, size, g, count(*)::hugeint as f from grams group by all),
+cand as (select lang, size, g, f from f where size >= 2 and f >= 30),
+cuts as (select c.*, unnest(range(1, c.size)) as k from cand c),
+scored as (
+  select c.lang, c.size, c.g, c.f, c.k, a.f as l, b.f as r, (2000000 * c.f) // (a.f + b.f) as score
+  from cuts c join f a on a.lang = c.lang and a.size = c.k and a.g = c.g[1:c.k]
+  join f b on b.lang = c.lang and b.size = c.size - c.k and b.g = c.g[c.k + 1:c.size]),
+best as (select *, row_number() over (partition by lang, g order by score, k) as nth from scored),
+inner_of as (
+  select lang, f as longer, unnest(list_concat(
+    list_transform(range(1, size), lambda i: g[i:i + 1]),
+    case when size = 4 then list_transform(range(1, 3), lambda i: g[i:i + 2]) else [] end)) as g
+  from cand where size >= 3),
+covered as (select lang, g, max(longer) as longer from inner_of group by all),
+n as (select lang, sum(f)::bigint as n from f where size = 1 group by lang),
+ranked as (
+  select b.lang, row_number() over (partition by b.lang order by b.score desc, b.f desc, array_to_string(b.g, ' ')) as rank,
+    array_to_string(b.g, ' ') as phrase, b.f::bigint as a, b.l::bigint as l, b.r::bigint as r, n.n, b.score::bigint as score
+  from best b join n on n.lang = b.lang left join covered c on c.lang = b.lang and c.g = b.g
+  where b.nth = 1 and (c.longer is null or 100 * c.longer < 80 * b.f))
+select * from ranked where rank <= 2000
+"""
