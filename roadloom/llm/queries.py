@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from roadloom.llm import (
-    best_fit, collocations, embedding_near_dup, exact_dedup, gated_lm, ngram_jaccard, secret_scan, source_mix, substring_dedup, token_counts, toxicity_crf, warc_revisits,
+    best_fit, collocations, embedding_near_dup, exact_dedup, gated_lm, ngram_jaccard, prefix_trie, secret_scan, source_mix, substring_dedup, token_counts,
+    toxicity_crf, warc_revisits,
 )
 from roadloom.llm.tables import read
 
@@ -124,3 +125,40 @@ ranked as (
   where b.nth = 1 and (c.longer is null or 100 * c.longer < 80 * b.f))
 select * from ranked where rank <= 2000
 """
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+_SQL["op11_prefix_trie"] = r"""
+with t as (
+  select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first,
+      sha256(concat(octet_length(encode(coalesce(role, ''))), ':', coalesce(role, ''), coalesce(text, '')))) as pos
+  from conversations where conv_id is not null),
+ids as (select c, c - c % 5 as base, xor(list_reduce(
+    list_prepend(4294967295::ubigint, list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::ubigint)),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::ubigint, 0, 0, 0, 0, 0, 0, 0]),
+      lambda x, z: xor(x >> 1, (x & 1) * 3988292384::ubigint))), 4294967295::ubigint) % 9 as h
+  from (select distinct c from t)),
+turns as (
+  select i.c, t.pos as step, t.role, t.text from ids i join t on t.c = i.base and t.pos <= i.h
+  union all select i.c, t.pos + 9, t.role, t.text from ids i join t on t.c = i.c and t.pos > i.h),
+seqs as (
+  select i.c, coalesce(s.seq, []) as seq from ids i left join
+    (select c, list(struct_pack(role := role, text := text) order by step) as seq from turns group by c) s on s.c = i.c),
+members as (select c, len(seq) as size, d, seq[1:d] as node from (select *, unnest(range(0, len(seq) + 1)) as d from seqs)),
+nodes as (
+  select d, node, min(c) as conv, count(*) as n, coalesce(octet_length(encode(any_value(node)[-1].text)), 0) as bytes,
+    sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (where size = d), '')) as ends
+  from members group by d, node),
+children as (select d - 1 as d, node[1:d - 1] as node, count(*) as children from nodes where d > 0 group by all),
+known as (select n.*, coalesce(c.children, 0) as children from nodes n left join children c on c.d = n.d and c.node = n.node),
+above as (select children, n, bytes, unnest(range(0, d + 1)) as depth, node from known),
+sums as (select depth as d, node[1:depth] as node, count(*) filter (where children = 0) as leaves, sum((n - 1) * bytes)::bigint as saved from above group by all)
+select k.conv as conv_id, k.d as depth, p.conv as parent_conv_id, k.n as n_convs, k.children as n_children, s.leaves as n_leaves,
+  s.saved as saved_tokens, k.ends as ends_sha256
+from known k join sums s on s.d = k.d and s.node = k.node left join nodes p on k.d > 0 and p.d = k.d - 1 and p.node = k.node[1:k.d - 1]
+"""
