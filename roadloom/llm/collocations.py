@@ -31,7 +31,7 @@ LEAST = 30
 LONGEST = 4
 TOP = 2000
 COVER = 80  # per cent of a phrase's count that a longer one around it must reach to replace it
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 BITS = 26
 PART = 1 << 20  # suffixes of one leading pair in one group, and suffixes sorted at once
 MOST_PARTED = 1 << 18
