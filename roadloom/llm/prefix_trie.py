@@ -207,11 +207,8 @@ def prefix_trie(conversations: DataFrame, part_rows: int = PART_ROWS) -> DataFra
     )
     if not convs:
         return named
-    first = every.where("depth = 1").agg(F.count("*").alias("children"), F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
-    turnless = ends(ids.join(links.where("depth = 1").select("conv"), "conv", "left_anti").select(F.lit(_ROOT).alias("node"), "conv"))
-    root = first.withColumn("node", F.lit(_ROOT)).join(turnless, "node", "left").select(
-        F.lit(least).cast("long").alias("conv_id"), zero.alias("depth"), F.lit(None).cast("long").alias("parent_conv_id"), F.lit(convs).cast("long").alias("n_convs"),
-        F.col("children").alias("n_children"), F.coalesce(F.nullif(F.col("leaves"), zero), one).alias("n_leaves"), F.coalesce("saved", zero).alias("saved_tokens"),
-        F.coalesce("ends_sha256", F.lit(_NOBODY)).alias("ends_sha256"),
-    )
-    return named.unionByName(root)
+    # the root: one row, from figures of one row each
+    first = every.where("depth = 1").agg(F.count("*"), F.sum("leaves"), F.sum("saved")).first()
+    turnless = ends(ids.join(links.where("depth = 1").select("conv"), "conv", "left_anti").select(F.lit(_ROOT).alias("node"), "conv")).first()
+    root = (least, 0, None, convs, first[0], first[1] or 1, first[2] or 0, turnless.ends_sha256 if turnless else _NOBODY)
+    return named.unionByName(named.sparkSession.createDataFrame([root], ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named.schema)))
