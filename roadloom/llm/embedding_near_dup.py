@@ -6,8 +6,9 @@ vectors at any scale, and the number of tables from the wanted chance of missing
 bucket are checked with their cosine in double precision, block against block.
 
 Defined cases: a vector that is null, zero, or holds null or non-finite components links with nothing, nor does one without a label;
-vectors of different lengths do not link. Empty input gives no rows. Rows that repeat a ``vec_id`` count as one vector
-when they are equal; otherwise each row takes part. Other columns are ignored.
+vectors of different lengths do not link. Empty input gives no rows. Rows that repeat a ``vec_id`` are vectors of their own: classes are
+known by a written number, not by ``vec_id``. Vectors are scaled by a power of two first, so squares of very large or small components stay
+finite. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,12 +39,17 @@ def _planes(size: int, bits: int, tables: int) -> np.ndarray:
     return np.random.default_rng([SEED, size]).standard_normal((size, bits * tables))
 
 
+def _scaled(v: np.ndarray) -> np.ndarray:
+    """``v`` times the power of two that brings its largest component near 1; this rounds nothing that counts."""
+    return np.ldexp(v, -int(np.frexp(np.abs(v).max())[1])) if len(v) else v
+
+
 def _sign_keys(bits: int, tables: int):
     def run(batches):
         planes: dict[int, np.ndarray] = {}
         weights = np.int64(1) << np.arange(bits, dtype=np.int64)
         for batch in batches:
-            flat = [np.asarray(v, np.float64) for v in batch.column("embedding").to_pylist()]
+            flat = [_scaled(np.asarray(v, np.float64)) for v in batch.column("embedding").to_pylist()]
             keys = np.zeros((len(flat), tables), np.int64)
             for size in {len(v) for v in flat}:
                 at = [i for i, v in enumerate(flat) if len(v) == size]
@@ -71,7 +77,7 @@ def _check(threshold: float):
             lists = t.column("embedding").to_pylist()
             size = len(lists[0])
             fits = np.array([len(v) == size for v in lists]) & (label == label[0])  # others met by a chance key, and meet their own elsewhere
-            x = np.array([v if ok else [0.0] * size for v, ok in zip(lists, fits, strict=True)], np.float64)
+            x = np.array([_scaled(np.array(v, np.float64)) if ok else np.zeros(size) for v, ok in zip(lists, fits, strict=True)])
             norm = np.where(fits, np.sqrt((x * x).sum(1)), np.inf)
             left, right = (np.flatnonzero(~second), np.flatnonzero(second)) if lo != hi else (np.arange(len(ids)),) * 2
             if not len(left) or not len(right):
@@ -111,24 +117,27 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, miss: floa
     )
     sound = F.coalesce(sound, F.lit(False))
     classes = materialize(
-        rows.where(sound).groupBy("label", "embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")).select("id", "label", "embedding", "copies"),
+        rows.where(sound).groupBy("label", "embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
+        .select(F.monotonically_increasing_id().alias("id"), F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding", "copies"),
         "vectors",
     )
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     bits, tables = tables_for(largest, threshold, miss)
     keyed = materialize(classes.select("id", "label", "embedding").mapInArrow(_sign_keys(bits, tables), "id long, keys array<long>"), "signs")
-    work = block_pairs(keyed).join(classes, "id").join(keyed, "id")
+    work = block_pairs(keyed).join(classes.drop("vec_id"), "id").join(keyed, "id")
     found = materialize(
         work.repartition("band", "key", "lo", "hi").sortWithinPartitions("band", "key", "lo", "hi").mapInArrow(_check(threshold), "id long, links long, to long"),
         "links",
     )
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     parts = components(found.where("to <> id").select(F.col("id").alias("u"), F.col("to").alias("v")), "components")
+    parts = materialize(parts, "parts")
+    least = classes.select("id", "vec_id").join(parts, "id").groupBy("component_id").agg(F.min("vec_id").alias("least"))
     per_class = (
-        classes.join(links, "id", "left").join(parts, "id", "left")
+        classes.join(links, "id", "left").join(parts.join(least, "component_id").select("id", "least"), "id", "left")
         .select(
-            "label", "embedding", F.col("id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component_id", "id").alias("component_id"),
+            "label", "embedding", F.col("vec_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+            F.coalesce("least", "vec_id").alias("component_id"),
         )
     )
     own = rows.where(sound).join(per_class, ["label", "embedding"]).select("vec_id", "n_links", "component_id", "class_id")

@@ -7,8 +7,9 @@ a uniform prior, the posterior probability that its similarity reaches the thres
 exactly on the sets themselves. Groups are pairs of bounded blocks; link counts and spanning trees leave them, never all pairs.
 
 Defined cases: a null or empty text has no set and links with nothing. Texts of fewer than five words match only texts with the same
-words. Rows that repeat a doc_id count as copies of each other when their words agree. A row without doc_id is a document of its own
-that links with nothing. Empty input gives no rows; other columns are ignored.
+words. Rows that repeat a doc_id are documents of their own: classes are known by a written row number, not by doc_id. Of a group, the
+row with the smallest doc_id is kept, and of several with that doc_id one. A row without doc_id is a document of its own that links with nothing.
+Empty input gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,12 +19,13 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadloom.llm.pairs import block_pairs, components, first_shared, spanning_edges
 from roadloom.llm.tables import grouped, materialize, tidy
 from roadloom.llm.words import shingles, word_chunks, word_hashes
+from roadloom.operators.skew import fresh
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -61,29 +63,28 @@ def least_matches(threshold: float, tolerance: float) -> dict[int, int]:
 
 
 def _sets(batches):
-    """Per row: id, digest of the set, its size and its band keys."""
+    """Per row: id, place, digest of the set and its band keys."""
     for batch in batches:
-        ids = batch.column("id")
         for w in word_chunks(batch.column("text")):
             sets = shingles(w, word_hashes(w), WORDS)
             yield pa.RecordBatch.from_arrays(
                 [
-                    ids.slice(w.first, w.last - w.first),
-                    pa.array([blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
+                    *(batch.column(c).slice(w.first, w.last - w.first) for c in ("id", "place")), _digests(sets),
                     pa.array([signature(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
                 ],
-                names=["id", "digest", "keys"],
+                names=["id", "place", "digest", "keys"],
             )
 
 
+def _digests(sets: list[np.ndarray]) -> pa.Array:
+    return pa.array([blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary())
+
+
 def _elements(batches):
     for batch in batches:
-        ids = batch.column("id")
         for w in word_chunks(batch.column("text")):
             sets = shingles(w, word_hashes(w), WORDS)
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(w.first, w.last - w.first), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "elements"]
-            )
+            yield pa.RecordBatch.from_arrays([_digests(sets), pa.array([s.tobytes() for s in sets], pa.binary())], names=["digest", "elements"])
 
 
 def _shared_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -156,39 +157,64 @@ def _verify(threshold: float, tolerance: float):
     return run
 
 
-def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """One row per document of (doc_id, text): doc_id, class_id (least doc_id with an equal set), n_links (other documents at the
-    threshold or above, copies included), component_id (least doc_id reachable by links), kept (doc_id is component_id)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+def _judged(rows: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """(id, place, class_id, n_links, component_id, kept) of every row of (id, place, text)."""
     known = rows.where("id is not null")
-    sets = materialize(known.mapInArrow(tidy(_sets), "id long, digest binary, keys array<long>"), "sets")
-    classes = materialize(
-        sets.where("digest is not null").groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.any_value("keys").alias("keys")), "classes"
+    # the row number is written with the sets, so it stays the same from here on
+    sets = materialize(
+        known.mapInArrow(tidy(_sets), "id long, place string, digest binary, keys array<long>").withColumn("row", F.monotonically_increasing_id()), "sets"
     )
+    first = sets.where("digest is not null").groupBy("digest").agg(
+        F.min(F.struct("id", "row")).alias("first"), F.count("*").alias("copies"), F.any_value("keys").alias("keys")
+    )
+    classes = materialize(first.select("digest", F.col("first.row").alias("id"), F.col("first.id").alias("class_id"), "copies", "keys"), "classes")
     pairs = materialize(block_pairs(classes.select("id", "keys")).drop("bucket"), "pairs")
-    asked = pairs.select("id").distinct()
+    asked = classes.join(pairs.select("id").distinct(), "id", "left_semi").select("class_id", "digest")
     # one plan at every size: a merge join, also where the ids would be few enough to broadcast
-    elements = known.join(asked.hint("merge"), "id", "left_semi").mapInArrow(tidy(_elements), "id long, elements binary").dropDuplicates(["id"])
-    work = pairs.join(classes.select("id", "copies", "keys").join(elements, "id"), "id")
+    texts = known.join(asked.select(F.col("class_id").alias("id")).distinct().hint("merge"), "id", "left_semi")
+    elements = texts.select("text").mapInArrow(tidy(_elements), "digest binary, elements binary").join(asked.select("digest").hint("merge"), "digest", "left_semi").dropDuplicates(["digest"])
+    work = pairs.join(classes.select("id", "digest", "copies", "keys").join(elements, "digest").drop("digest"), "id")
     found = materialize(
         work.repartition("band", "key", "lo", "hi").sortWithinPartitions("band", "key", "lo", "hi")
         .mapInArrow(tidy(_verify(threshold, tolerance)), "id long, links long, to long"),
         "links",
     )
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    parts = components(found.where("to <> id").select(F.col("id").alias("u"), F.col("to").alias("v")), "components")
-    per_class = classes.select("digest", "id", "copies").join(links, "id", "left").join(parts, "id", "left").select(
-        "digest", F.col("id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "id").alias("component_id")
+    parts = materialize(components(found.where("to <> id").select(F.col("id").alias("u"), F.col("to").alias("v")), "components"), "parts")
+    # the row of a component that has the smallest doc_id
+    least = classes.join(parts, "id").groupBy("component_id").agg(F.min(F.struct("class_id", F.col("id").alias("row"))).alias("best"))
+    placed = parts.join(least, "component_id").select("id", "best")
+    best = F.coalesce("best", F.struct("class_id", F.col("id").alias("row")))
+    per_class = classes.select("digest", "id", "class_id", "copies").join(links, "id", "left").join(placed, "id", "left").select(
+        "digest", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), best.alias("best")
+    )
+    with_set = sets.where("digest is not null").select("id", "place", "row", "digest").join(per_class, "digest").select(
+        "id", "place", "class_id", "n_links", F.col("best.class_id").alias("component_id"), (F.col("row") == F.col("best.row")).alias("kept")
     )
-    with_set = sets.where("digest is not null").select("id", "digest").join(per_class, "digest").select("id", "class_id", "n_links", "component_id")
-    alone = sets.where("digest is null").select("id").union(rows.where("id is null").select("id"))
-    without = alone.select("id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return with_set.union(without).select(
-        F.col("id").alias("doc_id"), "class_id", "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept")
+    alone = sets.where("digest is null").select("id", "place").union(rows.where("id is null").select("id", "place"))
+    return with_set.union(
+        alone.select("id", "place", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     )
 
 
-def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` without those whose group has a document with a smaller doc_id; rows without doc_id stay."""
-    gone = jaccard_join(docs, threshold).where("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+def _rows(docs: DataFrame, place: Column) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("id"), place.alias("place"), F.col("text").cast("string").alias("text"))
+
+
+def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """One row per document of (doc_id, text): doc_id, class_id (least doc_id with an equal set), n_links (other documents at the
+    threshold or above, copies included), component_id (least doc_id reachable by links), kept (the one row of its group that stays)."""
+    judged = _judged(_rows(docs, F.lit(None).cast("string")), threshold, tolerance)
+    return judged.select(F.col("id").alias("doc_id"), "class_id", "n_links", "component_id", "kept")
+
+
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD, scanned: bool = False) -> DataFrame:
+    """The rows of ``docs`` (any columns) of which one is kept of each group; rows without doc_id or without words stay.
+
+    Rows are told apart by their place in a file: ``docs`` is written first, unless it is ``scanned``, a plain scan of files.
+    """
+    there = docs if scanned else materialize(docs, "jaccard-input")
+    place = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string"))
+    gone = _judged(_rows(there, place), threshold, TOLERANCE).where("not kept").select("place")
+    at = fresh("place", docs)
+    return there.withColumn(at, place).join(gone.withColumnRenamed("place", at), at, "left_anti").select(*docs.columns)

@@ -8,7 +8,8 @@ an earlier place (smaller doc_id, or earlier in the document). Overlapping exten
 them go. Within a document, a window's later places are repeats of its first, so a hash has one row per document at most.
 
 Defined cases: a null or empty text has no words; a text shorter than a window is kept whole; rows that repeat a doc_id are one document, judged
-row by row against the others; rows without doc_id are one document too, the last; empty input gives no rows; other columns are ignored.
+row by row against the others, each by a row number written with its seeds; rows without doc_id are one document too, the last; empty input
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -71,11 +72,11 @@ def _seeds(window: int, seed: int):
                 digest = [hashlib.sha256(b" ".join(w.data[e - s : e].tobytes().split())).digest() for s, e in zip(w.sizes, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("key").slice(w.first, n), pa.array(w.count), pa.array(digest, pa.binary()),
+                        *(batch.column(c).slice(w.first, n) for c in ("key", "body")), pa.array(w.count), pa.array(digest, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(cuts), pa.array(grams.view(np.int64))),
                         pa.ListArray.from_arrays(pa.array(cuts), pa.array((place - first[w.row[place]]).astype(np.int32))),
                     ],
-                    names=["key", "n_words", "digest", "seeds", "places"],
+                    names=["key", "body", "n_words", "digest", "seeds", "places"],
                 )
 
     return run
@@ -123,9 +124,9 @@ def _extensions(window: int, seed: int):
                 some = np.flatnonzero(_reachable(places.flatten().to_numpy().astype(np.int64), lengths, w, begin, window, seed))
                 hashes, row, start = hashes[some], row[some], start[some]
                 first = _first_places(hashes, row)
-                keys = batch.column("key").to_numpy()[w.first : w.last]
+                keys, nos = (batch.column(c).to_numpy()[w.first : w.last][row[first]] for c in ("key", "no"))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[first].view(np.int64)), pa.array(keys[row[first]]), pa.array(start[first].astype(np.int32))], names=["window", "key", "start"]
+                    [pa.array(hashes[first].view(np.int64)), pa.array(keys), pa.array(nos), pa.array(start[first].astype(np.int32))], names=["window", "key", "no", "start"]
                 )
 
     return run
@@ -171,8 +172,13 @@ def _kept(window: int):
 
 def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """One row per row of (doc_id, text): doc_id, n_words, n_removed, kept_sha256."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    seeded = materialize(rows.mapInArrow(_seeds(window, seed), "key long, n_words long, digest binary, seeds array<long>, places array<int>"), "seeds")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("key"), F.xxhash64(text).alias("body"), text.alias("text"))
+    seeded = materialize(
+        rows.mapInArrow(_seeds(window, seed), "key long, body long, n_words long, digest binary, seeds array<long>, places array<int>")
+        .withColumn("no", F.monotonically_increasing_id()),
+        "seeds",
+    )
     long = seeded.where(F.col("n_words") >= window)
     # written, so that the joins below have a plain shuffle on either side and a digest or seed with very many rows is split
     copies = materialize(long.groupBy("digest").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most").drop("most"), "copies")
@@ -180,21 +186,23 @@ def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
     judged = materialize(
         seeded.join(copies, "digest", "left").withColumn("copy", F.coalesce(F.col("key") > F.col("least"), F.lit(False))).drop("least"), "judged"
     )
-    grams = judged.where("not copy").select("key", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select(F.col("s.seeds").alias("seed"), "key", F.col("s.places").alias("place"))
+    grams = judged.where("not copy").select("no", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select(F.col("s.seeds").alias("seed"), "no", F.col("s.places").alias("place"))
     shared = materialize(grams.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed"), "shared")
-    seeds = grams.join(shared, "seed").groupBy("key").agg(F.collect_list("place").alias("places"))
-    asked = materialize(rows.join(seeds.hint("merge"), "key"), "asked")
-    found = asked.mapInArrow(_extensions(window, seed), "window long, key long, start int")
-    found = materialize(found, "windows")
+    places = grams.join(shared, "seed").groupBy("no").agg(F.collect_list("place").alias("places"))
+    # rows equal in doc_id and text are asked once and answered alike
+    row = ["key", "body"]
+    seeds = places.join(judged.select("no", *row), "no").groupBy(*row).agg(F.min("no").alias("no"), F.any_value("places").alias("places"))
+    asked = materialize(rows.join(seeds.hint("merge"), row).drop("body"), "asked")
+    found = materialize(asked.mapInArrow(_extensions(window, seed), "window long, key long, no long, start int"), "windows")
     earliest = found.groupBy("window").agg(F.min("key").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
-    repeated = found.join(earliest, "window").where("key > least").groupBy("key").agg(F.collect_list("start").alias("starts"))
-    cleaned = asked.join(repeated.hint("merge"), "key", "left").select("key", "text", "starts").mapInArrow(_kept(window), "key long, digest binary, n_words long, n_removed long, kept_sha256 string")
+    repeated = found.join(earliest, "window").where("key > least").groupBy("no").agg(F.collect_list("start").alias("starts"))
+    cleaned = asked.join(repeated.hint("merge"), "no", "left").select("key", "text", "starts").mapInArrow(_kept(window), "key long, digest binary, n_words long, n_removed long, kept_sha256 string")
     changed = materialize(cleaned.where("n_removed > 0"), "changed")
     empty = F.sha2(F.lit("").cast("binary"), 256)
     whole = judged.where("copy").select("key", "n_words", F.col("n_words").alias("n_removed"), empty.alias("kept_sha256"))
-    row = ["key", "digest"]  # rows that agree in both are the same
-    partly = changed.join(judged.where("copy").select(row).distinct().hint("merge"), row, "left_anti").drop("digest")
-    rest = judged.where("not copy").join(changed.select(row).distinct(), row, "left_anti").select(
+    same = ["key", "digest"]  # rows that agree in both are the same
+    partly = changed.join(judged.where("copy").select(same).distinct().hint("merge"), same, "left_anti").drop("digest")
+    rest = judged.where("not copy").join(changed.select(same).distinct(), same, "left_anti").select(
         "key", "n_words", F.lit(0).cast("long").alias("n_removed"), F.lower(F.hex("digest")).alias("kept_sha256")
     )
     return whole.union(partly).union(rest).select(F.when(F.col("key") < LAST, F.col("key")).alias("doc_id"), "n_words", "n_removed", "kept_sha256")

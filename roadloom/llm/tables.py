@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 
 import pyarrow as pa
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 import roadloom
 from roadloom.sources.scratch import materialize, new_folder
 
-__all__ = ["grouped", "materialize", "new_folder", "read", "small_batches", "tidy"]
+__all__ = ["batch_bytes", "grouped", "materialize", "new_folder", "read", "small_batches", "tidy"]
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +27,18 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, "2000")
 
 
+@contextlib.contextmanager
+def batch_bytes(spark: SparkSession, limit: str = "4m"):
+    """Within this context tables are handed to Python in batches of at most about ``limit``; the session's own setting is restored."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, limit)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def tidy(run):
     """``run`` over Arrow batches, giving freed memory back at the end of the task; workers are used again and would keep it."""
 
