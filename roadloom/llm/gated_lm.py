@@ -8,8 +8,9 @@ words have probability as well: P(word | history) = P(class | state) * P(word |
 Training is truncated backpropagation over windows of ``STEPS`` tokens with the state carried on, by Adam. It starts from the class and word
 frequencies, warms up on a bounded number of documents in one task, and then each task takes all its training documents once, from there;
 the tasks' parameters are averaged, weighted by tokens. Scoring carries the state across windows through the whole document; documents
-run side by side. The model, and the counts of the ``TOP`` most frequent words, are broadcast, both of fixed size; the counts of all other
-words are joined.
+run side by side. Texts are split and looked up once: each document's output ids are written, and training and scoring read those. The
+model, and the counts of the ``TOP`` most frequent words, are broadcast, both of fixed size; the counts of all other words are joined.
+The tasks' parameters are summed in a tree, one row a task.
 
 Defined cases: a null or empty text is one end token; rows that repeat a doc_id are scored one by one and all learnt from; a row without doc_id is
 learnt from; without training rows there is no vocabulary and every token is unseen; empty input gives no rows; other columns are ignored.
@@ -21,12 +22,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadloom.llm.tables import materialize
-from roadloom.llm.words import Words, mix, word_chunks, word_hashes
+from roadloom.llm.tables import materialize, tidy
+from roadloom.llm.words import Words, mix, text_buffers, word_chunks, word_hashes
 
 FREQUENT, PER_CLASS, TAIL, HIDDEN = 1024, 32, 16, 16
 CLASSES = FREQUENT // PER_CLASS + TAIL
@@ -34,7 +34,8 @@ TOP = 1 << 18
 STREAMS, STEPS = 512, 16
 WARM_UP = 3000  # documents
 RATE = 0.01
-SCORE_CHUNK = 1 << 23
+LEARN_CHUNK, SCORE_CHUNK = 1 << 17, 1 << 20  # tokens taken together
+FAN_IN = 32
 END = np.uint64(0)
 HELD_OUT = (7, 2)
 BEGIN = FREQUENT + TAIL  # the input before a document's first token
@@ -323,61 +324,101 @@ def vocabulary(counts: DataFrame, top: int = TOP) -> tuple[Vocabulary, np.ndarra
     return found, outputs
 
 
-def _learn(shared, passes: int):
-    def run(batches):
-        words, flat = shared.value
-        trainer = Trainer(Net(flat.copy()))
-        vocab = Vocabulary(*words)
-        for batch in batches:
-            for _ in range(passes):
-                for w in word_chunks(batch.column("text")):
-                    h, cls, _, fresh = hashed(w)
-                    trainer.learn(vocab.look_up(h, cls)[0], fresh)
-        if trainer.tokens:
-            n = len(trainer.net.flat)
-            weight = float(trainer.tokens)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(n, dtype=np.int32)), pa.array(trainer.net.flat.astype(np.float64) * weight), pa.array(np.full(n, weight))], names=["at", "value", "weight"]
-            )
+_TOKENS = "doc_id long, outputs binary, n_tokens long, n_known long, base_score double, tail_score double, rest array<long>"
 
-    return run
-
-
-def _averaged(rows: DataFrame, before: np.ndarray) -> np.ndarray:
-    """The tasks' parameters as one: as many rows as parameters come to the driver."""
-    got = rows.groupBy("at").agg((F.sum("value") / F.sum("weight")).alias("value")).toPandas()
-    flat = before.copy()
-    flat[got["at"].to_numpy()] = got["value"].to_numpy(np.float32)
-    return flat
 
+def _encode(shared):
+    """Per row: output ids as 16-bit numbers, what the counts say about the tokens, and the words whose counts are not among the top ones."""
 
-def _score(shared):
     def run(batches):
-        words, flat = shared.value
-        net, vocab = Net(flat), Vocabulary(*words)
+        vocab = Vocabulary(*shared.value)
         base_rest = np.log10(vocab.tokens + vocab.distinct + 1)
-        task, serial = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for w in word_chunks(batch.column("text"), SCORE_CHUNK):
-                h, cls, row, fresh = hashed(w)
+            for w in word_chunks(batch.column("text")):
+                h, cls, row, _ = hashed(w)
                 n = w.last - w.first
                 y, c = vocab.look_up(h, cls)
-                known = c >= 0
+                known, tail = c >= 0, y >= FREQUENT
                 seen = np.log10(np.maximum(c, 0) + 1.0)
-                base = np.bincount(row, seen - base_rest, n)
-                tail = y >= FREQUENT
-                own = document_scores(net, y, fresh) / np.log(10) + np.where(tail, seen - vocab.tail_log[np.where(tail, y - FREQUENT, 0)], 0)
+                tail_score = np.where(tail, seen - vocab.tail_log[np.where(tail, y - FREQUENT, 0)], 0)
                 left = np.flatnonzero(~known)
-                cuts = np.concatenate([[0], np.cumsum(np.bincount(row[left], minlength=n))]).astype(np.int32)
+                sizes = np.bincount(row, minlength=n)
+                at, rest = (np.concatenate([[0], np.cumsum(k)]).astype(np.int32) for k in (2 * sizes, np.bincount(row[left], minlength=n)))
+                outputs = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(at), pa.py_buffer(y.astype(np.int16))])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array((np.int64(task) << 40) + serial + np.arange(n)), batch.column("doc_id").slice(w.first, n), pa.array(np.bincount(row, minlength=n)),
-                        pa.array(np.bincount(row, known, n).astype(np.int64)), pa.array(base), pa.array(np.bincount(row, own, n)),
-                        pa.ListArray.from_arrays(pa.array(cuts), pa.array(h[left].view(np.int64))),
+                        batch.column("doc_id").slice(w.first, n), outputs, pa.array(sizes), pa.array(np.bincount(row, known, n).astype(np.int64)),
+                        pa.array(np.bincount(row, seen - base_rest, n)), pa.array(np.bincount(row, tail_score, n)),
+                        pa.ListArray.from_arrays(pa.array(rest), pa.array(h[left].view(np.int64))),
                     ],
-                    names=["place", "doc_id", "n_tokens", "n_known", "base_score", "score", "rest"],
+                    names=[c.split()[0] for c in _TOKENS.split(", ")],
                 )
-                serial += n
+
+    return run
+
+
+def _token_chunks(column: pa.Array, size: int):
+    """(first row, last row, output ids, first of its document) of about ``size`` tokens; a document is never cut."""
+    data, offsets = text_buffers(column)
+    cuts = offsets // 2
+    y = data[: 2 * cuts[-1]].view(np.int16) if len(data) else np.zeros(0, np.int16)
+    first, n = 0, len(column)
+    while first < n:
+        last = max(first + 1, int(np.searchsorted(cuts, cuts[first] + size, "right")) - 1)
+        fresh = np.zeros(cuts[last] - cuts[first], bool)
+        fresh[cuts[first:last] - cuts[first]] = True
+        yield first, last, y[cuts[first] : cuts[last]].astype(np.int32), fresh
+        first = last
+
+
+_MODEL = "weight double, flat binary"
+
+
+def _learn(shared, passes: int):
+    def run(batches):
+        trainer = Trainer(Net(shared.value.copy()))
+        for batch in batches:
+            for _ in range(passes):
+                for _, _, y, fresh in _token_chunks(batch.column("outputs"), LEARN_CHUNK):
+                    trainer.learn(y, fresh)
+        if trainer.tokens:
+            yield _model(float(trainer.tokens), trainer.net.flat.astype(np.float64) * trainer.tokens)
+
+    return run
+
+
+def _model(weight: float, total: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([weight]), pa.array([total.tobytes()], pa.binary())], names=["weight", "flat"])
+
+
+def _summed(batches):
+    weight, total = 0.0, None
+    for batch in batches:
+        for w, flat in zip(batch.column("weight").to_pylist(), batch.column("flat"), strict=True):
+            part = np.frombuffer(flat.as_buffer(), np.float64)
+            weight, total = weight + w, part.copy() if total is None else total + part
+    if total is not None:
+        yield _model(weight, total)
+
+
+def _averaged(models: DataFrame, before: np.ndarray) -> np.ndarray:
+    """The tasks' parameters as one, weighted by tokens; sums of ``FAN_IN`` rows until one is left."""
+    level = materialize(models, "models")
+    while (n := level.count()) > 1:
+        level = materialize(level.repartition(-(-n // FAN_IN)).mapInArrow(tidy(_summed), _MODEL), "models")
+    row = level.first()
+    return (np.frombuffer(row.flat, np.float64) / row.weight).astype(np.float32) if row else before
+
+
+def _score(shared):
+    def run(batches):
+        net = Net(shared.value)
+        for batch in batches:
+            scores = np.zeros(batch.num_rows)
+            for first, last, y, fresh in _token_chunks(batch.column("outputs"), SCORE_CHUNK):
+                row = np.cumsum(fresh) - 1
+                scores[first:last] = np.bincount(row, document_scores(net, y, fresh), last - first) / np.log(10)
+            yield pa.RecordBatch.from_arrays([batch.column("place"), pa.array(scores)], names=["place", "own"])
 
     return run
 
@@ -392,21 +433,21 @@ def log_likelihood(docs: DataFrame, top: int = TOP, warm_up: int = WARM_UP) -> D
     )
     vocab, outputs = vocabulary(counts, top)
     flat = Net.start(outputs).flat
-    if vocab.tokens:
-        ids = learnt.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(warm_up)
-        first = learnt.join(F.broadcast(ids.distinct()), "doc_id").select("text")  # at most warm_up ids
-        shared = context.broadcast((tuple(vocab), flat))
-        flat = _averaged(first.repartition(1).mapInArrow(_learn(shared, 2), "at int, value double, weight double"), flat)
-        shared = context.broadcast((tuple(vocab), flat))
-        flat = _averaged(learnt.select("text").mapInArrow(_learn(shared, 1), "at int, value double, weight double"), flat)
-    shared = context.broadcast((tuple(vocab), flat))
-    scored = materialize(
-        rows.mapInArrow(_score(shared), "place long, doc_id long, n_tokens long, n_known long, base_score double, score double, rest array<long>"), "scores"
+    # the number of a row is written with its tokens, so it stays the same from here on
+    tokens = materialize(
+        rows.mapInArrow(tidy(_encode(context.broadcast(tuple(vocab)))), _TOKENS).withColumn("place", F.monotonically_increasing_id()), "tokens"
     )
-    rest = scored.select("place", F.explode("rest").alias("word")).join(counts.select("word", "n"), "word")
+    training = tokens.where(~held_out(F.col("doc_id")))
+    if vocab.tokens:
+        few = training.select("doc_id", "place").orderBy(F.xxhash64("doc_id"), "place").limit(warm_up).select("place")
+        first = training.join(F.broadcast(few), "place").select("outputs")  # at most warm_up rows
+        flat = _averaged(first.repartition(1).mapInArrow(tidy(_learn(context.broadcast(flat), 2)), _MODEL), flat)
+        flat = _averaged(training.select("outputs").mapInArrow(tidy(_learn(context.broadcast(flat), 1)), _MODEL), flat)
+    scored = materialize(tokens.select("place", "outputs").mapInArrow(tidy(_score(context.broadcast(flat))), "place long, own double"), "scores")
+    rest = tokens.select("place", F.explode("rest").alias("word")).join(counts.select("word", "n"), "word")
     more = rest.groupBy("place").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("log"))
     log = F.coalesce("log", F.lit(0.0))
-    return scored.drop("rest").join(more, "place", "left").select(
+    return tokens.drop("rest", "outputs").join(scored, "place").join(more, "place", "left").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(vocab.tokens).cast("long").alias("train_tokens"), (F.col("base_score") + log).alias("base_score"), (F.col("score") + log).alias("score"),
+        F.lit(vocab.tokens).cast("long").alias("train_tokens"), (F.col("base_score") + log).alias("base_score"), (F.col("own") + F.col("tail_score") + log).alias("score"),
     )
