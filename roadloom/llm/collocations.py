@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadloom.llm.tables import materialize, tidy
+from roadloom.llm.tables import batch_bytes, materialize, tidy
 from roadloom.llm.words import Words, mix, text_buffers, word_hashes
 
 LEAST = 30
@@ -332,7 +332,8 @@ def _outer(found: DataFrame, cover: int) -> DataFrame:
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, cover: int = COVER) -> DataFrame:
     """Each language's ``top`` phrases of (text, lang): lang, rank, phrase, a (its count), l and r (counts of the parts), n (words of the language), score."""
-    found, words = phrases(docs, least)
+    with batch_bytes(docs.sparkSession):
+        found, words = phrases(docs, least)
     kept = _scores(found, words, least).join(_outer(found, cover), _KEYS, "left_anti")
     known = words.where(F.col("f") >= least)
     scored = kept.join(known.select(F.col("key").alias("w1"), "lang", F.col("word").alias("t1")), "w1")
