@@ -66,7 +66,7 @@ def main() -> None:
     for name, directed in (("plain", False), ("goal_directed", True)):
         start = time.perf_counter()
         run = route.solve(w.vehicles, ended, directed)
-        searches[name] = {"steps": run.steps, "messages": run.sent, "groups": run.groups, "sec": round(time.perf_counter() - start, 3)}
+        searches[name] = {"steps": run.steps, "messages": run.sent, "sec": round(time.perf_counter() - start, 3)}
 
     requests = w.requests.count()
     rates = {

@@ -4,14 +4,17 @@ The arcs are numbered along a space-filling curve and cut into blocks of a
 fixed number of rows, so no block grows with the data however dense a place
 is. A node with more arcs than a block holds spans several blocks and is only
 ever reached by messages. Requests are numbered the same way and cut into
-shards of a fixed size. A block's arcs are kept packed, one row per block. One
-step works on the (shard, block) groups that got new messages: labels settle
-inside the block, and labels that cross to another block are written as
-messages. Neighbouring shards form a chunk and share one copy of a block's arcs,
-so a step moves packed rows of woken blocks, never single arcs. Only messages are
-kept between steps; labels inside a block are always recomputed from them, so a
-lost task costs one block. Messages are stored by region and apart from the goals
-reached, so a step reads those of the regions it works in.
+shards of a fixed size. One step works on the (shard, block) groups that got new
+messages: the arcs of their blocks are joined to them, labels settle inside the
+block, and labels that cross to another block are written as messages. Only messages
+are kept between steps; labels inside a block are always recomputed from them, so a
+lost task costs one block. Arcs and messages are stored by region, so a step reads
+those of the regions it works in.
+
+Paths are unwound from the messages: one pass over the groups finds, for every
+message, the message it goes back to; pointer doubling marks those on a path to a
+goal; one more pass expands all their blocks at once. The number of jobs grows with
+the logarithm of the blocks a path crosses.
 
 A label is ``cost * 2^20 + hops`` with the cost in whole units, so sums are exact
 and ties go to fewer hops. Among equal labels the smallest edge id wins.
@@ -23,14 +26,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from roadloom.functions.geometry import curve_key
 from roadloom.operators.clip import fixed_cost
 from roadloom.operators.ids import dense_id
-from roadloom.sources.scratch import materialize, new_folder, shuffle_partitions
+from roadloom.sources.scratch import materialize, new_folder
 
 HOP_BITS = 20
 HOP = 1 << HOP_BITS
@@ -38,20 +40,17 @@ INF = 1 << 61
 FAR = 1e15  # metres; stands for "no box"
 ROWS_PER_BLOCK = 65_536
 REQUESTS_PER_SHARD = 64
-SHARDS_PER_CHUNK = 2  # shards that settle one after another on one copy of a block's arcs
-TASKS_PER_PARTITION = 4  # groups differ in work, so more tasks than shuffle partitions even it out
-GROUPS_PER_TASK = 256
 BLOCKS_PER_REGION = 256  # arcs and messages are stored by region, so a step reads only the regions it works in
-CHUNKS_PER_COPY = 64  # chunks one copy of a block's arcs is handed on to by one task
 BOUND_SHRINK = 1 - 1e-6  # keeps the straight-line bound below the true cost despite rounding
 
 METRE_SCALE = 1_000  # millimetres
 MINUTE_SCALE = 1_000_000
 
-_ARC = "block long, edge long, u long, v long, v_lo long, v_hi long, x double, y double, xmin double, ymin double, xmax double, ymax double"
+_ARC = "region long, block long, edge long, u long, v long, v_lo long, v_hi long, x double, y double, xmin double, ymin double, xmax double, ymax double"
 _MESSAGE = "shard long, block long, req_no long, node long, label long, edge long, prev long, prev_block long, goal boolean"
 _TREE = "req_no long, node long, label long, edge long, prev long, x double, y double"
-_PATH = "shard long, block long, req_no long, node long, label long, edge long, prev long, token boolean"
+_PATH = "req_no long, node long, label long, edge long, prev long"
+_ENTRY = "req_no long, block long, node long, entry long"
 
 
 @dataclass
@@ -66,7 +65,6 @@ class Cost:
 @dataclass
 class BlockGraph:
     arcs: DataFrame  # _ARC plus one weight column w_<i> per cost
-    packed: DataFrame  # region, block, the block's arcs in ``rows`` and their weights in one w_<i> per cost
     homes: DataFrame  # node, v_lo, v_hi, x, y
     costs: dict[str, Cost]
     rate: dict[str, float]  # least cost units per straight metre of any arc
@@ -80,29 +78,6 @@ def _region(block: Column) -> Column:
     return F.floor(block / BLOCKS_PER_REGION).cast("long")
 
 
-def _chunk(shard: Column) -> Column:
-    return F.floor(shard / SHARDS_PER_CHUNK).cast("long")
-
-
-def _bytes(rows: pd.DataFrame) -> bytes:
-    sink, table = pa.BufferOutputStream(), pa.Table.from_pandas(rows, preserve_index=False)
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_table(table)
-    return sink.getvalue().to_pybytes()
-
-
-def _rows(packed: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(packed).read_all().to_pandas()
-
-
-def _pack(arcs: pd.DataFrame) -> pd.DataFrame:
-    """One row for all arcs of a block, sorted by the node they enter; weights apart, so that a search reads only those it uses."""
-    arcs = arcs.sort_values(["v", "edge", "u"])
-    weights = [c for c in arcs.columns if c.startswith("w_")]
-    parts = {"block": [arcs["block"].iat[0]], "rows": [_bytes(arcs.drop(columns=["block", *weights]))]}
-    return pd.DataFrame(parts | {w: [_bytes(arcs[[w]])] for w in weights})
-
-
 def block_graph(nodes: DataFrame, edges: DataFrame, costs: dict[str, Cost], rows_per_block: int = ROWS_PER_BLOCK) -> BlockGraph:
     """Expand edges to weighted arcs and assign them to blocks.
 
@@ -150,18 +125,16 @@ def block_graph(nodes: DataFrame, edges: DataFrame, costs: dict[str, Cost], rows
     chord = F.sqrt(dx * dx + dy * dy)
     placed = materialize(
         numbered.join(u_home, "u").join(v_home, "v")
-        .select(block.alias("block"), "edge", "u", "v", "v_lo", "v_hi", "x", "y", *box, *weights, chord.alias("chord"))
+        .select(_region(block).alias("region"), block.alias("block"), "edge", "u", "v", "v_lo", "v_hi", "x", "y", *box, *weights, chord.alias("chord"))
         .repartition("block"),
-        "arcs",
+        "arcs", ["region"],
     )
     rates = placed.agg(
         *[F.min(F.when((F.col("chord") > 0) & (F.col(w) < INF), F.shiftright(w, HOP_BITS) / F.col("chord"))).alias(w) for w in weights],
         F.max("block").alias("last"),
     ).first()
-    schema = ", ".join(["block long", "rows binary", *[f"{w} binary" for w in weights]])
-    packed = placed.drop("chord").groupBy("block").applyInPandas(_pack, schema).withColumn("region", _region(F.col("block")))
     return BlockGraph(
-        placed.drop("chord"), materialize(packed, "packed", ["region"]), homes, dict(costs), {n: (rates[w] or 0.0) * BOUND_SHRINK for n, w in zip(names, weights)},
+        placed.drop("chord"), homes, dict(costs), {n: (rates[w] or 0.0) * BOUND_SHRINK for n, w in zip(names, weights)},
         1 + (rates["last"] or 0),
     )
 
@@ -172,11 +145,9 @@ def block_graph(nodes: DataFrame, edges: DataFrame, costs: dict[str, Cost], rows
 class _Arcs:
     """Arcs of one block as arrays, the same for all requests."""
 
-    def __init__(self, packed: pd.DataFrame):
-        self.number = int(packed["arc_block"].iat[0])
-        rows = _rows(packed["rows"].iat[0])
-        for w in (c for c in packed.columns if c.startswith("w_")):
-            rows[w] = _rows(packed[w].iat[0])[w]
+    def __init__(self, rows: pd.DataFrame):
+        rows = rows.sort_values(["v", "edge", "u"])
+        self.number = int(rows["arc_block"].iat[0])
         self.ids, at = np.unique(rows["u"].to_numpy(), return_index=True)
         self.x, self.y = rows["x"].to_numpy()[at], rows["y"].to_numpy()[at]
         anchor = rows["edge"].to_numpy() < 0
@@ -359,24 +330,42 @@ def _finish(inbox: pd.DataFrame, arcs: _Arcs) -> pd.DataFrame:
     })
 
 
-def _walk_back(inbox: pd.DataFrame, arcs: _Arcs) -> pd.DataFrame:
-    """From each token back to where its path entered the block: path rows, and a token for the block before."""
+def _tokens(inbox: pd.DataFrame, arcs: _Arcs) -> tuple[_Block, np.ndarray, pd.DataFrame, np.ndarray]:
+    """The block, its settled labels, the messages into it, and the slots of the nodes asked about."""
     block, inbox = _open(inbox, arcs)
     entry, tokens = inbox[~inbox["token"]], inbox[inbox["token"]]
     dist = block.blank()
     block.settle(dist, block.slots(entry), entry["label"].to_numpy())
-    reqs, slot, parts = block.reqs["req_no"].to_numpy(), np.unique(block.slots(tokens)), []
+    asked = np.unique(block.slots(tokens))
+    return block, dist, entry, asked[dist[asked] < INF]  # others lie beyond the bound, on no path to the goal
+
+
+def _entries(inbox: pd.DataFrame, arcs: _Arcs) -> pd.DataFrame:
+    """For each node asked about, the node where the path to it entered the block."""
+    block, dist, entry, asked = _tokens(inbox, arcs)
+    reqs, slot, start, parts = block.reqs["req_no"].to_numpy(), asked, asked, [_empty(_ENTRY)]
+    while len(slot):
+        _, prev, came = block.parents(dist, slot, entry)
+        node, req = np.divmod(slot, block.width)
+        done = (came >= 0) | (prev < 0)
+        parts.append(pd.DataFrame({
+            "req_no": reqs[req[done]], "block": block.number, "node": block.ids[start[done] // block.width], "entry": block.ids[node[done]],
+        }))
+        slot, start = block.at(prev[~done]) * block.width + req[~done], start[~done]
+    return pd.concat(parts)
+
+
+def _walk_back(inbox: pd.DataFrame, arcs: _Arcs) -> pd.DataFrame:
+    """The path from each node asked about back to where it entered the block."""
+    block, dist, entry, slot = _tokens(inbox, arcs)
+    reqs, parts = block.reqs["req_no"].to_numpy(), [_empty(_PATH)]
     while len(slot):
         edge, prev, came = block.parents(dist, slot, entry)
         node, req = np.divmod(slot, block.width)
-        step = pd.DataFrame({
-            "block": block.number, "req_no": reqs[req], "node": block.ids[node], "label": dist[slot], "edge": edge, "prev": prev, "token": False,
-        })
-        leaves = came >= 0
-        parts += [step, step[leaves].assign(block=came[leaves], node=prev[leaves], token=True)]
-        stays = ~leaves & (prev >= 0)
+        parts.append(pd.DataFrame({"req_no": reqs[req], "node": block.ids[node], "label": dist[slot], "edge": edge, "prev": prev}))
+        stays = (came < 0) & (prev >= 0)
         slot = block.at(prev[stays]) * block.width + req[stays]
-    return pd.concat(parts).assign(shard=int(inbox["shard"].iat[0]))[[c.split()[0] for c in _PATH.split(", ")]]
+    return pd.concat(parts)
 
 
 # --- steps over all blocks ----------------------------------------------------------------------------------------
@@ -386,12 +375,11 @@ def _walk_back(inbox: pd.DataFrame, arcs: _Arcs) -> pd.DataFrame:
 class Spread:
     """Settled messages of one batch of requests."""
 
-    packed: DataFrame  # blocks with the weights of the costs in use only
+    arcs: DataFrame  # with the weights of the costs in use only
     requests: DataFrame  # numbered, with their bounds in label units
     folder: str  # messages by step, goals apart, by region
     steps: int = 0
     sent: int = 0  # messages
-    groups: int = 0  # groups worked on over all steps, about
 
     def messages(self) -> DataFrame:
         return self._read().where("not goal")
@@ -400,17 +388,16 @@ class Spread:
         spark = self.requests.sparkSession
         return spark.read.schema(f"{_MESSAGE}, region long, step int").option("basePath", self.folder).parquet(self.folder)
 
-    def write(self, messages: DataFrame) -> tuple[int, int]:
-        """Store the messages of the next step; how many they are and about how many groups they wake."""
+    def write(self, messages: DataFrame) -> int:
+        """Store the messages of the next step; how many they are."""
         count = Observation()
         stored = messages.withColumn("region", _region(F.col("block"))).hint("rebalance", "region", "shard", "block").observe(
-            count, F.count_if(~F.col("goal")).alias("sent"),
-            F.approx_count_distinct(F.when(~F.col("goal"), F.struct("block", _chunk(F.col("shard"))))).alias("groups"),
+            count, F.count_if(~F.col("goal")).alias("sent")
         )  # observed last: an empty plan below would be dropped together with its figures
         stored.write.partitionBy("goal", "region").parquet(f"{self.folder}/step={self.steps}")
-        sent, groups = count.get["sent"], count.get["groups"]
-        self.steps, self.sent, self.groups = self.steps + 1, self.sent + sent, self.groups + groups
-        return sent, groups
+        sent = count.get["sent"]
+        self.steps, self.sent = self.steps + 1, self.sent + sent
+        return sent
 
     def reached(self) -> DataFrame:
         """(req_no, label): best label at each request's goal."""
@@ -425,38 +412,21 @@ class Spread:
         )
 
 
-def _by_group(spread: Spread, inbox: DataFrame, groups: DataFrame, about: int, work, schema: str) -> DataFrame:
-    """Run ``work`` on every (shard, block) of ``groups`` (about so many chunks of them) with its inbox rows and that block's arcs."""
+def _by_group(spread: Spread, inbox: DataFrame, groups: DataFrame, work, schema: str) -> DataFrame:
+    """Run ``work`` on every (shard, block) of ``groups`` with its inbox rows and that block's arcs."""
 
-    def run(inbox: pd.DataFrame, packed: pd.DataFrame) -> pd.DataFrame:
-        if inbox.empty or packed.empty:
-            return _empty(schema)
-        arcs = _Arcs(packed)
-        return pd.concat([work(part, arcs) for _, part in inbox.groupby("shard")])
+    def run(inbox: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
+        return _empty(schema) if inbox.empty or arcs.empty else work(inbox, _Arcs(arcs))
 
-    # An explicit count keeps small inputs spread over all cores: the work here is CPU, not bytes.
-    n = max(TASKS_PER_PARTITION * shuffle_partitions(inbox.sparkSession), about // GROUPS_PER_TASK)
-    left = inbox.join(spread.terms(), "req_no").withColumn("chunk", _chunk(F.col("shard"))).repartition(n, "chunk", "block")
-    right = _hand_out(spread, groups).repartition(n, "arc_chunk", "arc_block")
-    return left.groupBy("chunk", "block").cogroup(right.groupBy("arc_chunk", "arc_block")).applyInPandas(run, schema)
+    left = inbox.join(spread.terms(), "req_no")
+    right = _arcs_of(spread, groups)
+    return left.groupBy("shard", "block").cogroup(right.groupBy("arc_shard", "arc_block")).applyInPandas(run, schema)
 
 
-def _hand_out(spread: Spread, groups: DataFrame) -> DataFrame:
-    """A copy of its block's packed arcs for every chunk of shards.
-
-    The copies are made in two rounds, so no task writes out a popular block for all that want it.
-    """
-    # Renamed: the two sides share their lineage, and cogroup needs distinct key columns.
-    wanted = groups.select(F.col("block").alias("arc_block"), _chunk(F.col("shard")).alias("arc_chunk")).distinct()
-    copies = wanted.groupBy("arc_block").agg(F.ceil(F.count(F.lit(1)) / CHUNKS_PER_COPY).alias("copies"))
-    copies = copies.withColumn("arc_region", _region(F.col("arc_block")))
-    copied = (
-        spread.packed.join(copies, (F.col("block") == F.col("arc_block")) & (F.col("region") == F.col("arc_region")))
-        .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-        .drop("region", "arc_region", "copies", "block")
-    )
-    takes = copies.join(wanted, "arc_block").select("arc_block", F.pmod(F.xxhash64("arc_chunk"), F.col("copies")).alias("copy"), "arc_chunk")
-    return copied.join(takes, ["arc_block", "copy"]).drop("copy")
+def _arcs_of(spread: Spread, groups: DataFrame) -> DataFrame:
+    """The arcs of every group's block; the columns are renamed, as cogroup needs distinct keys."""
+    wanted = groups.select(_region(F.col("block")).alias("region"), "block", F.col("shard").alias("arc_shard")).distinct()
+    return spread.arcs.join(wanted, ["region", "block"]).drop("region").withColumnRenamed("block", "arc_block")
 
 
 def _inbox(messages: DataFrame, step: int | None = None) -> DataFrame:
@@ -512,9 +482,9 @@ def spread(graph: BlockGraph, requests: DataFrame, goal_directed: bool = False)
     place = F.create_map(*[F.lit(v) for i, u in enumerate(used) for v in (u, i)])
     numbered = numbered.withColumn("cost_ix", place[F.col("cost_ix")])
     unused = [f"w_{i}" for i in range(len(graph.costs)) if i not in used]
-    run = Spread(graph.packed.drop(*unused), numbered, new_folder(spark, "messages"))
+    run = Spread(graph.arcs.drop(*unused), numbered, new_folder(spark, "messages"))
     none = F.lit(-1).cast("long")
-    sent, groups = run.write(numbered.select(
+    sent = run.write(numbered.select(
         "shard", F.explode(F.sequence("from_lo", "from_hi")).alias("block"), "req_no", F.col("source").alias("node"),
         F.lit(0).cast("long").alias("label"), none.alias("edge"), none.alias("prev"), none.alias("prev_block"), F.lit(False).alias("goal"),
     ))
@@ -522,39 +492,59 @@ def spread(graph: BlockGraph, requests: DataFrame, goal_directed: bool = False)
         messages, step = run.messages(), run.steps - 1
         woken = messages.where(F.col("step") == step).select("region", "shard", "block").distinct()
         inbox = _inbox(messages.join(woken, ["region", "shard", "block"], "left_semi"), step)
-        sent, groups = run.write(_by_group(run, inbox, woken, groups, _advance, _MESSAGE))
+        sent = run.write(_by_group(run, inbox, woken, _advance, _MESSAGE))
     return run
 
 
 def labels(run: Spread) -> DataFrame:
     """(req_no, node, label, edge, prev, x, y) of every reached node; the origin has edge and prev -1."""
     messages = run.messages()
-    return _by_group(run, _inbox(messages), messages.select("shard", "block").distinct(), run.groups, _finish, _TREE)
+    return _by_group(run, _inbox(messages), messages.select("shard", "block"), _finish, _TREE)
 
 
-def paths(run: Spread) -> DataFrame:
-    """(req_no, node, label, edge, prev) of the nodes on the path to each reached goal.
+def _asked(run: Spread, best: DataFrame, tokens: DataFrame, work, schema: str) -> DataFrame:
+    """Run ``work`` on the groups of ``tokens`` (shard, block, req_no, node), with the best messages of those requests there."""
+    key = ["shard", "block", "req_no"]
+    entries = best.join(tokens.select(key).distinct(), key, "left_semi").drop("old").withColumn("token", F.lit(False))
+    none = F.lit(-1).cast("long")
+    marks = tokens.distinct().select(
+        *key, "node", F.lit(INF).alias("label"), none.alias("edge"), none.alias("prev"), none.alias("prev_block"), F.lit(True).alias("token")
+    )
+    return _by_group(run, entries.unionByName(marks), tokens.select("shard", "block"), work, schema)
 
-    Paths are followed backwards block by block; each step touches only the
-    groups a path goes through.
+
+def unwind(parents: DataFrame, ends: DataFrame) -> DataFrame:
+    """Keys reached from ``ends`` (key) by following ``parents`` (key, parent) any number of times, ends included.
+
+    Pointer doubling: each round joins the pointers to themselves, so they reach twice as far, and adds what they reach from
+    the keys marked so far. Rounds are logarithmic in the longest chain.
     """
-    spark = run.requests.sparkSession
-    folder = new_folder(spark, "paths")
-    read = lambda: spark.read.schema(f"{_PATH}, step int").option("basePath", folder).parquet(folder)
-    sent = run.messages()
-    goal = run.requests.join(run.reached(), "req_no")
-    tokens = goal.select("shard", F.col("goal_block").alias("block"), "req_no", F.col("goal").alias("node"))
-    step, left, groups = 0, 1, run.groups
-    while left:
-        entries = _inbox(sent.join(tokens.select("shard", "block", "req_no").distinct(), ["shard", "block", "req_no"], "left_semi"))
-        inf, none = F.lit(INF).alias("label"), F.lit(-1).cast("long")
-        marks = tokens.select("shard", "block", "req_no", "node", inf, none.alias("edge"), none.alias("prev"), none.alias("prev_block"), F.lit(True).alias("token"))
-        inbox = entries.drop("old").withColumn("token", F.lit(False)).unionByName(marks)
-        count = Observation()
-        out = _by_group(run, inbox, tokens.select("shard", "block").distinct(), groups, _walk_back, _PATH)
-        out = out.observe(count, F.count_if("token").alias("left"))
-        out.hint("rebalance", "shard", "block").write.parquet(f"{folder}/step={step}")
-        left = count.get["left"]
-        tokens = read().where(f"token and step = {step}").select("shard", "block", "req_no", "node")
-        step += 1
-    return read().where("not token").select("req_no", "node", "label", "edge", "prev")
+    marked, hops = materialize(ends.select("key").distinct(), "marked"), materialize(parents, "pointers")
+    rounds = 0
+    while not hops.isEmpty():
+        if (rounds := rounds + 1) > HOP_BITS:
+            raise ValueError("pointers run in a circle")
+        reached = marked.join(hops, "key").select(F.col("parent").alias("key"))
+        marked = materialize(marked.union(reached).distinct(), "marked")
+        far = hops.select(F.col("key").alias("parent"), F.col("parent").alias("far"))
+        hops = materialize(hops.join(far, "parent").select("key", F.col("far").alias("parent")), "pointers")
+    return marked
+
+
+def paths(run: Spread) -> DataFrame:
+    """(req_no, node, label, edge, prev) of the nodes on the path to each reached goal."""
+    goal = run.requests.join(run.reached(), "req_no").select("shard", F.col("goal_block").alias("block"), "req_no", F.col("goal").alias("node"))
+    goal = materialize(goal, "goals")
+    best = materialize(_inbox(run.messages().join(goal.select("req_no"), "req_no", "left_semi")), "best")
+    sent = best.where("prev_block >= 0")
+    sources = sent.select("shard", F.col("prev_block").alias("block"), "req_no", F.col("prev").alias("node"))
+    entered = materialize(_asked(run, best, sources.union(goal), _entries, _ENTRY), "entered")
+    key = F.struct("req_no", "block", "node").alias("key")
+    before = entered.select("req_no", F.col("block").alias("prev_block"), F.col("node").alias("prev"), "entry")
+    parents = sent.join(before, ["req_no", "prev_block", "prev"]).select(
+        key, F.struct("req_no", F.col("prev_block").alias("block"), F.col("entry").alias("node")).alias("parent")
+    )
+    ends = goal.join(entered, ["req_no", "block", "node"]).select(F.struct("req_no", "block", F.col("entry").alias("node")).alias("key"))
+    on_path = unwind(parents, ends).select("key.*")
+    crossed = sent.join(on_path, ["req_no", "block", "node"]).select("shard", F.col("prev_block").alias("block"), "req_no", F.col("prev").alias("node"))
+    return _asked(run, best, materialize(crossed.union(goal), "tokens"), _walk_back, _PATH)

@@ -152,17 +152,6 @@ def test_requests_are_cut_into_full_shards(spark):
     assert sizes == [8, 64, 64, 64]
 
 
-def test_popular_blocks_are_copied_in_two_rounds(spark, monkeypatch):
-    nodes, edges = make_graph(31)
-    g = graph(spark, nodes, edges, 60)
-    df = spark.range(300).select(F.col("id").alias("req_id"), (F.col("id") % 7).alias("source"), F.lit("way").alias("cost"))
-    sums = lambda run: sorted((r.req_no, r.s, r.n) for r in B.labels(run).groupBy("req_no").agg(F.sum("label").alias("s"), F.count("label").alias("n")).collect())
-    plain = sums(B.spread(g, df))
-    monkeypatch.setattr(B, "SHARDS_PER_CHUNK", 1)
-    monkeypatch.setattr(B, "CHUNKS_PER_COPY", 2)
-    assert sums(B.spread(g, df)) == plain
-
-
 def test_a_step_reads_only_the_regions_it_works_in(spark, monkeypatch):
     monkeypatch.setattr(B, "BLOCKS_PER_REGION", 2)
     nodes, edges = make_graph(31)
@@ -171,20 +160,44 @@ def test_a_step_reads_only_the_regions_it_works_in(spark, monkeypatch):
     run = B.spread(g, df)
     woken = run.messages().where("step = 0").select("region", "shard", "block").distinct()
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan(B._hand_out(run, woken))
+    assert "dynamicpruning" in plan(B._arcs_of(run, woken))
     assert "dynamicpruning" in plan(run.messages().join(woken, ["region", "shard", "block"], "left_semi"))
 
 
-def test_a_step_moves_packed_blocks_and_no_arcs(spark):
+def test_a_search_keeps_the_weights_it_uses(spark):
     nodes, edges = make_graph(31)
     g = graph(spark, nodes, edges, 60)
-    assert g.packed.groupBy("block").count().where("count > 1").isEmpty()
-    assert g.packed.count() == g.arcs.select("block").distinct().count()
     run = B.spread(g, spark.createDataFrame([(1, 0, "way")], "req_id long, source long, cost string"))
-    assert set(run.packed.columns) == {"region", "block", "rows", "w_0"}
+    assert "w_0" in run.arcs.columns and "w_1" not in run.arcs.columns
     assert run.steps > 1 and run.sent == run.messages().count()
 
 
+def test_unwinding_takes_logarithmic_rounds(spark, monkeypatch):
+    chains = [(f"a{i}", f"a{i + 1}") for i in range(37)] + [("b0", "b1"), ("x", "a30"), ("y", "x")]
+    parents, ends = spark.createDataFrame(chains, "key string, parent string"), spark.createDataFrame([("a5",), ("y",), ("z",)], "key string")
+    written = []
+    keep = B.materialize
+    monkeypatch.setattr(B, "materialize", lambda df, label: written.append(label) or keep(df, label))
+    got = {r.key for r in B.unwind(parents, ends).collect()}
+    assert got == {f"a{i}" for i in range(5, 38)} | {"x", "y", "z"}
+    assert written.count("pointers") <= 7  # a chain of 37 links
+
+
+def test_paths_of_many_crossings_take_few_jobs(spark, monkeypatch):
+    n = 120
+    nodes = [(i, 10.0 * i, 0.0) for i in range(n)]
+    edges = [(i, i, i + 1, 1.0, 1.0, 1.0, 1.0, 10.0 * i, 0.0, 10.0 * i + 10, 0.0) for i in range(n - 1)]
+    g = graph(spark, nodes, edges, 9)
+    run = B.spread(g, spark.createDataFrame([(1, 0, n - 1, "way")], "req_id long, source long, target long, cost string"))
+    assert g.blocks > 30 and run.steps > 30
+    written = []
+    keep = B.materialize
+    monkeypatch.setattr(B, "materialize", lambda df, label: written.append(label) or keep(df, label))
+    rows = sorted((r.label & (HOP - 1), r.node, r.edge) for r in B.paths(run).collect())
+    assert rows == [(0, 0, -1)] + [(i, i, i - 1) for i in range(1, n)]
+    assert len(written) < 20
+
+
 def test_too_many_hops_raise():
     label = pd.DataFrame({"req_no": [0], "label": [5 * B.HOP + B.HOP - 3]})
     with pytest.raises(ValueError, match="edges or more"):
