@@ -47,7 +47,7 @@ from part join fx_node a on a.k=p_partkey join fx_node b on b.k=p_partkey+40""",
     "observed": "select l_partkey, "
     + ", ".join(_speed(p, side) for p in PERIODS for side in "ab")
     + """
-from lineitem group by l_partkey having count(*) >= 22""",
+from lineitem group by l_partkey""",
     "speeds": " union all ".join(
         f"select concat('L',2*l_partkey+{d}) as roadlinkid, " + ", ".join(f"{p}{side}" for p in PERIODS for side in "ab") + " from observed" for d in (0, 1)
     ),
@@ -58,8 +58,8 @@ select concat('T',k), case when nation=3 then 'N999999999' else concat('N',node)
     "ferries": """select s.k as ogc_fid, concat('FL',s.k) as id, concat('F',s.k) as startnode, concat('F',e.k) as endnode,
   a.x as x1, a.y as y1, b.x as x2, b.y as y2
 from ports s join ports e on e.k=s.k+1 join fx_node a on a.k=s.node join fx_node b on b.k=e.node""",
-    "cutters": "select c_custkey as id, 2*((c_custkey*7)%(select cast(floor(n/5) as bigint) from size)) as fid from customer",
-    "cutpoints": """select c.id, case c.id%3 when 0 then r.id when 1 then '' else null end as roadlink,
+    "cutters": "select c_custkey as id, c_acctbal as balance, 2*((c_custkey*7)%(select n from size)) as fid from customer",
+    "cutpoints": """select c.id, case when c.balance < 0 then '' when c.balance < 300 then null else r.id end as roadlink,
   case c.id%7 when 3 then r.xm when 4 then r.x1 when 5 then r.x1 else r.x1+(r.xm-r.x1)*(c.id%7%4+1)*0.25 end as x,
   case c.id%7 when 3 then r.ym when 4 then r.y1 when 5 then r.y1+1 else r.y1+(r.ym-r.y1)*(c.id%7%4+1)*0.25 end as y
 from cutters c join links r on r.ogc_fid=c.fid""",
