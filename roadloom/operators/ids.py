@@ -35,6 +35,13 @@ def dense_id(df: DataFrame, order: list, name: str = "id", offset: int = 0) -> D
     )
 
 
+def unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
+    """``df``, raising when it is read if two rows agree in ``keys``."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    repeated = F.raise_error(F.concat_ws(" ", F.lit(f"{what} is repeated:"), *[F.col(k).cast("string") for k in keys]))
+    return df.withColumn("_once", F.when(n > 1, repeated).otherwise(F.lit("")).cast("string")).where("_once = ''").drop("_once")
+
+
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once; empty for a proper key."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")

@@ -13,6 +13,7 @@ DEFAULT_OPTION = "distance"
 DEFAULT_AREA_OPTION = "alphashape"
 DEFAULT_MINUTES = 10.0
 DEFAULT_AREA_PERIOD = "nighttime0004everyday"
+AREA_OPTIONS = ["alphashape", "drivingdistance"]
 
 
 def parse_points(text: Column) -> Column:
@@ -47,6 +48,11 @@ def area_cost_name(period: Column) -> Column:
     return F.concat(F.lit("time_"), _checked(F.coalesce(period, F.lit(DEFAULT_AREA_PERIOD)), PERIODS, "period"))
 
 
+def area_option(option: Column) -> Column:
+    """What an area request asks for. Anything else raises."""
+    return _checked(option, AREA_OPTIONS, "option")
+
+
 def _with_absent(df: DataFrame, *columns: str) -> DataFrame:
     """Parameters nobody gave, as NULL."""
     return df.withColumns({c: F.lit(None).cast("string") for c in columns if c not in df.columns})
@@ -87,14 +93,35 @@ def rejected_requests(df: DataFrame) -> DataFrame:
     return _with_reason(df).where("reason is not null").select("req_id", "reason")
 
 
+def _with_area_reason(df: DataFrame) -> DataFrame:
+    """Area requests with their point ``p`` and limit ``minutes``, and why they cannot be answered, or NULL."""
+    full = _with_absent(df, "option", "cost", "period").withColumn("p", parse_point(F.col("point")))
+    minutes = F.when(F.col("cost").isNull(), DEFAULT_MINUTES).otherwise(F.trim(F.col("cost").cast("string")).try_cast("double"))
+    option, period = F.coalesce("option", F.lit(DEFAULT_AREA_OPTION)), F.coalesce("period", F.lit(DEFAULT_AREA_PERIOD))
+    sound = F.col("minutes").isNotNull() & ~F.isnan("minutes") & (F.col("minutes") > 0) & (F.col("minutes") < float("inf"))
+    return full.withColumn("minutes", minutes).withColumn(
+        "reason",
+        F.when(F.col("p.lon").isNull() | F.col("p.lat").isNull(), "the point is not a longitude and a latitude")
+        .when(~option.isin(AREA_OPTIONS), "unknown option")
+        .when(~sound, "the cost is not a positive number of minutes")
+        .when(~period.isin(PERIODS), "unknown period"),
+    )
+
+
+def rejected_area_requests(df: DataFrame) -> DataFrame:
+    """(req_id, reason) of the area requests that cannot be answered; the others go on without them."""
+    return _with_area_reason(df).where("reason is not null").select("req_id", "reason")
+
+
 def area_requests(df: DataFrame) -> DataFrame:
-    """(req_id, point[, option, cost, period]) as text to grid requests, with the defaults filled in."""
-    placed = _with_absent(df, "option", "cost", "period").withColumn("p", parse_point(F.col("point"))).withColumn("g", to_grid(F.col("p.lon"), F.col("p.lat")))
+    """(req_id, point[, option, cost, period]) as text to grid requests, with the defaults filled in.
+
+    Requests that cannot be answered are left out; :func:`rejected_area_requests` lists them.
+    """
+    placed = _with_area_reason(df).where("reason is null").withColumn("g", to_grid(F.col("p.lon"), F.col("p.lat")))
     return placed.select(
         "req_id", F.col("g.x").alias("x"), F.col("g.y").alias("y"),
-        F.coalesce("option", F.lit(DEFAULT_AREA_OPTION)).alias("option"),
-        F.coalesce(F.col("cost").cast("double"), F.lit(DEFAULT_MINUTES)).alias("minutes"),
-        F.coalesce("period", F.lit(DEFAULT_AREA_PERIOD)).alias("period"),
+        F.coalesce("option", F.lit(DEFAULT_AREA_OPTION)).alias("option"), "minutes", F.coalesce("period", F.lit(DEFAULT_AREA_PERIOD)).alias("period"),
     )
 
 

@@ -1,13 +1,23 @@
-"""Load, replace and append tables; write features."""
+"""Load, replace and append tables; write features.
+
+A table that is replaced is a folder of versions and a log of switches. A new version is written beside the others and becomes the table by one
+line added to the log, so a write that fails half-way leaves the table as it was, and readers of the old version finish undisturbed.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadloom.operators.ids import duplicates
 from roadloom.sources.schemas import INPUTS
 
+_LOG = "n long, version string"
+
 
 def load(spark: SparkSession, folder: str, name: str, fmt: str = "parquet") -> DataFrame:
     """Scan one input table with its declared schema, so only used columns are read."""
@@ -19,17 +29,48 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def save(df: DataFrame, path: str) -> DataFrame:
-    """Replace the table at ``path`` and return a scan of it."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _version(spark: SparkSession, path: str) -> tuple[int, str | None]:
+    """Number and folder of the current version of the table at ``path``; (0, None) before the first."""
+    try:
+        log = spark.read.schema(_LOG).json(f"{path}/log")
+        last = log.orderBy("n", "version", ascending=False).first()
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in (missing.getCondition() or ""):
+            raise
+        last = None
+    return (last.n, f"{path}/{last.version}") if last else (0, None)
+
+
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """A scan of the table at ``path`` as it is now."""
+    _, folder = _version(spark, path)
+    if folder is None:
+        raise ValueError(f"there is no table at {path}")
+    return spark.read.parquet(folder)
+
+
+def save(df: DataFrame, path: str, key: list[str] | None = None) -> DataFrame:
+    """Replace the table at ``path`` and return a scan of it. With ``key``, raise and keep the old table if two rows agree in it."""
+    spark = df.sparkSession
+    n, _ = _version(spark, path)
+    version = f"v{n + 1}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(f"{path}/{version}")
+    written = spark.read.schema(df.schema).parquet(f"{path}/{version}")
+    if key:
+        twice = duplicates(written, key).first()
+        if twice is not None:
+            raise ValueError(f"{', '.join(key)} must be unique, but {twice.asDict()} is not")
+    spark.createDataFrame([(n + 1, version)], _LOG).coalesce(1).write.mode("append").json(f"{path}/log")
+    return written
 
 
 def append(df: DataFrame, path: str) -> DataFrame:
     """Add rows to the table at ``path`` and return a scan of it."""
-    schema = df.sparkSession.read.parquet(path).schema
-    conform(df, schema).write.mode("append").parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    spark = df.sparkSession
+    schema = current(spark, path).schema
+    _, folder = _version(spark, path)
+    conform(df, schema).write.mode("append").parquet(folder)
+    return spark.read.schema(schema).parquet(folder)
 
 
 def responses(summary: DataFrame, features: DataFrame) -> DataFrame:
