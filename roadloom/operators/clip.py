@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadloom.functions import geometry as G
+from roadloom.operators.skew import split_join
 from roadloom.sources.schemas import PERIODS
 
 CLIP_METRES = 20_000.0  # fixed value: margin round the two ends of a route
@@ -67,4 +68,5 @@ def clip(edges: DataFrame, requests: DataFrame, margin: float = CLIP_METRES) ->
     windows = windows.withColumn("gx", rx).withColumn("gy", ry)
     spread = edges.select(F.col("id").alias("edge"), "xmin", "ymin", "xmax", "ymax").withColumn("gx", ex).withColumn("gy", ey)
     first = (F.floor(F.greatest("lo_x", "xmin") / side) == F.col("gx")) & (F.floor(F.greatest("lo_y", "ymin") / side) == F.col("gy"))
-    return spread.join(windows, ["gx", "gy"]).where(G.overlaps() & first).select("req_id", "edge")
+    met = split_join(spread, windows, ["gx", "gy"], ["edge"])  # a square of a dense town is many tasks
+    return met.where(G.overlaps() & first).select("req_id", "edge")

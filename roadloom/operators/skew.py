@@ -36,7 +36,8 @@ def split_join(
 
     A key with over ``part_rows`` rows in ``big`` is dealt to parts by the values of ``spread``, which should differ between its rows; its
     rows in ``small`` are repeated once a part. Only the list of such keys, bounded by ``most``, is broadcast. Rows
-    without a key match nothing, as in any join, and are dealt out like other hot keys.
+    without a key match nothing, as in any join, and are dealt out like other hot keys. ``big`` is read twice, to count and to join:
+    hand over a scan or a written table.
     """
     parts, part = fresh("parts", big, small), fresh("part", big, small)
     heavy = heavy_keys(big, on, part_rows, most).withColumnRenamed("parts", parts)

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadloom.operators.skew import split_join
 from roadloom.sources.scratch import materialize
 
 FANOUT_BITS = 3  # a square has 2^3 by 2^3 children
@@ -81,6 +82,13 @@ def _most(box, p) -> Column:
     return dx * dx + dy * dy
 
 
+def _down(near: DataFrame, children: DataFrame, keys: list[str], level: int) -> DataFrame:
+    """Points with the children of their squares. Below the small levels a square that holds very many points is split."""
+    if level <= SMALL_LEVEL:
+        return near.join(F.broadcast(children), (F.col("ix") == F.col("pix")) & (F.col("iy") == F.col("piy")))
+    return split_join(materialize(near, "near"), children.withColumnsRenamed({"pix": "ix", "piy": "iy"}), ["ix", "iy"], keys)
+
+
 def snap(points: DataFrame, index: NodeIndex, keys: list[str]) -> DataFrame:
     """``points(keys..., px, py)`` → keys, node_id, d2: least squared distance, then smallest id.
 
@@ -101,10 +109,8 @@ def snap(points: DataFrame, index: NodeIndex, keys: list[str]) -> DataFrame:
         children = index.level(d).withColumns(
             {"pix": F.shiftright("ix", FANOUT_BITS), "piy": F.shiftright("iy", FANOUT_BITS)}
         ).withColumnsRenamed({"ix": "cx", "iy": "cy"})
-        if d <= SMALL_LEVEL:
-            children = F.broadcast(children)
         near = (
-            near.join(children, (F.col("ix") == F.col("pix")) & (F.col("iy") == F.col("piy")))
+            _down(near, children, keys, d)
             .select(*keys, "px", "py", F.col("cx").alias("ix"), F.col("cy").alias("iy"), _least(here, here).alias("least"), _most(here, here).alias("most"))
             .withColumn("bound", F.min("most").over(own))
             .where("least <= bound")
@@ -112,7 +118,7 @@ def snap(points: DataFrame, index: NodeIndex, keys: list[str]) -> DataFrame:
         )
     dx, dy = F.col("x") - F.col("px"), F.col("y") - F.col("py")
     return (
-        near.join(index.leaves, ["ix", "iy"])
+        split_join(materialize(near, "near"), index.leaves, ["ix", "iy"], keys)
         .groupBy(*keys)
         .agg(F.min(F.struct((dx * dx + dy * dy).alias("d2"), F.col("id").alias("node_id"))).alias("best"))
         .select(*keys, "best.node_id", "best.d2")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadloom.operators.skew import split_join
 from roadloom.sources.scratch import materialize
 
 ON_LINE = 1e-6  # metres a point may lie off a segment and still cut it
@@ -55,8 +56,7 @@ def cut_positions(lines: DataFrame, points: DataFrame) -> DataFrame:
     along, across = px * dx + py * dy, px * dy - py * dx
     placed = points.dropDuplicates(["fid", "x", "y"]).withColumns({"gx": _square(F.col("x")), "gy": _square(F.col("y"))})
     return (
-        _squares_along(_segments(lines))
-        .join(placed, ["fid", "gx", "gy"])
+        split_join(placed, _squares_along(_segments(lines)), ["fid", "gx", "gy"], ["x", "y"])
         .where((F.abs(across) <= ON_LINE * F.sqrt(span)) & (along >= 0) & (along <= span))
         .select("fid", "last", (F.col("i") + along / span).alias("pos"), "x", "y")
         .where("pos > 0 and pos < last")
@@ -78,11 +78,12 @@ def split_lines(lines: DataFrame, points: DataFrame) -> DataFrame:
         "fid", F.col("pos").cast("double").alias("pos"), "p.x", "p.y", F.lit(False).alias("cut")
     )
     cuts = materialize(cut_positions(lines, points), "cuts").withColumn("cut", F.lit(True))  # read twice below
-    marks = (
+    marks = materialize(
         vertices.unionByName(cuts)
         .groupBy("fid", "pos")
         .agg(F.max("cut").alias("cut"), F.min(F.struct("cut", "x", "y")).alias("p"))
-        .select("fid", "pos", "cut", "p.x", "p.y", F.floor(F.col("pos") * BINS).alias("bin"))
+        .select("fid", "pos", "cut", "p.x", "p.y", F.floor(F.col("pos") * BINS).alias("bin")),
+        "marks",
     )
     ahead = Window.partitionBy("fid").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     before = (
@@ -93,7 +94,7 @@ def split_lines(lines: DataFrame, points: DataFrame) -> DataFrame:
     )
     within = Window.partitionBy("fid", "bin").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     n = F.col("cuts_before") + F.coalesce(F.sum(F.col("cut").cast("long")).over(within), F.lit(0)) + 1
-    counted = marks.join(before, ["fid", "bin"]).withColumn("n", n)
+    counted = split_join(marks, before, ["fid", "bin"], ["pos"]).withColumn("n", n)
     # A cut ends one piece and starts the next.
     members = counted.withColumn("n", F.explode(F.when(F.col("cut"), F.array(F.col("n"), F.col("n") + 1)).otherwise(F.array("n"))))
     return (

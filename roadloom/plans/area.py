@@ -12,9 +12,11 @@ from roadloom.functions.geometry import envelope
 from roadloom.operators import blocks as B
 from roadloom.operators.clip import AREA_EXCLUDED, without_hierarchy
 from roadloom.operators.hull import TARGET_SHARE, concave_hull
+from roadloom.operators.ids import unique
+from roadloom.operators.skew import split_join
 from roadloom.operators.snap import node_index, snap
 from roadloom.plans.route import Router, vehicle_costs
-from roadloom.sources.requests import area_cost_name
+from roadloom.sources.requests import area_cost_name, area_option
 from roadloom.sources.scratch import materialize
 
 KM_PER_MINUTE = 1.86  # fixed value: half-side of the square searched, per minute
@@ -30,6 +32,7 @@ def area_router(nodes: DataFrame, edges: DataFrame, rows_per_block: int = B.ROWS
 
 def attach_origin(router: Router, requests: DataFrame) -> DataFrame:
     """(req_id, x, y, minutes, period, ...) with the ``source`` node and the square round it."""
+    requests = unique(requests, ["req_id"], "req_id")
     points = requests.select("req_id", F.col("x").alias("px"), F.col("y").alias("py"))
     at = router.nodes.select(F.col("id").alias("node_id"), F.col("x").alias("nx"), F.col("y").alias("ny"))
     origin = snap(points, router.index, ["req_id"]).join(at, "node_id").select("req_id", F.col("node_id").alias("source"), "nx", "ny")
@@ -54,7 +57,8 @@ def area_nodes(run: B.Spread) -> DataFrame:
 def area_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(req_id, node, edge, cost_fixed, geom): the edge each node was reached by."""
     shapes = edges.select(F.col("id").alias("edge"), "geom")
-    return nodes.join(shapes, "edge", "left").where("geom is not null").select("req_id", "node", "edge", "cost_fixed", "geom")
+    driven = materialize(nodes.where("edge >= 0").select("req_id", "node", "edge", "cost_fixed"), "driven")  # an origin was reached by no edge
+    return split_join(driven, shapes, ["edge"], ["req_id", "node"]).where("geom is not null").select("req_id", "node", "edge", "cost_fixed", "geom")
 
 
 def area_points(nodes: DataFrame) -> DataFrame:
@@ -91,11 +95,8 @@ class AreaResult:
 
 def service_area(router: Router, requests: DataFrame, share: float = TARGET_SHARE) -> AreaResult:
     """Answer a batch of requests: (req_id, x, y, option, minutes, period); option is alphashape or drivingdistance."""
-    kinds = ["alphashape", "drivingdistance"]
-    bad = requests.where(~F.col("option").isin(kinds) | F.col("option").isNull()).select("option").first()
-    if bad is not None:
-        raise ValueError(f"option must be one of {kinds}, not {bad[0]!r}")
-    origins = materialize(attach_origin(router, requests), "origins")
+    known = requests.withColumn("option", area_option(F.col("option")))
+    origins = materialize(attach_origin(router, known), "origins")
     nodes = materialize(area_nodes(spread_area(router, origins)), "area-nodes")
     wanted = origins.select("req_id", "option")
     outlined = nodes.join(wanted.where("option = 'alphashape'"), "req_id", "left_semi")

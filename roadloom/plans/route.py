@@ -12,6 +12,8 @@ from roadloom.functions.costs import WALK_METRES_PER_SECOND, hms, round_to
 from roadloom.functions.geometry import envelope
 from roadloom.operators import blocks as B
 from roadloom.operators.clip import CLIP_METRES, WALK_EXCLUDED, cost_columns, without_hierarchy
+from roadloom.operators.ids import unique
+from roadloom.operators.skew import split_join
 from roadloom.operators.snap import NodeIndex, node_index, snap
 from roadloom.sources.requests import cost_name
 from roadloom.sources.schemas import PERIODS
@@ -60,6 +62,7 @@ def snap_ends(router: Router, requests: DataFrame) -> DataFrame:
 
 def attach_ends(router: Router, requests: DataFrame, clip: float = CLIP_METRES) -> DataFrame:
     """Requests with ``source`` and ``target`` nodes and the box their routes stay near."""
+    requests = unique(requests, ["req_id"], "req_id")
     at = router.nodes.select(F.col("id").alias("node_id"), "x", "y")
     snapped = snap_ends(router, requests).join(at, "node_id")
     pick = lambda role, c: F.max(F.when(F.col("role") == role, F.col(c)))
@@ -121,7 +124,7 @@ def route_rows(router: Router, run: B.Spread, columns: list[str] | None = None)
     before = Window.partitionBy("req_id", "cost_name").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     cost = F.coalesce(_edge_cost(router.blocks.costs), F.lit(0.0))
     return (
-        steps.join(edges, "edge", "left")
+        split_join(materialize(steps, "route-steps"), edges, ["edge"], ["req_id", "cost_name", "seq"], "left")
         .select("req_id", "cost_name", "seq", "node", "edge", cost.alias("step_cost"), *columns)
         .withColumn("agg_cost", F.coalesce(F.sum("step_cost").over(before), F.lit(0.0)))
         .select("req_id", "cost_name", "seq", "node", "edge", F.col("step_cost").alias("cost"), "agg_cost", *columns)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadloom.functions import geometry as G
 from roadloom.operators.ids import dense_id
+from roadloom.operators.skew import split_join
 from roadloom.operators.split import split_lines
 from roadloom.sources.schemas import WALK_EDGES, WALK_NODES
 from roadloom.sources.scratch import materialize
@@ -29,8 +30,8 @@ def split_road_links(roadlink: DataFrame, connectingnode: DataFrame) -> DataFram
     named = points.select("fid").dropDuplicates()
     links = roadlink.select(F.col("id").alias("fid"), "geom", "routehierarchy", "formofway")
     lines = materialize(links.join(named, "fid", "left_semi"), "named-links")
-    pieces = split_lines(lines.select("fid", "geom"), points)
-    return pieces.join(lines.select("fid", "routehierarchy", "formofway"), "fid").select(
+    pieces = materialize(split_lines(lines.select("fid", "geom"), points), "pieces")
+    return split_join(pieces, lines.select("fid", "routehierarchy", "formofway"), ["fid"], ["n"]).select(
         "fid", "n", F.lit("RoadLink").alias("type"), "routehierarchy", "formofway", "geom"
     )
 
