@@ -182,11 +182,14 @@ def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
     long = seeded.where(F.col("n_words") >= window)
     # written, so that the joins below have a plain shuffle on either side and a digest or seed with very many rows is split
     copies = materialize(long.groupBy("digest").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most").drop("most"), "copies")
-    # (key, whether the row's text came earlier in another document)
+    # whether a row's text came earlier in another document; without the seeds, which are long
     judged = materialize(
-        seeded.join(copies, "digest", "left").withColumn("copy", F.coalesce(F.col("key") > F.col("least"), F.lit(False))).drop("least"), "judged"
+        seeded.select("key", "body", "no", "n_words", "digest").join(copies, "digest", "left")
+        .withColumn("copy", F.coalesce(F.col("key") > F.col("least"), F.lit(False))).drop("least"),
+        "judged",
     )
-    grams = judged.where("not copy").select("no", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select(F.col("s.seeds").alias("seed"), "no", F.col("s.places").alias("place"))
+    first = seeded.select("no", "seeds", "places").join(judged.where("copy").select("no"), "no", "left_anti")
+    grams = first.select("no", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select(F.col("s.seeds").alias("seed"), "no", F.col("s.places").alias("place"))
     shared = materialize(grams.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed"), "shared")
     places = grams.join(shared, "seed").groupBy("no").agg(F.collect_list("place").alias("places"))
     # rows equal in doc_id and text are asked once and answered alike
