@@ -63,16 +63,16 @@ def least_matches(threshold: float, tolerance: float) -> dict[int, int]:
 
 
 def _sets(batches):
-    """Per row: id, place, digest of the set and its band keys."""
+    """Per row: id, place, body (a hash of the text), digest of the set and its band keys."""
     for batch in batches:
         for w in word_chunks(batch.column("text")):
             sets = shingles(w, word_hashes(w), WORDS)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(c).slice(w.first, w.last - w.first) for c in ("id", "place")), _digests(sets),
+                    *(batch.column(c).slice(w.first, w.last - w.first) for c in ("id", "place", "body")), _digests(sets),
                     pa.array([signature(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
                 ],
-                names=["id", "place", "digest", "keys"],
+                names=["id", "place", "body", "digest", "keys"],
             )
 
 
@@ -81,10 +81,16 @@ def _digests(sets: list[np.ndarray]) -> pa.Array:
 
 
 def _elements(batches):
+    """(class, elements) from texts with the class they were asked for and its digest; a text of another set is left out."""
     for batch in batches:
         for w in word_chunks(batch.column("text")):
             sets = shingles(w, word_hashes(w), WORDS)
-            yield pa.RecordBatch.from_arrays([_digests(sets), pa.array([s.tobytes() for s in sets], pa.binary())], names=["digest", "elements"])
+            wanted = batch.column("digest").slice(w.first, w.last - w.first).to_pylist()
+            same = [i for i, d in enumerate(_digests(sets).to_pylist()) if d == wanted[i]]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("class").slice(w.first, w.last - w.first).take(pa.array(same, pa.int64())), pa.array([sets[i].tobytes() for i in same], pa.binary())],
+                names=["class", "elements"],
+            )
 
 
 def _shared_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -159,21 +165,21 @@ def _verify(threshold: float, tolerance: float):
 
 def _judged(rows: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     """(id, place, class_id, n_links, component_id, kept) of every row of (id, place, text)."""
-    known = rows.where("id is not null")
+    known = rows.where("id is not null").withColumn("body", F.xxhash64("text"))
     # the row number is written with the sets, so it stays the same from here on
     sets = materialize(
-        known.mapInArrow(tidy(_sets), "id long, place string, digest binary, keys array<long>").withColumn("row", F.monotonically_increasing_id()), "sets"
+        known.mapInArrow(tidy(_sets), "id long, place string, body long, digest binary, keys array<long>").withColumn("row", F.monotonically_increasing_id()), "sets"
     )
     first = sets.where("digest is not null").groupBy("digest").agg(
-        F.min(F.struct("id", "row")).alias("first"), F.count("*").alias("copies"), F.any_value("keys").alias("keys")
+        F.min(F.struct("id", "row", "body")).alias("first"), F.count("*").alias("copies"), F.any_value("keys").alias("keys")
     )
-    classes = materialize(first.select("digest", F.col("first.row").alias("id"), F.col("first.id").alias("class_id"), "copies", "keys"), "classes")
+    classes = materialize(first.select("digest", F.col("first.row").alias("id"), F.col("first.id").alias("class_id"), "first.body", "copies", "keys"), "classes")
     pairs = materialize(block_pairs(classes.select("id", "keys")).drop("bucket"), "pairs")
-    asked = classes.join(pairs.select("id").distinct(), "id", "left_semi").select("class_id", "digest")
+    asked = classes.join(pairs.select("id").distinct(), "id", "left_semi").select(F.col("id").alias("class"), F.col("class_id").alias("id"), "body", "digest")
     # one plan at every size: a merge join, also where the ids would be few enough to broadcast
-    texts = known.join(asked.select(F.col("class_id").alias("id")).distinct().hint("merge"), "id", "left_semi")
-    elements = texts.select("text").mapInArrow(tidy(_elements), "digest binary, elements binary").join(asked.select("digest").hint("merge"), "digest", "left_semi").dropDuplicates(["digest"])
-    work = pairs.join(classes.select("id", "digest", "copies", "keys").join(elements, "digest").drop("digest"), "id")
+    texts = known.join(asked.hint("merge"), ["id", "body"]).select("class", "digest", "text")
+    elements = texts.mapInArrow(tidy(_elements), "class long, elements binary").dropDuplicates(["class"]).withColumnRenamed("class", "id")
+    work = pairs.join(classes.select("id", "copies", "keys").join(elements, "id"), "id")
     found = materialize(
         work.repartition("band", "key", "lo", "hi").sortWithinPartitions("band", "key", "lo", "hi")
         .mapInArrow(tidy(_verify(threshold, tolerance)), "id long, links long, to long"),
