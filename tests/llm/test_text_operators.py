@@ -243,7 +243,57 @@ def test_source_mix_reaches_the_target_of_every_source(spark):
         target[source] = r.target
         assert (r.taken > 0) == (r.first_slot is not None) and (r.first_slot is None or 0 <= r.first_slot < source_mix.SLOTS)
     assert len(target) == 6 and all(target.values()) and all(abs(taken[s] - target[s]) <= 1 for s in target)
-    assert len({r.first_slot for r in got if r.doc_id >= 1000}) == 5
+    assert len({r.first_slot for r in got if r.doc_id >= 1000}) >= 5
+
+
+def _mixed_by_hand(rows, order, phi):
+    """taken per doc_id of rows (doc_id, words, source) with their hashed order and targets: slots one by one, words one by one."""
+    exact = {s: t for _, _, s, t in rows}
+    size = collections.Counter()
+    for _, n, s, _ in rows:
+        size[s] += n
+    names = sorted((s for s in exact if exact[s] > 0), key=lambda s: (s is None, s or ""))
+    most, unit = max(exact.values()), source_mix.UNIT
+    tier = {s: math.floor(math.log(most / exact[s]) / math.log(source_mix.SPAN)) for s in names}
+    taken = collections.Counter()
+    for t in set(tier.values()):
+        here = [s for s in names if tier[s] == t]
+        block = max(1, math.floor(min(exact[s] for s in here) * unit / source_mix.BLOCKS))
+        whole = {s: round(exact[s] * unit) // block for s in here}
+        n, bounds, total = sum(whole.values()), [], 0
+        for s in here:
+            total += whole[s]
+            bounds.append(total / n)
+        bounds[-1] = 1.0
+        had = collections.Counter()
+        for i in range(n):
+            x = (i + 0.5) * phi
+            had[here[next(k for k, high in enumerate(bounds) if x - math.floor(x) < high)]] += 1
+        for s in here:
+            rest = round(exact[s] * unit) - whole[s] * block
+            end = max(-(-had[s] * block // unit), (had[s] * block + rest + unit // 2) // unit)
+            laid = [i for i in order if i in {r[0] for r in rows if r[2] == s} for _ in range({r[0]: r[1] for r in rows}[i])]
+            taken.update((laid * 2)[:end])
+    return taken
+
+
+def test_source_mix_takes_what_the_schedule_brings(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(i, "w " * int(n), "abcdefg"[int(s)]) for i, (n, s) in enumerate(zip(rng.integers(0, 90, 80), rng.integers(0, 7, 80) % 7, strict=True))]
+    rows += [(100 + i, "w " * 3, None) for i in range(2)] + [(200 + i, "w " * 4000, "h") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    size = {i: len(t.split()) for i, t, _ in rows}
+    by_hash = F.xxhash64("doc_id", F.size(F.filter(F.split("text", " "), lambda x: x != "")).cast("long"), F.lit(5))
+    order = [r.doc_id for r in docs.withColumn("h", by_hash).withColumn("range", F.shiftrightunsigned("h", 52)).orderBy("range", "h", "doc_id").collect()]
+    results = []
+    for phi in (source_mix.PHI, 0.4):  # points of another multiplier are not evenly spread: another schedule takes other words
+        monkeypatch.setattr(source_mix, "PHI", phi)
+        got = by_id(source_mix.mix(docs))
+        target = {i: got[i].target for i in got}
+        want = _mixed_by_hand([(i, size[i], s, target[i]) for i, _, s in rows], order, phi)
+        assert {i: r.taken for i, r in got.items()} == {i: want[i] for i in got}
+        results.append({i: r.taken for i, r in got.items()})
+    assert results[0] != results[1]
 
 
 def test_source_mix_takes_rows_without_or_with_repeated_ids(spark, nothing):
