@@ -112,29 +112,53 @@ def _shared_counts(left: list[np.ndarray], right: list[np.ndarray], width: int =
     return out
 
 
+def _likely(t: pa.Table, band: int, halves: bool, needed: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Places (a, b) of the pairs of a group that first meet in this band and that no step of the comparison drops."""
+    none = np.zeros(0, np.int64)
+    second = t.column("second").to_numpy()
+    keys = np.stack(t.column("keys").to_numpy())
+    left, right = (np.flatnonzero(~second), np.flatnonzero(second)) if halves else (np.arange(len(second)),) * 2
+    if not len(left) or not len(right):
+        return none, none
+    alive = first_shared(keys[left], keys[right], band)
+    if not halves:
+        alive = np.triu(alive, 1)
+    a, b = np.nonzero(alive)
+    a, b = left[a], right[b]
+    values = np.ascontiguousarray(keys).view(np.uint16)
+    matches = np.zeros(len(a), np.int32)
+    for n in range(STEP, VALUES + 1, STEP):
+        if not len(a):
+            break
+        matches += (values[a, n - STEP : n] == values[b, n - STEP : n]).sum(1, dtype=np.int32)
+        likely = matches >= needed[n]
+        a, b, matches = a[likely], b[likely], matches[likely]
+    return a, b
+
+
+GROUP = ["band", "key", "lo", "hi"]
+
+
+def _prune(threshold: float, tolerance: float):
+    """The members of each group that have a likely pair in it; the others need no sets there."""
+    needed = least_matches(threshold, tolerance)
+
+    def run(batches):
+        for (band, _, lo, hi), t in grouped(batches, GROUP):
+            some = np.unique(np.concatenate(_likely(t, band, lo != hi, needed)))
+            if len(some):
+                yield from t.select([*GROUP, "second", "id"]).take(pa.array(some)).combine_chunks().to_batches()
+
+    return run
+
+
 def _verify(threshold: float, tolerance: float):
     needed = least_matches(threshold, tolerance)
 
     def run(batches):
-        for (band, _, lo, hi), t in grouped(batches, ["band", "key", "lo", "hi"]):
-            ids, copies, second = (t.column(c).to_numpy() for c in ("id", "copies", "second"))
-            keys = np.stack(t.column("keys").to_numpy())
-            left, right = (np.flatnonzero(~second), np.flatnonzero(second)) if lo != hi else (np.arange(len(ids)),) * 2
-            if not len(left) or not len(right):
-                continue
-            alive = first_shared(keys[left], keys[right], band)
-            if lo == hi:
-                alive = np.triu(alive, 1)
-            a, b = np.nonzero(alive)
-            a, b = left[a], right[b]
-            values = np.ascontiguousarray(keys).view(np.uint16)
-            matches = np.zeros(len(a), np.int32)
-            for n in range(STEP, VALUES + 1, STEP):
-                if not len(a):
-                    break
-                matches += (values[a, n - STEP : n] == values[b, n - STEP : n]).sum(1, dtype=np.int32)
-                likely = matches >= needed[n]
-                a, b, matches = a[likely], b[likely], matches[likely]
+        for (band, _, lo, hi), t in grouped(batches, GROUP):
+            ids, copies = (t.column(c).to_numpy() for c in ("id", "copies"))
+            a, b = _likely(t, band, lo != hi, needed)
             if not len(a):
                 continue
             rows, cols = np.unique(a), np.unique(b)
@@ -163,6 +187,10 @@ def _verify(threshold: float, tolerance: float):
     return run
 
 
+def _in_groups(members: DataFrame) -> DataFrame:
+    return members.repartition(*GROUP).sortWithinPartitions(*GROUP)
+
+
 def _judged(rows: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     """(id, place, class_id, n_links, component_id, kept) of every row of (id, place, text)."""
     known = rows.where("id is not null").withColumn("body", F.xxhash64("text"))
@@ -174,17 +202,19 @@ def _judged(rows: DataFrame, threshold: float, tolerance: float) -> DataFrame:
         F.min(F.struct("id", "row", "body")).alias("first"), F.count("*").alias("copies"), F.any_value("keys").alias("keys")
     )
     classes = materialize(first.select("digest", F.col("first.row").alias("id"), F.col("first.id").alias("class_id"), "first.body", "copies", "keys"), "classes")
-    pairs = materialize(block_pairs(classes.select("id", "keys")).drop("bucket"), "pairs")
-    asked = classes.join(pairs.select("id").distinct(), "id", "left_semi").select(F.col("id").alias("class"), F.col("class_id").alias("id"), "body", "digest")
+    # signatures first: sets are fetched only for members with a likely pair, in the one band where the pair first meets
+    pairs = block_pairs(classes.select("id", "keys")).drop("bucket")
+    likely = materialize(
+        _in_groups(pairs.join(classes.select("id", "keys"), "id")).select(*GROUP, "second", "id", "keys")
+        .mapInArrow(tidy(_prune(threshold, tolerance)), "band int, key long, lo int, hi int, second boolean, id long"),
+        "likely",
+    )
+    asked = classes.join(likely.select("id").distinct(), "id", "left_semi").select(F.col("id").alias("class"), F.col("class_id").alias("id"), "body", "digest")
     # one plan at every size: a merge join, also where the ids would be few enough to broadcast
     texts = known.join(asked.hint("merge"), ["id", "body"]).select("class", "digest", "text")
     elements = texts.mapInArrow(tidy(_elements), "class long, elements binary").dropDuplicates(["class"]).withColumnRenamed("class", "id")
-    work = pairs.join(classes.select("id", "copies", "keys").join(elements, "id"), "id")
-    found = materialize(
-        work.repartition("band", "key", "lo", "hi").sortWithinPartitions("band", "key", "lo", "hi")
-        .mapInArrow(tidy(_verify(threshold, tolerance)), "id long, links long, to long"),
-        "links",
-    )
+    work = likely.join(classes.select("id", "copies", "keys").join(elements, "id"), "id")
+    found = materialize(_in_groups(work).mapInArrow(tidy(_verify(threshold, tolerance)), "id long, links long, to long"), "links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     parts = materialize(components(found.where("to <> id").select(F.col("id").alias("u"), F.col("to").alias("v")), "components"), "parts")
     # the row of a component that has the smallest doc_id
