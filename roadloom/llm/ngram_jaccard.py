@@ -32,6 +32,7 @@ THRESHOLD = 0.8
 VALUES, BAND = 128, 4
 TOLERANCE = 1e-6
 STEP = 16
+BLOCK, SIDE = 1024, 256  # members of a block; sets of each side that are compared at a time
 _rng = np.random.default_rng(7)
 _A = (_rng.integers(1, 1 << 32, VALUES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _X = _rng.integers(0, 1 << 32, VALUES, dtype=np.uint64).astype(np.uint32)
@@ -136,6 +137,24 @@ def _likely(t: pa.Table, band: int, halves: bool, needed: dict[int, int]) -> tup
     return a, b
 
 
+def _reaching(blobs: pa.ChunkedArray, a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs (a, b) of places in ``blobs`` reach the threshold exactly; the sets of ``SIDE`` by ``SIDE`` places are open at a time."""
+    linked = np.zeros(len(a), bool)
+    rows, row = np.unique(a, return_inverse=True)
+    cols, col = np.unique(b, return_inverse=True)
+    wide = -(-len(cols) // SIDE)
+    part = row // SIDE * wide + col // SIDE
+    order = np.argsort(part, kind="stable")
+    for these in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+        i0, j0 = row[these[0]] // SIDE * SIDE, col[these[0]] // SIDE * SIDE
+        left, right = ([np.frombuffer(blobs[int(i)].as_py(), np.uint64) for i in places] for places in (rows[i0 : i0 + SIDE], cols[j0 : j0 + SIDE]))
+        i, j = row[these] - i0, col[these] - j0
+        shared = _shared_counts(left, right)[i, j]
+        union = np.array([len(x) for x in left])[i] + np.array([len(x) for x in right])[j] - shared
+        linked[these] = shared >= threshold * union - 1e-9 * union
+    return linked
+
+
 GROUP = ["band", "key", "lo", "hi"]
 
 
@@ -161,12 +180,7 @@ def _verify(threshold: float, tolerance: float):
             a, b = _likely(t, band, lo != hi, needed)
             if not len(a):
                 continue
-            rows, cols = np.unique(a), np.unique(b)
-            blobs = t.column("elements")
-            sets = {int(i): np.frombuffer(blobs[int(i)].as_py(), np.uint64) for i in np.union1d(rows, cols)}
-            shared = _shared_counts([sets[int(i)] for i in rows], [sets[int(i)] for i in cols])[np.searchsorted(rows, a), np.searchsorted(cols, b)]
-            union = np.array([len(sets[int(i)]) + len(sets[int(j)]) for i, j in zip(a, b, strict=True)]) - shared
-            linked = shared >= threshold * union - 1e-9 * union
+            linked = _reaching(t.column("elements"), a, b, threshold)
             a, b = a[linked], b[linked]
             if not len(a):
                 continue
@@ -203,7 +217,7 @@ def _judged(rows: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     )
     classes = materialize(first.select("digest", F.col("first.row").alias("id"), F.col("first.id").alias("class_id"), "first.body", "copies", "keys"), "classes")
     # signatures first: sets are fetched only for members with a likely pair, in the one band where the pair first meets
-    pairs = block_pairs(classes.select("id", "keys")).drop("bucket")
+    pairs = block_pairs(classes.select("id", "keys"), BLOCK).drop("bucket")
     likely = materialize(
         _in_groups(pairs.join(classes.select("id", "keys"), "id")).select(*GROUP, "second", "id", "keys")
         .mapInArrow(tidy(_prune(threshold, tolerance)), "band int, key long, lo int, hi int, second boolean, id long"),

@@ -72,9 +72,8 @@ def test_jaccard_join_equals_brute_force(docs, nothing):
 
 def test_jaccard_join_in_small_blocks(docs, monkeypatch):
     whole = {tuple(r) for r in ngram_jaccard.jaccard_join(docs).collect()}
-    from roadloom.llm import pairs
-
-    monkeypatch.setattr(ngram_jaccard, "block_pairs", lambda m: pairs.block_pairs(m, 3))
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", 3)
+    monkeypatch.setattr(ngram_jaccard, "SIDE", 2)
     assert {tuple(r) for r in ngram_jaccard.jaccard_join(docs).collect()} == whole
 
 
