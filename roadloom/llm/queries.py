@@ -33,11 +33,48 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_near_dup.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+_SQL["op10_embedding_near_dedup"] = r"""
+with recursive v as (
+  select vec_id, label, embedding::double[] as e from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+n as (select *, sqrt(list_sum(list_transform(e, lambda x: x * x))) as size, min(vec_id) over (partition by label, e) as class_id from v),
+links as (
+  select a.vec_id as u, b.vec_id as v from n a join n b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e) and a.size > 0 and b.size > 0
+  where list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.93),
+reach as (select distinct u, u as r from links union select reach.u, links.v from reach join links on links.u = reach.r),
+least as (select u, min(r) as c from reach group by u),
+degree as (select u, count(*) as d from links group by u)
+select e.vec_id, coalesce(n.class_id, e.vec_id) as class_id, coalesce(d, 0)::bigint as n_links, coalesce(c, e.vec_id)::bigint as component_id,
+  coalesce(c, e.vec_id) = e.vec_id as kept
+from embeddings e left join n on n.vec_id = e.vec_id and n.size > 0 left join degree on degree.u = e.vec_id left join least on least.u = e.vec_id
+"""
+
+
 @query
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.jaccard_join(read(spark, sf_dir, "documents"))
 
 
+_SQL["op1_ngram_jaccard_join"] = r"""
+with recursive w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+sets as (
+  select doc_id, list_sort(list_distinct(case when len(words) < 5 then [words]
+    else list_transform(range(1, len(words) - 3), lambda i: words[i:i + 4]) end)) as elements from w where len(words) > 0),
+classes as (select elements, min(doc_id) as class_id, count(*) as copies from sets group by elements),
+grams as (select class_id, unnest(elements) as g from classes),
+shared as (select a.class_id as u, b.class_id as v, count(*) as n from grams a join grams b on a.g = b.g and a.class_id <> b.class_id group by all),
+sized as (select class_id, copies, len(elements) as m from classes),
+links as (select u, v, b.copies from shared join sized a on a.class_id = u join sized b on b.class_id = v where n >= 0.8 * (a.m + b.m - n)),
+reach as (select distinct u, u as r from links union select reach.u, links.v from reach join links on links.u = reach.r),
+least as (select u, min(r) as c from reach group by u),
+degree as (select u, sum(copies) as d from links group by u),
+placed as (select s.doc_id, k.class_id, k.copies from sets s join classes k on k.elements = s.elements)
+select d.doc_id, coalesce(p.class_id, d.doc_id) as class_id, (coalesce(degree.d, 0) + coalesce(p.copies, 1) - 1)::bigint as n_links,
+  coalesce(least.c, p.class_id, d.doc_id) as component_id, coalesce(least.c, p.class_id, d.doc_id) = d.doc_id as kept
+from documents d left join placed p on p.doc_id = d.doc_id left join degree on degree.u = p.class_id left join least on least.u = p.class_id
+"""
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_files(spark, f"{sf_dir}/documents.parquet").drop("locator")
@@ -60,6 +97,21 @@ def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_revisits.archive_pages(read(spark, sf_dir, "pages")).drop("url")
 
 
+_SQL["op6_warc_revisits"] = r"""
+with p as (select page_id, coalesce(html, '') as body from pages),
+last as (select body, max(page_id) as largest from p group by body),
+d as (select page_id, largest, octet_length(encode(body))::bigint as payload_bytes, sha1(body) as h from p join last using (body)),
+-- five hexadecimal digits are twenty bits, four letters of base 32
+b as (select *, list_transform(range(0, 40, 5), lambda i: list_reduce(
+    list_prepend(0, list_transform(range(1, 6), lambda k: instr('0123456789abcdef', substr(h, (i + k)::int, 1)) - 1)), lambda x, y: 16 * x + y)) as parts from d),
+c as (select *, list_transform(parts, lambda x: concat(
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (x // 32768 + 1)::int, 1), substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (x // 1024 % 32 + 1)::int, 1),
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (x // 32 % 32 + 1)::int, 1), substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (x % 32 + 1)::int, 1))) as letters from b)
+select page_id, payload_bytes, array_to_string(letters, '') as payload_digest, case when page_id = largest then 'response' else 'revisit' end as record_type,
+  case when page_id < largest then largest end as refers_to from c
+"""
+
+
 @query
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(read(spark, sf_dir, "documents"))
@@ -85,6 +137,23 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeats(read(spark, sf_dir, "documents"))
 
 
+_SQL["op3_substring_dedup"] = r"""
+with t as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+w as (select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as pos from t),
+starts as (select doc_id, unnest(range(1, len(words) - 18)) as pos, words from t where len(words) >= 20),
+seqs as (select doc_id, pos, array_to_string(words[pos:pos + 19], ' ') as seq from starts),
+later as (select doc_id, pos, row_number() over (partition by seq order by doc_id, pos) > 1 as again from seqs),
+gone as (
+  select w.doc_id, w.pos, word, coalesce(max(case when again then 1 else 0 end) over (partition by w.doc_id order by w.pos rows between 19 preceding and current row), 0) = 1 as removed
+  from w left join later l on l.doc_id = w.doc_id and l.pos = w.pos),
+kept as (
+  select doc_id, count(*) filter (where removed) as n_removed, sha256(coalesce(string_agg(word, ' ' order by pos) filter (where not removed), '')) as kept_sha256
+  from gone group by doc_id)
+select t.doc_id, len(words)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, coalesce(kept_sha256, sha256('')) as kept_sha256
+from t left join kept on kept.doc_id = t.doc_id
+"""
+
+
 @query
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
