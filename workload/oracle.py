@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-from roadloom.functions import projection as P
 from roadloom.sources.schemas import PERIODS
 from workload.fixtures import with_clause
 
@@ -225,22 +224,34 @@ def _hms(seconds: str) -> str:
 
 # --- grid projection ----------------------------------------------------------------------------------------------
 
+# Fixed values of the published guide to the national grid, written out here so that the module under test is not its own measure:
+# ellipsoids (semi-axes in metres), scale and origin of the projection, shift from WGS84 (metres, parts per million, seconds).
+_WGS84 = (6378137.0, 6356752.3141)
+_AIRY = (6377563.396, 6356256.909)
+_SCALE = 0.9996012717
+_LAT, _LON = math.radians(49), math.radians(-2)
+_SHIFT, _PPM, _SECONDS = (-446.448, 125.157, -542.060), 20.4894, (-0.1502, -0.2470, -0.8421)
+
+
+def _flat(ellipsoid) -> float:
+    return 1 - (ellipsoid[1] / ellipsoid[0]) ** 2
+
 
 def _cartesian(source: str, ellipsoid) -> str:
-    a, e2 = ellipsoid[0], P._e2(ellipsoid)
+    a, e2 = ellipsoid[0], _flat(ellipsoid)
     return f"""select k, nu*cos(phi)*cos(lam) as x, nu*cos(phi)*sin(lam) as y, {1 - e2!r}*nu*sin(phi) as z
       from (select *, {a}/sqrt(1-{e2!r}*sin(phi)*sin(phi)) as nu from {source}) c"""
 
 
 def _shift(source: str, sign: int) -> str:
-    tx, ty, tz = (sign * t for t in P.SHIFT)
-    s = 1 + sign * P.SHIFT_PPM * 1e-6
-    rx, ry, rz = (sign * math.radians(r / 3600) for r in P.SHIFT_SECONDS)
+    tx, ty, tz = (sign * t for t in _SHIFT)
+    s = 1 + sign * _PPM * 1e-6
+    rx, ry, rz = (sign * math.radians(r / 3600) for r in _SECONDS)
     return f"""select k, {tx}+{s!r}*x-({rz!r})*y+({ry!r})*z as x, {ty}+({rz!r})*x+{s!r}*y-({rx!r})*z as y, {tz}-({ry!r})*x+({rx!r})*y+{s!r}*z as z from {source}"""
 
 
 def _geodetic(source: str, ellipsoid) -> str:
-    a, e2 = ellipsoid[0], P._e2(ellipsoid)
+    a, e2 = ellipsoid[0], _flat(ellipsoid)
     text = f"(select k, atan2(y,x) as lam, sqrt(x*x+y*y) as r, z, atan2(z, sqrt(x*x+y*y)*{1 - e2!r}) as phi from {source})"
     for _ in range(6):
         text = f"(select k, lam, r, z, atan2(z+{e2!r}*{a}/sqrt(1-{e2!r}*sin(phi)*sin(phi))*sin(phi), r) as phi from {text} g)"
@@ -248,16 +259,16 @@ def _geodetic(source: str, ellipsoid) -> str:
 
 
 def _meridian(phi: str) -> str:
-    a, b = P.AIRY
-    n, o = (a - b) / (a + b), P.ORIGIN_LAT
+    a, b = _AIRY
+    n, o = (a - b) / (a + b), _LAT
     return (
-        f"({b * P.SCALE!r}*({1 + n + 5 / 4 * n**2 + 5 / 4 * n**3!r}*({phi}-{o!r})-{3 * n + 3 * n**2 + 21 / 8 * n**3!r}*sin({phi}-{o!r})*cos({phi}+{o!r})"
+        f"({b * _SCALE!r}*({1 + n + 5 / 4 * n**2 + 5 / 4 * n**3!r}*({phi}-{o!r})-{3 * n + 3 * n**2 + 21 / 8 * n**3!r}*sin({phi}-{o!r})*cos({phi}+{o!r})"
         f"+{15 / 8 * n**2 + 15 / 8 * n**3!r}*sin(2*({phi}-{o!r}))*cos(2*({phi}+{o!r}))-{35 / 24 * n**3!r}*sin(3*({phi}-{o!r}))*cos(3*({phi}+{o!r}))))"
     )
 
 
-_A = P.AIRY[0] * P.SCALE
-_E = P._e2(P.AIRY)
+_A = _AIRY[0] * _SCALE
+_E = _flat(_AIRY)
 _NU = f"{_A!r}/sqrt(1-{_E!r}*sin(phi)*sin(phi))"
 _RHO = f"{_A * (1 - _E)!r}/power(1-{_E!r}*sin(phi)*sin(phi), 1.5)"
 
@@ -266,17 +277,17 @@ def _project(source: str) -> str:
     return f"""select k,
       400000+nu*c*d+nu/6*power(c,3)*(nu/rho-t2)*power(d,3)+nu/120*power(c,5)*(5-18*t2+t2*t2+14*eta-58*t2*eta)*power(d,5) as x,
       m-100000+nu/2*s*c*d*d+nu/24*s*power(c,3)*(5-t2+9*eta)*power(d,4)+nu/720*s*power(c,5)*(61-58*t2+t2*t2)*power(d,6) as y
-      from (select *, nu/rho-1 as eta from (select k, lam-({P.ORIGIN_LON!r}) as d, sin(phi) as s, cos(phi) as c, tan(phi)*tan(phi) as t2, {_NU} as nu, {_RHO} as rho, {_meridian('phi')} as m
+      from (select *, nu/rho-1 as eta from (select k, lam-({_LON!r}) as d, sin(phi) as s, cos(phi) as c, tan(phi)*tan(phi) as t2, {_NU} as nu, {_RHO} as rho, {_meridian('phi')} as m
         from {source}) p) p"""
 
 
 def _unproject(source: str) -> str:
-    text = f"(select k, x-400000 as e, y+100000 as n, (y+100000)/{_A!r}+{P.ORIGIN_LAT!r} as phi from {source})"
+    text = f"(select k, x-400000 as e, y+100000 as n, (y+100000)/{_A!r}+{_LAT!r} as phi from {source})"
     for _ in range(4):
         text = f"(select k, e, n, phi+(n-{_meridian('phi')})/{_A!r} as phi from {text} u)"
     return f"""select k,
       phi-t/(2*rho*nu)*e*e+t/(24*rho*power(nu,3))*(5+3*t*t+eta-9*t*t*eta)*power(e,4)-t/(720*rho*power(nu,5))*(61+90*t*t+45*power(t,4))*power(e,6) as phi,
-      {P.ORIGIN_LON!r}+sec/nu*e-sec/(6*power(nu,3))*(nu/rho+2*t*t)*power(e,3)+sec/(120*power(nu,5))*(5+28*t*t+24*power(t,4))*power(e,5)
+      {_LON!r}+sec/nu*e-sec/(6*power(nu,3))*(nu/rho+2*t*t)*power(e,3)+sec/(120*power(nu,5))*(5+28*t*t+24*power(t,4))*power(e,5)
         -sec/(5040*power(nu,7))*(61+662*t*t+1320*power(t,4)+720*power(t,6))*power(e,7) as lam
       from (select *, nu/rho-1 as eta from (select k, e, phi, tan(phi) as t, 1/cos(phi) as sec, {_NU} as nu, {_RHO} as rho from {text} u) u) u"""
 
@@ -284,13 +295,13 @@ def _unproject(source: str) -> str:
 def _to_lonlat(points: str) -> dict[str, str]:
     """CTE chain ending in ``lonlat(k, lam, phi)`` from ``points`` selecting (k, x, y)."""
     return {
-        "xy": points, "local": _unproject("xy"), "c1": _cartesian("local", P.AIRY), "c2": _shift("c1", -1), "lonlat": _geodetic("c2", P.WGS84),
+        "xy": points, "local": _unproject("xy"), "c1": _cartesian("local", _AIRY), "c2": _shift("c1", -1), "lonlat": _geodetic("c2", _WGS84),
     }
 
 
 _TO_GRID = {
     "here": "select c_custkey as k, radians(-6 + (c_custkey*37%7000)/1000e0) as lam, radians(50 + (c_custkey*53%8000)/1000e0) as phi from customer",
-    "c1": _cartesian("here", P.WGS84), "c2": _shift("c1", 1), "local": _geodetic("c2", P.AIRY), "xy": _project("local"),
+    "c1": _cartesian("here", _WGS84), "c2": _shift("c1", 1), "local": _geodetic("c2", _AIRY), "xy": _project("local"),
 }
 
 
