@@ -327,6 +327,47 @@ def test_best_fit(docs, nothing):
     assert best_fit.best_fit(nothing).count() == 0
 
 
+def _packed_by_hand(sizes, lengths, extra):
+    """Decreasing best fit by looking at every bin for every piece: (bin, offset) of each piece and the final length of each bin."""
+    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
+    bins, where = [], {}
+    fitting = lambda n: min(x for x in lengths if x >= n)
+    for k, i in enumerate(order):
+        open_bins = [(room - sizes[i], b) for b, (room, _) in enumerate(bins) if room >= sizes[i]]
+        if open_bins:
+            _, b = min(open_bins)
+        else:
+            costs = []
+            for length in (x for x in lengths if x >= sizes[i]):
+                left = length - sizes[i]
+                after = sum(sizes[j] for j in order[k + 1 :] if sizes[j] <= left)
+                full = sizes[i] + min(left, after)
+                costs.append(((fitting(full) + extra) / full, length))
+            b = len(bins)
+            bins.append((min(costs)[1], 0))
+        room, used = bins[b]
+        where[i] = (b, used)
+        bins[b] = (room - sizes[i], used + sizes[i])
+    return [where[i] for i in range(len(sizes))], [fitting(used) for _, used in bins]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_packing_equals_brute_force(seed):
+    rng = np.random.default_rng(seed)
+    sizes = [rng.integers(1, 129, 200), np.full(60, 32), np.repeat([128, 64, 1], 30), rng.geometric(0.05, 300).clip(1, 128), np.array([5]), rng.integers(1, 9, 400)][seed]
+    places, final = _packed_by_hand(sizes.tolist(), (32, 64, 128), 16)
+    bins, offsets, capacity = best_fit.pack(sizes, (32, 64, 128), 16)
+    assert list(zip(bins.tolist(), offsets.tolist(), strict=True)) == places and capacity.tolist() == final
+    assert [len(x) for x in best_fit.pack(np.zeros(0, np.int64), (32, 64, 128), 16)] == [0, 0, 0]
+
+
+def test_best_fit_without_or_with_repeated_ids(spark):
+    rows = [(None, "w " * 10)] * 3 + [(7, "w " * 40), (7, "w " * 9), (7, None), (8, "w " * 700)]
+    got = best_fit.best_fit(spark.createDataFrame(rows, "doc_id long, text string"), lengths=(32, 64), shard=8).collect()
+    assert sorted((r.doc_id is None, r.length) for r in got if r.doc_id != 8) == [(False, 0), (False, 9), (False, 40), (True, 10), (True, 10), (True, 10)]
+    assert sum(r.length for r in got if r.doc_id == 8) == 700 and len({(r.bin_id, r.offset) for r in got if r.length}) == len(got) - 1
+
+
 def test_language_model(docs, nothing):
     low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     tokens = {i: [*WORD.findall((t or "").translate(low)), None] for i, t in enumerate(TEXTS)}
