@@ -106,3 +106,21 @@ def test_pipeline_decisions_take_effect(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, seen, SMALL)
     words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     assert packed.agg(F.sum("length")).first()[0] == sum(words(r.text) for r in seen.select("text").collect())
+
+
+CLASHING = ("row", "rank", "turn", "slot", "block", "first", "last", "place", "at", "mixed_at", "mixed_times", "keys", "digest", "id", "size", "words", "target")
+
+
+def test_pipeline_of_nothing_and_of_clashing_columns(spark, tmp_path):
+    few = spark.read.parquet(f"{SMALL}/documents.parquet").where("doc_id < 40")
+    clashing = few.select("*", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in CLASHING])
+    for no, docs in enumerate((few.where("false"), clashing)):
+        seen = docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            stage(spark, seen, SMALL).write.parquet(str(tmp_path / f"{no}-{name}"))
+            seen = spark.read.parquet(str(tmp_path / f"{no}-{name}"))
+            assert seen.columns == docs.columns
+        rows = seen.collect()
+        assert (no == 0) == (not rows) and all(r[c] == f"{c}{r.doc_id}" for r in rows for c in CLASHING if no)
+        packed = corpus_pipeline.STAGES[-1][1](spark, seen, SMALL).collect()
+        assert {r.doc_id for r in packed} == {r.doc_id for r in rows}
