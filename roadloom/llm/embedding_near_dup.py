@@ -7,7 +7,7 @@ bucket are checked with their cosine in double precision, block against block.
 
 Defined cases: a vector that is null, zero, or holds null or non-finite components links with nothing, nor does one without a label;
 vectors of different lengths do not link. Empty input gives no rows. Rows that repeat a ``vec_id`` are vectors of their own: classes are
-known by a written number, not by ``vec_id``. Vectors are scaled by a power of two first, so squares of very large or small components stay
+known by a written number, not by ``vec_id``. A row without ``vec_id`` links with nothing and is kept, without a component. Vectors are scaled by a power of two first, so squares of very large or small components stay
 finite. Other columns are ignored.
 """
 

@@ -11,7 +11,7 @@ still fills. Scores are counted in fixed bins per length class, which gives each
 Benjamini-Hochberg over all candidates keeps the discoveries at rate ``rate``. A class that no text fills takes the null of the next
 shorter one: the shorter plain text is, the more random it looks.
 
-Defined cases: a null text is empty; offsets are code points, end exclusive; rows that repeat a doc_id are reported one by one; empty input gives
+Defined cases: a null text is empty; offsets are code points, end exclusive; rows that repeat a doc_id or have none are reported one by one; empty input gives
 no rows; other columns are ignored.
 """
 
@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -159,6 +161,8 @@ def _null_cells(column: pa.Array) -> np.ndarray:
         first = before[w.start]
         left = before[np.cumsum(w.sizes)[w.row]] - first
         chosen = np.flatnonzero(left >= LEAST)
+        if not len(chosen):
+            continue
         first, left, chance = first[chosen], left[chosen], chance[chosen]
         fit = np.searchsorted(least[:-1], left, "right")
         kind = ((chance >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.int64) % fit
@@ -183,7 +187,10 @@ def _scan(batches):
             spans = base_spans(text)
             base.append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
             runs = [m.span() for m in LONG.finditer(text)]
-            free = [(s, e) for s, e in runs if not any(s < y and x < e for x, _, y in spans)]
+            # the spans that start before a run's end are the first ones; the run is free if none of them ends behind its start
+            starts = [x for x, _, _ in spans]
+            reach = [0, *accumulate((y for _, _, y in spans), max)]
+            free = [(s, e) for s, e in runs if reach[bisect_left(starts, e)] <= s]
             more.append([{"start": s, "end": e, "cell": length_class(e - s) * BINS + score_bin(battery(text[s:e]))} for s, e in free])
         span = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64())]))
         cand = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("cell", pa.int32())]))

@@ -10,7 +10,7 @@ The classifier is fitted on a bounded sample of the labelled training rows: the
 order of a hash of doc_id. Every text is scored whole. Only text enters a score.
 
 Defined cases: null, empty and wordless texts get the score of a document without any toxic token; rows that repeat a doc_id are scored
-one by one; labels that are null or neither 0 nor 1 are not learnt from; without toxic or without other labelled rows every score is the share of
+one by one; a row without doc_id is scored, not held out, and has no label; labels that are null or neither 0 nor 1 are not learnt from; without toxic or without other labelled rows every score is the share of
 toxic rows; empty input gives no rows; other columns are ignored.
 """
 

@@ -5,8 +5,10 @@ import hashlib
 import random
 
 import pytest
+from conftest import SMALL
+from pyspark.sql import functions as F
 
-from roadloom.llm import embedding_near_dup, ngram_jaccard, substring_dedup
+from roadloom.llm import best_fit, embedding_near_dup, gated_lm, ngram_jaccard, secret_scan, source_mix, substring_dedup, toxicity_crf
 
 chance = random.Random(12)
 VOCAB = ["".join(chance.choice("abcdefgh") for _ in range(4)) for _ in range(300)]
@@ -103,3 +105,36 @@ def test_vectors(spark):
     got = collections.Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_near_dup.near_duplicates(vectors).collect())
     flat = [(5, 4, 5, True)] + [(i, 4, 5, False) for i in (6, 7, 8, 9)]
     assert got == collections.Counter([(1, 1, 1, True)] * 2 + [(2, 1, 2, True)] * 2 + flat)
+
+
+def test_rows_without_or_with_repeated_ids_are_scored_alike(spark):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    none = docs.where("doc_id in (5, 6)").withColumn("doc_id", F.lit(None).cast("long"))
+    odd = docs.unionByName(docs.where("doc_id < 3")).unionByName(none).unionByName(docs.where("doc_id = 7").withColumn("text", F.lit(None).cast("string")))
+    for rows in (secret_scan.report(odd).collect(), toxicity_crf.report(odd, labels).collect(), gated_lm.log_likelihood(odd).collect()):
+        assert len(rows) == odd.count() and sum(r.doc_id is None for r in rows) == 2 and sum(r.doc_id in (0, 1, 2, 7) for r in rows) == 8
+        for i in (0, 1, 2):
+            one, two = (r.asDict() for r in rows if r.doc_id == i)
+            assert all(abs(one[c] - two[c]) < 1e-3 if isinstance(one[c], float) else one[c] == two[c] for c in one)
+        assert not any(r.asDict().get("held_out") for r in rows if r.doc_id is None)
+
+
+def test_vectors_without_id(spark):
+    vectors = spark.read.parquet(f"{SMALL}/embeddings.parquet")
+    odd = vectors.unionByName(vectors.where("vec_id < 2").withColumn("vec_id", F.lit(None).cast("long")))
+    got = embedding_near_dup.near_duplicates(odd)
+    assert [(r.n_links, r.component_id, r.kept) for r in got.where("vec_id is null").collect()] == [(0, None, True)] * 2
+    alone = embedding_near_dup.near_duplicates(vectors)
+    assert got.where("vec_id is not null").exceptAll(alone).count() == 0 == alone.exceptAll(got).count()
+
+
+def test_a_very_long_text(spark):
+    words = 400_000
+    rows = [(1, " ".join(f"w{i % 9973}" for i in range(words)) + " password=Ab3dEf6h", "s"), (2, "short one", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    scanned = {r.doc_id: r for r in secret_scan.report(docs).collect()}
+    assert (scanned[1].n_assign, scanned[2].n_assign) == (1, 0)
+    mixed = {r.doc_id: r for r in source_mix.mix(docs).collect()}
+    assert mixed[1].size == words + 1 and mixed[1].taken <= 2 * (words + 1) and abs(mixed[1].taken - mixed[1].target) < 0.004 * mixed[1].target
+    packed = best_fit.best_fit(docs).where("doc_id = 1").collect()
+    assert sum(r.length for r in packed) == words + 1 and max(r.length for r in packed) == 4096
