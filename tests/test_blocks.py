@@ -210,3 +210,54 @@ def test_no_requests_and_unknown_origins(spark):
     for rows in ([], [(1, 999, "way", 3)]):
         run = B.spread(g, spark.createDataFrame(rows, "req_id long, source long, cost string, target long"))
         assert run.reached().count() == B.labels(run).count() == B.paths(run).count() == 0
+
+
+def boxed(i, source, target, cost, limit=None, margin=150.0, nodes=()):
+    x, y = nodes[source][1:]
+    return i, source, target, cost, limit, x - margin, y - margin, x + margin, y + margin
+
+
+BOXED = "req_id long, source long, target long, cost string, max_cost double, lo_x double, lo_y double, hi_x double, hi_y double"
+
+
+def test_boxed_requests_need_no_steps_and_equal_heap_search(spark):
+    nodes, edges = make_graph(17, hub=True)
+    g = graph(spark, nodes, edges, 60)
+    asked = [boxed(i, (i * 29) % 145, None, ("way", "time")[i % 2], (None, 400.0, 0.8)[i % 3], 150.0 + 40 * (i % 7), nodes) for i in range(40)]
+    run = B.spread(g, spark.createDataFrame(asked, BOXED))
+    want = {}
+    for i, s, _, c, limit, *box in asked:
+        dist, via = search(edges, s, c, box, None if limit is None else int(limit * COSTS[c].scale + 0.5))
+        want |= {(i, n): (d, *via[n], *nodes[n][1:]) for n, d in dist.items()}
+    got = B.labels(run).join(run.requests.select("req_no", "req_id"), "req_no").collect()
+    assert {(r.req_id, r.node): (r.label, r.edge, r.prev, r.x, r.y) for r in got} == want and len(got) == len(want)
+    assert run.sent == 0  # before, boxes were searched block by block
+
+
+@pytest.mark.parametrize("rows,most", [(1 << 18, 0), (150, 1), (0, 1)])
+def test_boxes_with_many_arcs_go_by_steps_with_the_same_paths(spark, monkeypatch, rows, most):
+    monkeypatch.setattr(B, "PARTY_ROWS", rows)
+    monkeypatch.setattr(B, "PARTY_SLOTS", 1000)
+    nodes, edges = make_graph(19)
+    far = [(n + 200, x + 60_000.0, y) for n, x, y in nodes[:20]]  # a thin place, kept by the middle limit
+    edges += [(e[0] + 1000, e[1] + 200, e[2] + 200, *e[3:7], e[7] + 60_000, e[8], e[9] + 60_000, e[10]) for e in edges if e[2] is not None and e[1] < 20 and e[2] < 20]
+    g = graph(spark, nodes + far, edges, 60)
+    place = {n: at for n, *at in nodes + far}
+    pairs = [((i * 31) % 144, (i * 53 + 7) % 144) for i in range(30)] + [(200 + i, 219 - i) for i in range(9)]
+    asked = [(i, s, t, ("way", "time")[i % 2], None, place[s][0] - 400, place[s][1] - 400, place[s][0] + 400, place[s][1] + 400) for i, (s, t) in enumerate(pairs) if s != t]
+    want = {}
+    for i, s, t, c, _, *box in asked:
+        dist, via = search(edges, s, c, box)
+        while t in dist:
+            want[i, t] = (dist[t], *via[t])
+            t = via[t][1]
+    for goal_directed in (False, True):
+        run = B.spread(g, spark.createDataFrame(asked, BOXED), goal_directed)
+        who = run.requests.select("req_no", "req_id")
+        got = B.paths(run).join(who, "req_no").collect()
+        assert {(r.req_id, r.node): (r.label, r.edge, r.prev) for r in got} == want and len(got) == len(want)
+        ends = {r.req_id: r.label for r in run.reached().join(who, "req_no").collect()}
+        assert ends == {i: want[i, t][0] for i, _, t, *_ in asked if (i, t) in want}
+        assert (run.sent > 0) == bool(most)
+        parties = run.requests.where("party is not null").count()
+        assert parties == (len(asked) if not most else 9 if rows else 0)
