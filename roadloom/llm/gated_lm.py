@@ -82,6 +82,11 @@ class Vocabulary(NamedTuple):
         return np.where(ids >= 0, ids, FREQUENT + cls).astype(np.int32), np.where(known, self.counts[at], -1)
 
 
+def _tame(weights: np.ndarray, bias: np.ndarray):
+    """Whether logits of states within 1 are sure to lie between -60 and 60."""
+    return (np.abs(weights).sum(-2) + np.abs(bias)).max(-1) < 59
+
+
 class Net:
     """Parameters in one flat array, with views by name."""
 
@@ -118,58 +123,79 @@ class Net:
     def states(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool):
         """States after each of the steps of ``x`` (steps, streams); with ``keep`` also what the way back needs."""
         steps, n = x.shape
-        pre = self.wx[x]
+        # gate by gate, so that each lies in one piece; the gates' values take the place of what goes into them
+        wx, u = (np.ascontiguousarray(w.reshape(-1, 3, HIDDEN).transpose(1, 0, 2)) for w in (self.wx, self.u))
+        pre = np.take(wx, x, axis=1)
         out = np.empty((steps, n, HIDDEN), np.float32)
-        saved = [np.empty((steps, n, HIDDEN), np.float32) for _ in range(5)] if keep else None
+        inner, before = (np.empty((steps, n, HIDDEN), np.float32) for _ in range(2)) if keep else (None, None)
+        begins = fresh.any(1)
         for t in range(steps):
-            if fresh[t].any():
+            if begins[t]:
                 h = np.where(fresh[t][:, None], np.float32(0), h)
-            g = h @ self.u
-            a = pre[t]
-            gates = 1 / (1 + np.exp(-(a[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])))
-            z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-            c = 2 / (1 + np.exp(-2 * (a[:, 2 * HIDDEN :] + r * g[:, 2 * HIDDEN :]))) - 1
+            g = h @ u
+            gates, c = pre[:2, t], pre[2, t]
+            gates += g[:2]
+            np.negative(gates, out=gates)
+            np.exp(gates, out=gates)
+            gates += 1
+            np.divide(1, gates, out=gates)
+            z, r = gates
             if keep:
-                for place, value in zip(saved, (z, r, c, g[:, 2 * HIDDEN :], h), strict=True):
-                    place[t] = value
-            h = c + z * (h - c)
-            out[t] = h
-        return out, h, saved
+                inner[t], before[t] = g[2], h
+            c += np.multiply(r, g[2], out=g[2])
+            c *= -2
+            np.exp(c, out=c)
+            c += 1
+            np.divide(2, c, out=c)
+            c -= 1
+            h = np.subtract(h, c, out=out[t])
+            h *= z
+            h += c
+        return out, h, (*pre, inner, before)
 
     def outputs(self, h: np.ndarray, y: np.ndarray, grad: Net | None = None):
         """Natural log probability of each output (-1: none), and the states' gradients of the summed loss when ``grad`` is given."""
         cls = np.where(y < FREQUENT, y // PER_CLASS, y - FREQUENT + FREQUENT // PER_CLASS)
-        logits = h @ self.wc + self.bc
-        np.clip(logits, -60, 60, out=logits)
-        e = np.exp(logits)
-        total = e @ np.ones(CLASSES, e.dtype)
+        logits = h @ self.wc
+        logits += self.bc
+        if not _tame(self.wc, self.bc):
+            np.clip(logits, -60, 60, out=logits)
         at = np.arange(len(y))
-        log_p = logits[at, cls] - np.log(total)
+        log_p = logits[at, cls]
+        e = np.exp(logits, out=logits)
+        total = e @ np.ones(CLASSES, e.dtype)
+        log_p -= np.log(total)
         there = y >= 0
         back = None
         if grad is not None:
-            d = e / total[:, None]
+            d = np.divide(e, total[:, None], out=e)
             d[at, cls] -= 1
-            d *= there[:, None]
+            if not there.all():
+                d *= there[:, None]
             grad.wc += h.T @ d
             grad.bc += d.sum(0)
             back = d @ self.wc.T
         some = np.flatnonzero(there & (y < FREQUENT))
-        some = some[np.argsort(cls[some], kind="stable")]
+        some = some[np.argsort(cls[some].astype(np.int16), kind="stable")]  # 16 bits are sorted by digits
         cuts = np.searchsorted(cls[some], np.arange(FREQUENT // PER_CLASS + 1))
+        tame = _tame(self.ww, self.bw)
         for k in range(FREQUENT // PER_CLASS):
             i = some[cuts[k] : cuts[k + 1]]
             if not len(i):
                 continue
             hk, word = h[i], y[i] % PER_CLASS
-            logits = hk @ self.ww[k] + self.bw[k]
-            np.clip(logits, -60, 60, out=logits)
-            e = np.exp(logits)
+            logits = hk @ self.ww[k]
+            logits += self.bw[k]
+            if not tame[k]:
+                np.clip(logits, -60, 60, out=logits)
+            at = np.arange(len(i))
+            own = logits[at, word]
+            e = np.exp(logits, out=logits)
             total = e @ np.ones(PER_CLASS, e.dtype)
-            log_p[i] += logits[np.arange(len(i)), word] - np.log(total)
+            log_p[i] += own - np.log(total)
             if grad is not None:
-                d = e / total[:, None]
-                d[np.arange(len(i)), word] -= 1
+                d = np.divide(e, total[:, None], out=e)
+                d[at, word] -= 1
                 grad.ww[k] += hk.T @ d
                 grad.bw[k] += d.sum(0)
                 back[i] += d @ self.ww[k].T
@@ -182,23 +208,24 @@ class Net:
         out, h, (z, r, c, gc, before) = self.states(x, fresh, h0, True)
         _, back = self.outputs(out.reshape(-1, HIDDEN), y.reshape(-1), grad)
         back = back.reshape(steps, n, HIDDEN)
-        dg, da = (np.empty((steps, n, 3 * HIDDEN), np.float32) for _ in range(2))
+        dg, dc = np.empty((steps, n, 3 * HIDDEN), np.float32), np.empty((steps, n, HIDDEN), np.float32)
         inner = (1 - z) * (1 - c * c)
         dz_scale, dr_scale = (before - c) * z * (1 - z), gc * r * (1 - r)
         dh = np.zeros((n, HIDDEN), np.float32)
         ut = np.ascontiguousarray(self.u.T)
         for t in range(steps - 1, -1, -1):
             dh = dh + back[t]
-            dac = dh * inner[t]
-            da[t, :, :HIDDEN] = dg[t, :, :HIDDEN] = dh * dz_scale[t]
-            da[t, :, HIDDEN : 2 * HIDDEN] = dg[t, :, HIDDEN : 2 * HIDDEN] = dac * dr_scale[t]
-            da[t, :, 2 * HIDDEN :] = dac
-            dg[t, :, 2 * HIDDEN :] = dac * r[t]
+            dac = np.multiply(dh, inner[t], out=dc[t])
+            np.multiply(dh, dz_scale[t], out=dg[t, :, :HIDDEN])
+            np.multiply(dac, dr_scale[t], out=dg[t, :, HIDDEN : 2 * HIDDEN])
+            np.multiply(dac, r[t], out=dg[t, :, 2 * HIDDEN :])
             dh = dh * z[t] + dg[t] @ ut
             if fresh[t].any():
                 dh[fresh[t]] = 0
         grad.u += before.reshape(-1, HIDDEN).T @ dg.reshape(-1, 3 * HIDDEN)
-        ids = x.reshape(-1)
+        da = dg
+        da[:, :, 2 * HIDDEN :] = dc
+        ids = x.reshape(-1).astype(np.int16)
         order = np.argsort(ids, kind="stable")
         ids = ids[order]
         first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
@@ -248,7 +275,7 @@ def inputs(y: np.ndarray, fresh: np.ndarray) -> np.ndarray:
     return x
 
 
-def document_scores(net: Net, y: np.ndarray, fresh: np.ndarray, streams: int = STREAMS, steps: int = 32) -> np.ndarray:
+def document_scores(net: Net, y: np.ndarray, fresh: np.ndarray, streams: int = STREAMS, steps: int = 64) -> np.ndarray:
     """Natural log probability of every token; whole documents are laid end to end in streams of about equal length."""
     log_p = np.zeros(len(y))
     begin = np.flatnonzero(fresh)

@@ -460,3 +460,29 @@ def test_toxicity(spark, docs, nothing):
     assert len(odd) == len(TEXTS) and all(0 <= r.score <= 1 for r in odd.values())
     kept = toxicity_crf.keep_clean(table.drop("toxic").withColumn("score", F.lit(1)), labels)
     assert kept.columns == ["doc_id", "text", "score"] and {r.doc_id for r in kept.collect()} == {i for i in got if not got[i].predicted}
+
+
+def test_language_model_states_equal_the_plain_formula_and_large_logits_are_kept_in():
+    import numpy as np
+
+    from roadloom.llm import gated_lm as G
+
+    rng = np.random.default_rng(3)
+    net = G.Net.start(np.ones(G.FREQUENT + G.TAIL))
+    x, fresh = rng.integers(0, G.BEGIN + 1, (9, 5)), rng.random((9, 5)) < 0.3
+    start = rng.standard_normal((5, G.HIDDEN)).astype(np.float32)
+    out, last, (z, r, c, _, before) = net.states(x, fresh, start, True)
+    h = start.astype(float)
+    for t in range(9):
+        h = np.where(fresh[t][:, None], 0, h)
+        assert np.allclose(before[t], h, atol=1e-5)
+        (az, ar, ac), (gz, gr, gc) = (np.split(v, 3, axis=1) for v in (net.wx[x[t]].astype(float), h @ net.u.astype(float)))
+        want_z, want_r = 1 / (1 + np.exp(-az - gz)), 1 / (1 + np.exp(-ar - gr))
+        want_c = np.tanh(ac + want_r * gc)
+        assert np.allclose(z[t], want_z, atol=1e-5) and np.allclose(r[t], want_r, atol=1e-5) and np.allclose(c[t], want_c, atol=1e-5)
+        h = want_c + want_z * (h - want_c)
+        assert np.allclose(out[t], h, atol=1e-5)
+    assert np.allclose(last, h, atol=1e-5)
+    net.bc[0], net.bw[0, 1] = 500, -500
+    log_p, _ = net.outputs(np.zeros((2, G.HIDDEN), np.float32), np.array([1, -1]))
+    assert -121 < log_p[0] < -50 and log_p[1] == 0
