@@ -76,3 +76,9 @@ def test_service_area_outlines_cover_their_nodes(small):
 def test_unknown_area_option_raises(small):
     with pytest.raises(ValueError, match="option must be"):
         area.service_area(small.areas, small.origins.withColumn("option", F.lit("circle")))
+
+
+def test_snapping_builds_no_edges(spark):
+    w = Workload(spark, SMALL, rows_per_block=200)
+    assert queries._QUERIES["snap_nearest"](w).count() > 0
+    assert not {"edges", "vehicles"} & set(vars(w))
