@@ -158,6 +158,48 @@ def test_hull_corners_of_a_square():
     assert hull.hull_corners(p).tolist() == [[0, 0], [4, 0], [4, 4], [0, 4]]
 
 
+def test_corners_of_many_groups_at_once():
+    import numpy as np
+
+    r = np.random.default_rng(5)
+    x = np.arange(400)
+    shapes = [r.integers(0, side, (n, 2)) for n in (1, 2, 3, 40, 300) for side in (2, 9, 1 << 29)]
+    shapes += [np.array([(3, 3)] * 4), np.stack([x, 2 * x], 1), np.stack([x, x * x], 1), np.vstack([np.stack([x, x * x], 1), [[400, -1]]])]
+    p, who = np.vstack(shapes), np.repeat(np.arange(len(shapes)), [len(s) for s in shapes])
+    order = r.permutation(len(p))
+    rows = hull.corner_rows(who[order], p[order])
+    for k, shape in enumerate(shapes):
+        assert p[order][rows[who[order][rows] == k]].tolist() == hull.hull_corners(shape).tolist()
+
+
+def test_squares_are_reduced_without_a_loop_over_them(monkeypatch):
+    """Twenty thousand squares of a point or two each take one pass."""
+    import numpy as np
+    import pandas as pd
+
+    monkeypatch.setattr(hull, "hull_corners", None)
+    monkeypatch.setattr(hull, "_chain", None)
+    at = np.array([(x, y) for x in range(200) for y in range(200)], dtype=np.int64) * 200_000
+    batch = pd.DataFrame({"req_id": np.arange(len(at)) % 7, "x_mm": at[:, 0], "y_mm": at[:, 1]})
+    (fine,) = hull._reduce(hull.SQUARE_BITS)([batch])
+    assert len(fine) == len(at)
+    (wide,) = hull._reduce(hull.WIDEST_BITS)([batch])
+    assert 4 * 7 <= len(wide) < 10 * 7
+
+
+def test_outline_of_few_corners_equals_that_by_squares(monkeypatch):
+    import numpy as np
+
+    r = np.random.default_rng(9)
+    for n in (5, 60, 700):
+        p = r.integers(0, 6_000_000, (n, 2))
+        squares = [hull.hull_corners(g) for g in hull._groups(p, p[:, 0] >> hull.SQUARE_BITS, p[:, 1] >> hull.SQUARE_BITS)]
+        few = hull.dig(squares, 0.6)
+        with monkeypatch.context() as m:
+            m.setattr(hull, "FEW_CORNERS", 0)
+            assert few.tolist() == hull.dig(squares, 0.6).tolist()
+
+
 def test_outline_time_is_linear():
     """A hundred thousand reached nodes of one request take seconds, and four times the nodes not much more than four times as long."""
     import time
