@@ -261,3 +261,19 @@ def test_boxes_with_many_arcs_go_by_steps_with_the_same_paths(spark, monkeypatch
         assert (run.sent > 0) == bool(most)
         parties = run.requests.where("party is not null").count()
         assert parties == (len(asked) if not most else 9 if rows else 0)
+
+
+def test_areas_with_few_arcs_share_parties_of_more_than_the_least_size(spark, monkeypatch):
+    nodes, edges = make_graph(23)
+    g = graph(spark, nodes, edges, 60)
+    asked = spark.createDataFrame([boxed(i, i % 144, None, "way", 100.0, 150.0, nodes) for i in range(4000)], BOXED)
+
+    def largest():
+        run = B.spread(g, asked)
+        assert run.requests.where("party is null").count() == 0
+        return run.requests.groupBy("party").count().agg(F.max("count")).first()[0]
+
+    most = 1 + 4000 // (4 * spark.sparkContext.defaultParallelism)
+    assert largest() == most > B.PARTY_AREAS  # before, the arcs were repeated for every 64
+    monkeypatch.setattr(B, "PARTY_ROWS", 700)  # of which the boxes have about as many in reach
+    assert B.PARTY_AREAS <= largest() < most
