@@ -486,3 +486,29 @@ def test_language_model_states_equal_the_plain_formula_and_large_logits_are_kept
     net.bc[0], net.bw[0, 1] = 500, -500
     log_p, _ = net.outputs(np.zeros((2, G.HIDDEN), np.float32), np.array([1, -1]))
     assert -121 < log_p[0] < -50 and log_p[1] == 0
+
+
+def test_language_model_keeps_the_memory_of_its_windows():
+    """Learning on ever new windows takes few new pages from the system once it has begun."""
+    import os
+    import subprocess
+    import sys
+
+    code = """
+import resource
+from types import SimpleNamespace
+import numpy as np
+import pyarrow as pa
+from roadloom.llm import gated_lm as G
+n = G.FREQUENT + G.TAIL
+y = np.random.default_rng(3).integers(0, n, 1 << 19).astype(np.int16)
+batch = pa.RecordBatch.from_arrays([pa.array([y[i : i + 1024].tobytes() for i in range(0, len(y), 1024)], pa.binary())], names=["outputs"])
+run = G._learn(SimpleNamespace(value=G.Net.start(np.ones(n)).flat), 1)
+list(run(iter([batch.slice(0, 16)])))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+list(run(iter([batch])))
+print((resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before) / (len(y) / (G.STREAMS * G.STEPS)))
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    found = subprocess.run([sys.executable, "-c", code], cwd=root, env=os.environ | {"OPENBLAS_NUM_THREADS": "1"}, capture_output=True, text=True, check=True)
+    assert float(found.stdout) < 500, found.stdout  # pages a window
