@@ -277,3 +277,13 @@ def test_areas_with_few_arcs_share_parties_of_more_than_the_least_size(spark, mo
     assert largest() == most > B.PARTY_AREAS  # before, the arcs were repeated for every 64
     monkeypatch.setattr(B, "PARTY_ROWS", 700)  # of which the boxes have about as many in reach
     assert B.PARTY_AREAS <= largest() < most
+
+
+def test_parties_are_settled_in_all_parts(spark):
+    """Parties of few bytes are not merged into one task."""
+    nodes, edges = make_graph(29)
+    asked = spark.createDataFrame([boxed(i, i, 143 - i, "way", None, 150.0, nodes) for i in range(144)], BOXED)
+    run = B.spread(graph(spark, nodes, edges, 60), asked)
+    assert run.requests.agg(F.countDistinct("party")).first()[0] > 8
+    for found in (B._by_party(run, B._party_goals, B._GOAL), B._by_party(run, B._party_paths, B._PATH)):
+        assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
