@@ -233,3 +233,25 @@ def test_curve_visits_neighbours_in_turn(spark):
     rows = grid.select("i", "j", G.curve_key(F.col("i") * step, F.col("j") * step).alias("k")).orderBy("k").collect()
     assert [b.k - a.k for a, b in zip(rows, rows[1:])] == [1] * 1023
     assert all(abs(a.i - b.i) + abs(a.j - b.j) == 1 for a, b in zip(rows, rows[1:]))
+
+
+def test_written_joins_are_not_broadcast_by_the_size_of_files(spark, tmp_path, monkeypatch):
+    """80,000 rows of one long run each: some KB in files, 10 MB in memory."""
+    from pyspark.sql import DataFrameWriter
+    from roadloom.sources import scratch
+
+    path = str(tmp_path / "runs")
+    spark.range(80_000, numPartitions=1).select("id", F.repeat(F.lit("x"), 100).alias("v")).write.parquet(path)
+    runs = spark.read.parquet(path)
+    joined = runs.join(spark.range(1_000_000).withColumnRenamed("id", "key"), F.col("id") == F.col("key"))
+    plans, write = [], DataFrameWriter.parquet
+    plan = lambda: joined.select("*")._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (plans.append(plan()), write(self, *a, **k))[1])
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "1m")
+    try:
+        before = {k: spark.conf.getAll.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+        assert scratch.materialize(joined, "joined").count() == 80_000
+        assert {k: spark.conf.getAll.get(k) for k in before} == before
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plans[0] and "BroadcastHashJoin" not in plans[0] and "BroadcastHashJoin" in plan()
